@@ -40,8 +40,12 @@ def to_stand_ins(text: Column) -> Column:
 
 
 def from_stand_ins(token_text: Column) -> Column:
-    """Bytes of byte-level token text."""
-    return F.encode(F.translate(token_text, _STAND_IN_CHARS, _BYTE_CHARS), "ISO-8859-1")
+    """Bytes of byte-level token text.
+
+    ``translate`` takes a NUL in its target for a deletion, so byte 0 is put in separately.
+    """
+    chars = F.translate(token_text, _STAND_IN_CHARS[1:], _BYTE_CHARS[1:])
+    return F.encode(F.replace(chars, F.lit(_STAND_IN_CHARS[0]), F.lit("\0")), "ISO-8859-1")
 
 
 def to_symbols(text: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.constants import BYTE_IDS, SPECIAL_TOKENS, STAND_INS
 from tokenloom.functions import bytelevel, pretokens, sequences
+from tokenloom.session import ship_package
 
 CACHED_WORDS = 500_000
 CACHED_WORD_LENGTH = 64
@@ -116,6 +117,7 @@ class Encoder:
     ):
         by_token = specials if isinstance(specials, dict) else {t: i for i, t in enumerate(specials)}
         self.bos, self.eos = by_token["<s>"], by_token["</s>"]
+        ship_package(spark)
         name = uuid.uuid4().hex
         tables = spark.sparkContext.broadcast((list(byte_ids), [tuple(m[:3]) for m in merges], by_token))
 

@@ -32,7 +32,7 @@ from tokenloom.functions import bytelevel
 from tokenloom.functions.bytelevel import symbol, symbol_id
 from tokenloom.functions.codec import merge_word
 from tokenloom.operators.wordstats import pair_strings
-from tokenloom.session import shared_dir
+from tokenloom.session import shared_dir, ship_package
 
 MERGES_SCHEMA = "rank int, left int, right int, new_id int, count long"
 
@@ -188,6 +188,7 @@ def learn_merges(
     start and every few rounds, so a lost executor costs a few narrow steps at most.
     """
     shared_dir(words.sparkSession)
+    ship_package(words.sparkSession)
     tokens = Tokens(vocab_size)
     learned: list[Merge] = []
     words = words.filter(F.length("s") > 1).checkpoint()

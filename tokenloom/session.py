@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (as ``--py-files`` would)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir() and (package / "__init__.py").is_file():
+        # built on the driver and handed out by Spark itself
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tokenloom-')}/tokenloom", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, as named by ``spark.checkpoint.dir``.
