@@ -1,0 +1,218 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tests import plain
+from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, SPECIAL_TOKENS, STAND_INS
+from tokenloom.functions import bytelevel, pretokens
+from tokenloom.functions.codec import Encoder, decode_ids, merge_word
+from tokenloom.operators import merges as merges_module, vocabulary, wordstats
+from tokenloom.operators.merges import learn_merges
+
+CRAFTED = [
+    "", " ", "  ", "x", " x", "\nfoo", "a\r\nb\r\n", "tabs\t\there", "run   of   spaces  ", "trailing \n\n \n",
+    "it's we've I'll they'd can't 'quoted' O'Neil", "x y　z​q\u0085r s t", "1234 ५६ ½ ²",
+    "你好，世界 + Hello World + Bonjour + Hola + Привет + مرحبًا", "emoji 👩‍👩‍👧 🎉🎉", "!!! ... ---=== §¶", "nul\0byte",
+    "ẞtraße Ünï ĳ ǅ", "a" * 300, "-" * 70 + " x " + "=" * 65,
+]
+
+
+def symbol_words(spark, counts):
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    return wordstats.symbol_words(df)
+
+
+def words_of(spark, text):
+    lines = wordstats.corpus_lines(spark.createDataFrame([(text,)], "text string"))
+    return {r.word: r.n for r in wordstats.word_counts(lines).collect()}
+
+
+def test_pretokens_of_crafted_text(spark):
+    df = spark.createDataFrame(list(enumerate(CRAFTED)), "i int, t string")
+    for r in df.select("i", pretokens.pretokens(F.col("t")).alias("w")).collect():
+        assert r.w == plain.pretokens(CRAFTED[r.i])
+
+
+def test_pretokens_cover_the_text(docs):
+    words = pretokens.pretokens(F.col("text"))
+    assert docs.filter(F.array_join(words, "") != pretokens.with_prefix_space(F.col("text"))).count() == 0
+
+
+def test_pretokens_equal_the_tokenizer_library(spark, docs):
+    lib = pytest.importorskip("tokenizers").pre_tokenizers.ByteLevel()
+    texts = CRAFTED + [r.text for r in docs.select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    shown = F.transform(pretokens.pretokens(F.col("t")), bytelevel.to_stand_ins)
+    for r in df.select("i", shown.alias("w")).collect():
+        assert r.w == [w for w, _ in lib.pre_tokenize_str(texts[r.i])]
+
+
+def test_line_break_belongs_to_the_line(spark):
+    assert words_of(spark, "x\r\nx\r") == {" x": 2, "\r\n": 2}
+    assert words_of(spark, "a\n\nb") == {" a": 1, "\n": 2, " \n": 1, " b": 1}
+
+
+def test_byte_alphabet():
+    assert len(set(STAND_INS)) == 256 and sorted(BYTE_IDS) == list(range(5, 261))
+    assert STAND_INS[32] == "Ġ" and STAND_INS[10] == "Ċ" and BYTE_IDS[ord("!")] == 5
+
+
+def test_byte_strings_return(spark):
+    df = spark.createDataFrame([(t,) for t in CRAFTED], "t string")
+    back = bytelevel.from_stand_ins(bytelevel.to_stand_ins(F.col("t")))
+    assert df.filter(back != F.encode("t", "UTF-8")).count() == 0
+
+
+BPE_CASES = {
+    "bpe_ties": ("ab cd ab cd ef", 2),
+    "bpe_ties_min": ("ab cd ab cd ef", 3),
+    "overlap": ("aaaa aaaa", 2),
+    "overlap_long": ("aaaaaaa aaaaa aaa aa " * 3, 2),
+    "words": ("low low lower newest newest widest", 2),
+    "single": ("low", 1),
+    "reverse": ("zz yy zz yy", 2),
+    "reused_token": ("abc abc ab bc bc bc abcd xabc aab baab aaab", 1),
+}
+
+
+@pytest.mark.parametrize("case", BPE_CASES)
+@pytest.mark.parametrize("pairs,runs", [(64, 100_000), (3, 100_000), (8, 2), (1, 1)])
+def test_merges_of_crafted_text(spark, case, pairs, runs):
+    text, low = BPE_CASES[case]
+    words = {}
+    for w in plain.pretokens(text):
+        words[w] = words.get(w, 0) + 1
+    found = learn_merges(symbol_words(spark, words), FIRST_MERGE_ID + 40, low, first_pairs=pairs, most_runs=runs)
+    assert [tuple(m) for m in found] == plain.train(words, FIRST_MERGE_ID + 40, low)
+
+
+def test_known_tie_order(spark):
+    def texts(found):
+        names = vocabulary.token_texts(found)
+        return [(names[m.left], names[m.right]) for m in found]
+
+    words = {" ab": 2, " cd": 2, " ef": 1}
+    assert texts(learn_merges(symbol_words(spark, words), 300, 2)) == [("a", "b"), ("c", "d"), ("Ġ", "ab"), ("Ġ", "cd")]
+    assert learn_merges(symbol_words(spark, words), 300, 3) == []
+    assert texts(learn_merges(symbol_words(spark, {" aaaa": 2}), 300, 2)) == [("a", "a"), ("Ġ", "aa"), ("Ġaa", "aa")]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.text("abcé", min_size=1, max_size=9), st.integers(1, 9), min_size=1, max_size=25), st.integers(1, 4))
+def test_merges_equal_recounting(spark, words, low):
+    expected = plain.train(words, FIRST_MERGE_ID + 60, low)
+    found = learn_merges(symbol_words(spark, words), FIRST_MERGE_ID + 60, low, first_pairs=4, most_runs=6)
+    assert [tuple(m) for m in found] == expected
+
+
+def test_long_run_falls_back_to_single_merges(spark, monkeypatch):
+    monkeypatch.setattr(merges_module, "LONGEST_RUN", 8)
+    words = {"=" * 70: 3, " ab": 5, " abab": 2}
+    found = learn_merges(symbol_words(spark, words), FIRST_MERGE_ID + 20, 2)
+    assert [tuple(m) for m in found] == plain.train(words, FIRST_MERGE_ID + 20, 2)
+
+
+def test_vocab_size_stops_learning(spark):
+    words = {" newest": 5, " lowest": 4}
+    assert len(learn_merges(symbol_words(spark, words), FIRST_MERGE_ID + 3, 1)) == 3
+    assert learn_merges(symbol_words(spark, words), FIRST_MERGE_ID, 1) == []
+
+
+@pytest.fixture(scope="module")
+def learned(spark, docs):
+    words = wordstats.symbol_words(wordstats.word_counts(wordstats.corpus_lines(docs)))
+    return learn_merges(words, FIRST_MERGE_ID + 300, 2, first_pairs=16)
+
+
+@pytest.fixture(scope="module")
+def library(docs, tmp_path_factory):
+    lib = pytest.importorskip("tokenizers")
+    tokenizer = lib.Tokenizer(lib.models.BPE())
+    tokenizer.pre_tokenizer = lib.pre_tokenizers.ByteLevel()
+    tokenizer.decoder = lib.decoders.ByteLevel()
+    trainer = lib.trainers.BpeTrainer(
+        vocab_size=FIRST_MERGE_ID + 300, min_frequency=2, special_tokens=SPECIAL_TOKENS, show_progress=False,
+        initial_alphabet=lib.pre_tokenizers.ByteLevel.alphabet(),
+    )
+    path = tmp_path_factory.mktemp("corpus") / "corpus.txt"
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        for r in docs.select("text").collect():
+            f.write(r.text + "\n")
+    tokenizer.train([str(path)], trainer)
+    tokenizer.post_processor = lib.processors.TemplateProcessing(single="<s> $A </s>", special_tokens=[("<s>", 0), ("</s>", 1)])
+    return tokenizer
+
+
+def test_vocabulary_equals_the_tokenizer_library(learned, library):
+    assert vocabulary.token_texts(learned) == sorted(library.get_vocab(), key=library.get_vocab().get)
+
+
+SPECIALS = ["<s></s>", "a <s> b", "<s>low lower</s>", " <mask> x<pad>", "<s", "a!<s>!  <unk>\n\n</s>  end  "]
+
+
+def test_encoding_equals_the_tokenizer_library(spark, docs, learned, library):
+    texts = CRAFTED + SPECIALS + [r.text for r in docs.select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(5)
+    encoder = Encoder(spark, learned)
+    rows = df.select("i", encoder.encode(F.col("t")).alias("a"), encoder.encode(F.col("t"), template=False).alias("b")).collect()
+    for r in rows:
+        expected = library.encode(texts[r.i]).ids
+        assert r.a == expected
+        assert r.b == expected[1:-1]
+
+
+def test_decoding_equals_the_tokenizer_library(spark, learned, library):
+    rng = random.Random(3)
+    size = FIRST_MERGE_ID + len(learned)
+    arrays = [[rng.randrange(size) for _ in range(rng.randrange(30))] for _ in range(200)] + [[]]
+    df = spark.createDataFrame(list(enumerate(arrays)), "i int, ids array<int>")
+    tokens = vocabulary.token_texts(learned)
+    rows = df.select("i", decode_ids(F.col("ids"), tokens).alias("all"), decode_ids(F.col("ids"), tokens, 5).alias("plain")).collect()
+    for r in rows:
+        assert r.all == library.decode(arrays[r.i], skip_special_tokens=False)
+        assert r.plain == library.decode(arrays[r.i], skip_special_tokens=True)
+
+
+def test_word_merging_equals_the_plain_loop(learned):
+    merges = {m.left << 32 | m.right: (i, m.new_id) for i, m in enumerate(learned)}
+    rng = random.Random(5)
+    for _ in range(300):
+        word = "".join(rng.choice("aeinrst é") for _ in range(rng.randrange(0, 30)))
+        assert merge_word([BYTE_IDS[b] for b in word.encode()], merges) == plain.encode_word(word, learned)
+
+
+def test_long_word_is_encoded_whole(spark, learned):
+    text = "the" * 50_000
+    encoder = Encoder(spark, learned)
+    df = spark.createDataFrame([(text,)], "t string")
+    tokens = vocabulary.token_texts(learned)
+    row = df.select(encoder.encode(F.col("t"), template=False).alias("ids")).select(decode_ids(F.col("ids"), tokens).alias("t")).first()
+    assert row.t == " " + text
+
+
+def test_null_and_empty_text(spark, learned):
+    df = spark.createDataFrame([("",), (None,)], "t string")
+    rows = df.select(Encoder(spark, learned).encode(F.col("t")).alias("ids")).collect()
+    assert [r.ids for r in rows] == [[0, 1], None]
+
+
+def test_extended_vocabulary_encodes(spark, docs, learned):
+    """A base vocabulary keeps its ids; merges learned apart are relabelled to the joint ids."""
+    base = learn_merges(symbol_words(spark, {" zebra": 9, " zebu": 8}), FIRST_MERGE_ID + 6, 2)
+    old = vocabulary.vocab_table(spark, learned)
+    joint = vocabulary.extend_vocab(vocabulary.vocab_table(spark, base), old)
+    rows = joint.collect()
+    base_tokens = vocabulary.token_texts(base)
+    by_id = {r.id: r.token for r in rows}
+    assert [by_id[i] for i in range(len(base_tokens))] == base_tokens
+    assert len(by_id) == len(rows) == len(set(by_id.values())) and set(by_id) == set(range(len(rows)))
+    relabelled = vocabulary.relabel_merges(merges_module.merges_table(spark, learned), old, joint)
+    encoder = Encoder.from_tables(joint, relabelled)
+    tokens = [by_id[i] for i in range(len(by_id))]
+    plain_ids = Encoder(spark, learned)
+    sample = docs.select("doc_id", encoder.encode(F.col("text")).alias("a"), plain_ids.encode(F.col("text")).alias("b"))
+    old_tokens = vocabulary.token_texts(learned)
+    for r in sample.collect():
+        assert [tokens[i] for i in r.a] == [old_tokens[i] for i in r.b]

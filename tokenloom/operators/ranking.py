@@ -21,7 +21,6 @@ from tokenloom.constants import SEED
 
 # A table joined by broadcast may have this many rows at most; beyond that the join is salted.
 BROADCAST_ROWS = 10_000
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -32,6 +31,9 @@ class Order:
     key: Column
 
 
+Positions = Callable[[Column], list[Column]]
+
+
 def _columns(key: str | Sequence[str]) -> list[Column]:
     return [F.col(k) for k in ([key] if isinstance(key, str) else key)]
 
@@ -41,12 +43,15 @@ def order_hash(key: str | Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in _columns(key)]))
 
 
-def seeded_order(key: str | Sequence[str], seed: int = SEED, digits: int = 4) -> Order:
-    """Pseudo-random order over ``16 ** digits`` even buckets."""
+def seeded_order(key: str | Sequence[str], seed: int = SEED, digits: int = 4, first: Column | None = None) -> Order:
+    """Pseudo-random order over ``16 ** digits`` even buckets, within the value of ``first`` if given."""
     if not 1 <= digits <= 4:
         raise ValueError("digits must be between 1 and 4")
     h = order_hash(key, seed)
-    return Order(F.substring(h, 1, digits), F.struct(h.alias("h"), *_columns(key)))
+    prefix = F.substring(h, 1, digits)
+    if first is None:
+        return Order(prefix, F.struct(h.alias("h"), *_columns(key)))
+    return Order(F.struct(first.alias("first"), prefix.alias("prefix")), F.struct(first.alias("first"), h.alias("h"), *_columns(key)))
 
 
 def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
@@ -56,23 +61,23 @@ def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
     are, the counts taken over them are exact.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(key, steps).alias("q")).first().q or []
-    bounds = sorted(set(found))
+    bounds = sorted(set(df.agg(F.percentile_approx(key, steps).alias("q")).first().q or []))
     if not bounds:
         return Order(F.lit(0), F.struct(F.col(key)))
-    value = F.col(key)
-    fine = F.array(*[F.lit(b) for b in bounds])
-    coarse = F.array(*[F.lit(b) for b in bounds[31::32]]) if len(bounds) > 31 else None
-    if coarse is None:
-        bucket = F.size(F.filter(fine, lambda b: b <= value))
-    else:
-        whole = F.size(F.filter(coarse, lambda b: b <= value)) * 32
-        bucket = whole + F.size(F.filter(F.slice(fine, whole + 1, 32), lambda b: b <= value))
-    return Order(bucket, F.struct(value))
+
+    def literal(values: list) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{df.schema[key].dataType.simpleString()}>")
+
+    def passed(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= F.col(key)))
+
+    # two short searches instead of one long one
+    whole = passed(literal(bounds[31::32])) * 32 if len(bounds) > 31 else F.lit(0)
+    return Order(whole + passed(F.slice(literal(bounds), whole + 1, 32)), F.struct(F.col(key)))
 
 
 def _bucket_starts(df: DataFrame, order: Order, by: str | None) -> DataFrame:
-    """Rows before each bucket and in total; at most one row per bucket (and subset)."""
+    """Rows before each bucket and in total; at most one row per bucket (and subset), so one window is small."""
     groups = [by] if by else []
     counts = df.groupBy(*groups, order.bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     whole = Window.partitionBy(*groups)
@@ -82,28 +87,22 @@ def _bucket_starts(df: DataFrame, order: Order, by: str | None) -> DataFrame:
     )
 
 
-def cut_keys(
-    df: DataFrame,
-    order: Order,
-    positions: Callable[[Column], Column],
-    by: str | None = None,
-    bounded: bool = True,
-) -> DataFrame:
+def cut_keys(df: DataFrame, order: Order, positions: Positions, by: str | None = None, bounded: bool = True) -> DataFrame:
     """Order keys at the wanted 0-based positions.
 
-    ``positions`` turns the total into an array of positions. One row (per subset): ``_total`` and ``_cuts``, an
-    array of ``struct(slot, key)``; a position at or beyond the total has no entry. ``bounded`` says that the
-    number of subsets is known to be small, so the wanted buckets can be broadcast.
+    ``positions`` turns the total into a list of positions. One row (per subset): ``_total``, ``_cut0``, ``_cut1``,
+    ...; a position at or beyond the total has a null cut. ``bounded`` says that the number of subsets is known to be
+    small, so the wanted buckets can be broadcast.
     """
     groups = [by] if by else []
     starts = _bucket_starts(df, order, by)
-    wanted = starts.select(
-        *groups, "_bucket", "_start", "_rows", "_total", F.posexplode(positions(F.col("_total"))).alias("_slot", "_position")
-    ).filter((F.col("_position") >= F.col("_start")) & (F.col("_position") < F.col("_start") + F.col("_rows")))
-    wanted = wanted.select(
-        *[F.col(g).alias("_group") for g in groups], F.col("_bucket"), "_slot", "_total",
-        (F.col("_position") - F.col("_start") + 1).alias("_nth"),
+    asked = positions(F.col("_total"))
+    wanted = starts.withColumn("_slots", F.array(*[p.cast("long") for p in asked])).select(
+        *[F.col(g).alias("_group") for g in groups], "_bucket", "_start", "_rows", "_total",
+        F.posexplode("_slots").alias("_slot", "_position"),
     )
+    wanted = wanted.filter((F.col("_position") >= F.col("_start")) & (F.col("_position") < F.col("_start") + F.col("_rows")))
+    wanted = wanted.withColumn("_nth", F.col("_position") - F.col("_start") + 1).drop("_position", "_start", "_rows")
     keys = df.select(*groups, order.bucket.alias("_b"), order.key.alias("_key"))
     match = F.col("_b") == F.col("_bucket")
     if by:
@@ -114,54 +113,52 @@ def cut_keys(
         .withColumn("_n", F.row_number().over(within))
         .filter(F.col("_n") == F.col("_nth"))
     )
-    return hits.groupBy(*groups).agg(
-        F.first("_total").alias("_total"), F.array_sort(F.collect_list(F.struct("_slot", "_key"))).alias("_cuts")
-    )
+    cuts = [F.max(F.when(F.col("_slot") == i, F.col("_key"))).alias(f"_cut{i}") for i in range(len(asked))]
+    return hits.groupBy(*groups).agg(F.max("_total").alias("_total"), *cuts)
 
 
-def _with_cuts(
-    df: DataFrame, order: Order, positions: Callable[[Column], Column], by: str | None, subsets: Sequence | None
-) -> DataFrame:
-    """Rows with ``_total`` and ``_cuts`` attached; payload is not moved unless the subsets are unknown."""
-    listed = subsets is not None and len(subsets) <= BROADCAST_ROWS
-    cuts = cut_keys(df, order, positions, by, bounded=by is None or listed)
+def _few(df: DataFrame, by: str, subsets: Sequence | None) -> bool:
+    """Whether the subsets are few enough for a broadcast: from the list, else counted up to the bound."""
+    if subsets is not None:
+        return len(subsets) <= BROADCAST_ROWS
+    return df.select(by).distinct().limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def _with_cuts(df: DataFrame, order: Order, positions: Positions, by: str | None = None, subsets: Sequence | None = None) -> DataFrame:
+    """Rows with ``_total`` and the cuts attached; payload is not moved unless there are very many subsets."""
     if by is None:
+        cuts = cut_keys(df, order, positions)
         # one row, read once as a scalar
-        return df.withColumn("_found", cuts.select(F.struct("_total", "_cuts")).scalar()).select(
-            *[df[c] for c in df.columns], F.col("_found._total").alias("_total"), F.col("_found._cuts").alias("_cuts")
-        )
-    cuts = cuts.withColumnRenamed(by, "_group")
-    if listed:
-        # one row per listed subset, so the list bounds the broadcast
+        found = cuts.select(F.struct(*cuts.columns)).scalar()
+        marked = df.withColumn("_found", found)
+        return marked.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_found")[c].alias(c) for c in cuts.columns])
+    few = _few(df, by, subsets)
+    cuts = cut_keys(df, order, positions, by, bounded=few).withColumnRenamed(by, "_group")
+    if few:
         return df.join(F.broadcast(cuts), F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
-    salted = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = df.withColumn("_spread", F.pmod(F.xxhash64(order.key), F.lit(SALTS)).cast("int"))
+    # a hot subset is spread over all shuffle partitions, each with its own copy of the subset's cuts
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = df.withColumn("_spread", F.pmod(F.xxhash64(order.key), F.lit(salts)).cast("int"))
     on = F.col(by).eqNullSafe(F.col("_group")) & (F.col("_spread") == F.col("_salt"))
     return spread.join(salted, on, "left").drop("_group", "_salt", "_spread")
 
 
 def _before(order: Order, slot: int) -> Column:
-    """Whether a row comes before the cut of a slot; a cut that does not exist lies after all rows."""
-    cut = F.try_element_at(F.filter("_cuts", lambda c: c["_slot"] == slot), F.lit(1))["_key"]
-    return cut.isNull() | (order.key < cut)
-
-
-def _only(df: DataFrame, by: str, subsets: Sequence | None) -> DataFrame:
-    return df if subsets is None else df.filter(F.col(by).isin(list(subsets)))
+    """Whether a row comes before a cut; a cut that does not exist lies after all rows."""
+    return F.coalesce(order.key < F.col(f"_cut{slot}"), F.lit(True))
 
 
-def _share(total: Column, fraction: float) -> Column:
-    """``ceil(fraction * total)`` in decimal arithmetic."""
-    return F.ceil(F.lit(Decimal(str(fraction))) * total).cast("long")
+def _only(df: DataFrame, by: str | None, subsets: Sequence | None) -> DataFrame:
+    return df if by is None or subsets is None else df.filter(F.col(by).isin(list(subsets)))
 
 
 def sample_per_subset(
     df: DataFrame, rows: int, by: str, key: str | Sequence[str], seed: int = SEED, subsets: Sequence | None = None
 ) -> DataFrame:
     """``rows`` random rows of each subset; a smaller subset is kept whole."""
-    source = _only(df, by, subsets)
     order = seeded_order(key, seed)
-    cut = _with_cuts(source, order, lambda total: F.array(F.lit(rows).cast("long")), by, subsets)
+    cut = _with_cuts(_only(df, by, subsets), order, lambda total: [F.lit(rows)], by, subsets)
     return cut.filter(_before(order, 0)).select(*df.columns)
 
 
@@ -174,9 +171,9 @@ def split_exact(
     subsets: Sequence | None = None,
 ) -> DataFrame:
     """Column ``part``: ``test`` for exactly ``ceil(fraction * n)`` random rows (per subset), else ``train``."""
-    source = _only(df, by, subsets) if by else df
     order = seeded_order(key, seed)
-    cut = _with_cuts(source, order, lambda total: F.array(_share(total, fraction)), by, subsets)
+    share = F.lit(Decimal(str(fraction)))
+    cut = _with_cuts(_only(df, by, subsets), order, lambda total: [F.ceil(share * total)], by, subsets)
     return cut.withColumn("part", F.when(_before(order, 0), "test").otherwise("train")).select(*df.columns, "part")
 
 
@@ -191,40 +188,40 @@ def split_hash(df: DataFrame, fraction: float, key: str | Sequence[str], seed: i
     return df.withColumn("part", F.when(head < limit, "test").otherwise("train"))
 
 
+def _head(total: Column, percent: float) -> Column:
+    """``percent`` of the total, rounded half to even."""
+    return F.bround(F.lit(Decimal(str(percent)) / 100) * total).cast("long")
+
+
 def head_fraction(df: DataFrame, percent: float, order: Order) -> DataFrame:
     """First ``percent`` of the rows in an order, rounded half to even."""
-    share = F.lit(Decimal(str(percent)) / 100)
-    cut = _with_cuts(df, order, lambda total: F.array(F.bround(share * total).cast("long")), None, None)
+    cut = _with_cuts(df, order, lambda total: [_head(total, percent)])
     return cut.filter(_before(order, 0)).select(*df.columns)
 
 
-def corpus_chunks(df: DataFrame, chunks: int, order: Order, compat: bool = False) -> DataFrame:
-    """Column ``chunk``: contiguous chunks of an order, the first ``n % chunks`` one row longer.
+def corpus_chunks(df: DataFrame, chunks: int, order: Order, compat: bool = False, percent: float = 100) -> DataFrame:
+    """Column ``chunk``: contiguous chunks of the first ``percent`` of an order, the first ``n % chunks`` one row longer.
 
     With ``compat`` every chunk starts at the first row, so a row belongs to several chunks or to none.
     """
     if compat:
-        size = F.col("_total").cast("long")
-        whole, rest = F.floor(size / chunks), (size % chunks).cast("int")
         # rows before cut 0 are in every chunk, the row at cut 0 in the longer ones
-        cut = _with_cuts(df, order, lambda total: F.array(F.floor(total / chunks), F.floor(total / chunks) + 1), None, None)
-        upto = F.when(_before(order, 0), chunks - 1).when(_before(order, 1) & (rest > 0), rest - 1).otherwise(-1)
-        return (
-            cut.withColumn("_upto", upto)
-            .filter("_upto >= 0")
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_upto"))))
-            .select(*df.columns, "chunk")
-        )
-
-    def starts(total: Column) -> Column:
-        size, rest = F.floor(total / chunks), total % chunks
-        return F.array(*[size * i + F.least(F.lit(i), rest) for i in range(1, chunks)])
-
-    if chunks == 1:
-        return df.withColumn("chunk", F.lit(0))
-    cut = _with_cuts(df, order, starts, None, None)
-    passed = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c["_key"] <= order.key))
-    return cut.withColumn("chunk", passed).select(*df.columns, "chunk")
+        def ends(total: Column) -> list[Column]:
+            whole = F.floor(_head(total, percent) / chunks)
+            return [whole, whole + 1]
+
+        rest = (_head(F.col("_total"), percent) % chunks).cast("int")
+        upto = F.when(_before(order, 0), chunks - 1).when(_before(order, 1), rest - 1).otherwise(-1)
+        kept = _with_cuts(df, order, ends).withColumn("_upto", upto).filter("_upto >= 0")
+        return kept.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_upto")))).select(*df.columns, "chunk")
+
+    def starts(total: Column) -> list[Column]:
+        n = _head(total, percent)
+        return [n] + [F.floor(n / chunks) * i + F.least(F.lit(i), n % chunks) for i in range(1, chunks)]
+
+    cut = _with_cuts(df, order, starts).filter(_before(order, 0))
+    passed = [F.when(_before(order, i), 0).otherwise(1) for i in range(1, chunks)]
+    return cut.withColumn("chunk", sum(passed, F.lit(0))).select(*df.columns, "chunk")
 
 
 def with_rank(df: DataFrame, order: Order, before: int | None = None) -> DataFrame:
@@ -233,7 +230,7 @@ def with_rank(df: DataFrame, order: Order, before: int | None = None) -> DataFra
     Buckets wholly beyond ``before`` are dropped ahead of the shuffle. The bucket table has at most
     ``16 ** 4`` rows.
     """
-    starts = _bucket_starts(df, order, None).select(F.col("_bucket"), "_start")
+    starts = _bucket_starts(df, order, None).select("_bucket", "_start")
     if before is not None:
         starts = starts.filter(F.col("_start") < before)
     placed = df.withColumn("_b", order.bucket).join(F.broadcast(starts), F.col("_b") == F.col("_bucket"))
@@ -244,6 +241,19 @@ def with_rank(df: DataFrame, order: Order, before: int | None = None) -> DataFra
     return ranked.select(*df.columns, "rank")
 
 
-def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int = SEED) -> DataFrame:
-    """Rows in seeded random order (a range exchange over evenly spread hashes)."""
-    return df.withColumn("_h", order_hash(key, seed)).orderBy("_h", *_columns(key)).drop("_h")
+def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int = SEED, partitions: int | None = None) -> DataFrame:
+    """Rows in seeded random order, the same sequence for any number of partitions.
+
+    The hash is uniform, so its leading digits are the partition: no sampling pass as for a general sort.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions > 16**7:
+        raise ValueError("too many partitions")
+    leading = F.conv(F.substring("_h", 1, 8), 16, 10).cast("long")
+    place = F.shiftright(leading * partitions, 32).cast("int")
+    return (
+        df.withColumn("_h", order_hash(key, seed))
+        .repartitionById(partitions, place)
+        .sortWithinPartitions("_h", *_columns(key))
+        .drop("_h")
+    )

@@ -59,10 +59,9 @@ def tokenizer_corpus(
     chunks: int = CORPUS_CHUNKS, title: str | None = None, compat: bool = False,
 ) -> DataFrame:
     """First ``percent`` of the shuffled rows, cut into chunks, with columns ``text`` and ``chunk``."""
-    order = ranking.seeded_order(key, seed)
     text: Column = F.col("text") if title is None else columns.title_text(F.col(title), F.col("text"))
-    head = ranking.head_fraction(rows, percent, order)
-    return ranking.corpus_chunks(head, chunks, order, compat).withColumn("text", text)
+    order = ranking.seeded_order(key, seed)
+    return ranking.corpus_chunks(rows, chunks, order, compat, percent).withColumn("text", text)
 
 
 def tokenizer_sample(
@@ -70,9 +69,13 @@ def tokenizer_sample(
     fraction: float = TOKENIZER_FRACTION, title: str = "title", dropped: Sequence[str] = ("id", "url", "title"),
     compat: bool = False,
 ) -> DataFrame:
-    """``fraction`` of each subset with the title in front, in one chunk per subset, without the ``dropped`` columns."""
+    """``fraction`` of each subset with the title in front, without the ``dropped`` columns.
+
+    The subsets follow each other as listed and are cut into as many chunks.
+    """
     parted = ranking.split_exact(rows, fraction, key, seed, by, subsets).filter(F.col("part") == "test").drop("part")
-    chunked = ranking.corpus_chunks(parted, len(subsets), ranking.seeded_order(key, seed), compat)
+    listed = F.array_position(F.lit(list(subsets)), F.col(by))
+    chunked = ranking.corpus_chunks(parted, len(subsets), ranking.seeded_order(key, seed, first=listed), compat)
     named = chunked.withColumn("text", columns.title_text(F.col(title), F.col("text")))
     return columns.drop_columns(named, *dropped)
 
