@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tokenloom.sources import spread
+
 SEGMENT = 256
 
 
@@ -15,6 +17,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work that is heavy per row; the test files are single row groups."""
+    return spread(documents(spark, sf_dir), "doc_id")
+
+
 def instruct_source(spark: SparkSession, sf_dir: str, answered: bool = True) -> DataFrame:
     """User turns as instruct rows: system text of the conversation, user text, directly following answer.
 

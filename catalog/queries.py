@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from catalog.inputs import alpaca_source, documents, instruct_source, orca_source, table
+from catalog.inputs import alpaca_source, documents, instruct_source, orca_source, spread_documents, table
 from tokenloom import sinks, sources, streaming
 from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, MAX_SEQ_LEN, SPECIAL_TOKENS
 from tokenloom.functions import bytelevel, chat, pretokens, sequences
@@ -185,28 +185,28 @@ def collect_batches(spark, sf_dir):
 
 def pretokenize(spark, sf_dir):
     words = pretokens.pretokens(F.col("text"))
-    return documents(spark, sf_dir).select("doc_id", F.size(words).cast("long").alias("n"), F.array_join(words, "|").alias("words"))
+    return spread_documents(spark, sf_dir).select("doc_id", F.size(words).cast("long").alias("n"), F.array_join(words, "|").alias("words"))
 
 
 def word_counts(spark, sf_dir):
-    return wordstats.word_counts(wordstats.corpus_lines(documents(spark, sf_dir)))
+    return wordstats.word_counts(wordstats.corpus_lines(spread_documents(spark, sf_dir)))
 
 
 def byte_alphabet(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return spread_documents(spark, sf_dir).select(
         "doc_id", bytelevel.to_stand_ins(F.col("text")).alias("symbols"), text_of(bytelevel.byte_ids(F.col("text"))).alias("ids")
     )
 
 
 def byte_counts(spark, sf_dir):
-    counts = wordstats.symbol_counts(_words(documents(spark, sf_dir)))
+    counts = wordstats.symbol_counts(_words(spread_documents(spark, sf_dir)))
     alphabet = spark.createDataFrame(wordstats.byte_alphabet(), "byte int, stand_in string, id int")
     # 256 rows on the left side; the counts have at most as many
     return alphabet.join(counts, "id", "left").select("byte", "stand_in", "id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def pair_counts(spark, sf_dir):
-    return wordstats.pair_counts(_words(documents(spark, sf_dir)))
+    return wordstats.pair_counts(_words(spread_documents(spark, sf_dir)))
 
 
 def bpe_merges(spark, sf_dir):
@@ -252,22 +252,22 @@ def special_tokens(spark, sf_dir):
 
 def encode(spark, sf_dir):
     ids = _encoder(spark, sf_dir).encode(F.col("text"))
-    return documents(spark, sf_dir).select("doc_id", text_of(ids).alias("ids"))
+    return spread_documents(spark, sf_dir).select("doc_id", text_of(ids).alias("ids"))
 
 
 def special_split(spark, sf_dir):
     marked = F.concat(F.lit("<s>"), "source", F.lit("</s>"), "text", F.lit("<mask>"), "lang")
-    return documents(spark, sf_dir).select("doc_id", F.array_join(pretokens.encode_words(marked), "|").alias("words"))
+    return spread_documents(spark, sf_dir).select("doc_id", F.array_join(pretokens.encode_words(marked), "|").alias("words"))
 
 
 def add_bos_eos(spark, sf_dir):
     ids = sequences.add_bos_eos(bytelevel.byte_ids(F.col("text")))
-    return documents(spark, sf_dir).select("doc_id", text_of(ids).alias("ids"))
+    return spread_documents(spark, sf_dir).select("doc_id", text_of(ids).alias("ids"))
 
 
 def decode(spark, sf_dir):
     tokens = vocabulary.token_texts(_learned(spark, sf_dir))
-    coded = documents(spark, sf_dir).select("doc_id", _encoder(spark, sf_dir).encode(F.col("text")).alias("ids"))
+    coded = spread_documents(spark, sf_dir).select("doc_id", _encoder(spark, sf_dir).encode(F.col("text")).alias("ids"))
     return coded.select(
         "doc_id",
         decode_ids(F.col("ids"), tokens).alias("text"),
@@ -277,7 +277,7 @@ def decode(spark, sf_dir):
 
 def roundtrip(spark, sf_dir):
     tokens = vocabulary.token_texts(_learned(spark, sf_dir))
-    summary = training_rows.round_trip(documents(spark, sf_dir), _encoder(spark, sf_dir), tokens, "lang")
+    summary = training_rows.round_trip(spread_documents(spark, sf_dir), _encoder(spark, sf_dir), tokens, "lang")
     return summary.withColumn("chars_per_token", F.round("chars_per_token", 6))
 
 
@@ -305,12 +305,12 @@ def chat_encode(spark, sf_dir):
 
 
 def pad_truncate(spark, sf_dir):
-    ids = documents(spark, sf_dir).select("doc_id", bytelevel.byte_ids(F.col("text")).alias("ids"))
+    ids = spread_documents(spark, sf_dir).select("doc_id", bytelevel.byte_ids(F.col("text")).alias("ids"))
     return ids.select("doc_id", text_of(sequences.pad_truncate(F.col("ids"), MAX_SEQ_LEN)).alias("ids"))
 
 
 def _pretrain(spark, sf_dir, compat=False):
-    return training_rows.pretrain_rows(documents(spark, sf_dir), _encoder(spark, sf_dir), compat=compat, keep=("doc_id",))
+    return training_rows.pretrain_rows(spread_documents(spark, sf_dir), _encoder(spark, sf_dir), compat=compat, keep=("doc_id",))
 
 
 def _instruct(spark, sf_dir, compat=False):
@@ -345,7 +345,7 @@ def instruct_rows_compat(spark, sf_dir):
 
 
 def supervised_tokens(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     rows = training_rows.pretrain_rows(docs, _encoder(spark, sf_dir), keep=("lang",))
     return training_rows.supervised_tokens(rows, "lang").withColumn("mean_tokens", F.round("mean_tokens", 6))
 

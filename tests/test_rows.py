@@ -150,6 +150,13 @@ def test_pretrain_rows(spark, compat):
     assert all(len(r.input_ids) == 11 for r in rows)
 
 
+def test_wrapped_text_encodes_like_the_template(spark, docs):
+    encoder = Encoder(spark, [])
+    text = F.col("text")
+    same = encoder.encode(columns.wrap_text(text), template=False) == encoder.encode(text)
+    assert docs.filter(~same).count() == 0
+
+
 @pytest.mark.parametrize("compat", [False, True])
 def test_instruct_rows(spark, compat):
     encoder = Encoder(spark, [])

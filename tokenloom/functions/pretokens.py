@@ -9,7 +9,9 @@ from pyspark.sql import Column, functions as F
 from tokenloom.constants import JAVA_WORD_PATTERN, SPECIAL_TOKENS
 
 _SPECIAL = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
-_SPECIAL_EDGE = f"(?<={_SPECIAL})|(?={_SPECIAL})"
+# All reserved tokens start with "<" and end with ">"; testing that one character first keeps most positions cheap.
+_SPECIAL_HERE = f"(?=<)(?:{_SPECIAL})"
+_SPECIAL_EDGE = f"(?=<)(?={_SPECIAL})|(?<=>)(?<={_SPECIAL})"
 
 
 def with_prefix_space(text: Column) -> Column:
@@ -35,4 +37,4 @@ def encode_words(text: Column) -> Column:
     special_aware = F.flatten(
         F.transform(split_specials(text), lambda p: F.when(p.isin(SPECIAL_TOKENS), F.array(p)).otherwise(pretokens(p)))
     )
-    return F.when(text.rlike(_SPECIAL), special_aware).otherwise(pretokens(text))
+    return F.when(text.contains("<") & text.rlike(_SPECIAL_HERE), special_aware).otherwise(pretokens(text))

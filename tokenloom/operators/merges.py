@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.constants import MIN_FREQUENCY, SPECIAL_TOKENS, STAND_INS, BYTE_IDS, VOCAB_SIZE
 from tokenloom.functions import bytelevel
@@ -37,7 +37,7 @@ from tokenloom.session import shared_dir, ship_package
 MERGES_SCHEMA = "rank int, left int, right int, new_id int, count long"
 
 FIRST_PAIRS = 64
-MOST_PAIRS = 4096
+MOST_PAIRS = 32_768
 # Bounds of the run table on the driver: rows, and symbols per row.
 MOST_RUNS = 100_000
 LONGEST_RUN = 256
@@ -134,19 +134,35 @@ def _follow(
     return learned
 
 
-def _run_pattern(pairs: Sequence[str]) -> str:
-    """Regex of the maximal runs whose junctions all lie in ``pairs``; possessive, so long words need no stack."""
-    rights = defaultdict(list)
-    for pair in pairs:
-        rights[pair[0]].append(pair[1])
-    linked = "|".join(f"{left}(?=[{''.join(r)}])" for left, r in rights.items())
-    return f"(?s)(?:{linked})++."
+def _cut_runs(pairs: Sequence[str]) -> Callable[[str], Column]:
+    """Maximal runs of a word whose junctions all lie in ``pairs``.
+
+    An Arrow step, because the look-up of a junction must not cost more when more pairs are looked at.
+    """
+    linked = frozenset(pairs)
+
+    def runs_of(word: str) -> list[str]:
+        runs, start = [], 0
+        for i in range(len(word) - 1):
+            if word[i : i + 2] not in linked:
+                if i > start:
+                    runs.append(word[start : i + 1])
+                start = i + 1
+        if len(word) - 1 > start:
+            runs.append(word[start:])
+        return runs
+
+    @F.arrow_udf("array<string>")
+    def cut(words: pa.Array) -> pa.Array:
+        return pa.array([runs_of(s) for s in words.to_pylist()], pa.list_(pa.string()))
+
+    return cut
 
 
 def _collect_runs(words: DataFrame, pairs: Sequence[str]) -> list[tuple[tuple[int, ...], int]] | None:
     """The run table, or None if it is beyond the bounds."""
     runs = (
-        words.select(F.explode(F.regexp_extract_all("s", F.lit(_run_pattern(pairs)), F.lit(0))).alias("run"), "n")
+        words.select(F.explode(_cut_runs(pairs)("s")).alias("run"), "n")
         .groupBy("run")
         .agg(F.sum("n").alias("n"))
         .select(F.when(F.length("run") <= LONGEST_RUN, F.col("run")).alias("run"), "n")
@@ -191,7 +207,8 @@ def learn_merges(
     ship_package(words.sparkSession)
     tokens = Tokens(vocab_size)
     learned: list[Merge] = []
-    words = words.filter(F.length("s") > 1).checkpoint()
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    words = words.filter(F.length("s") > 1).repartition(cores, "s").checkpoint()
     cached: list[DataFrame] = []
     wanted, rounds = max(1, first_pairs), 0
     while not tokens.full():
@@ -229,8 +246,9 @@ def _round(words, top, wanted, tokens, min_frequency, most_runs) -> _Round:
             bar = (-top[wanted].n, symbol_id(top[wanted].pair[0]), symbol_id(top[wanted].pair[1]))
         runs = _collect_runs(words, [r.pair for r in pairs])
         if runs is not None and len(runs) <= most_runs:
-            grown = min(MOST_PAIRS, wanted * 2) if len(runs) * 2 <= most_runs else wanted
-            return _Round(_follow(runs, bar, tokens, min_frequency), grown)
+            # after the merges the same number of pairs makes far fewer runs, so there is room to grow
+            growth = 4 if len(runs) * 6 <= most_runs else 2 if len(runs) * 3 <= most_runs else 1
+            return _Round(_follow(runs, bar, tokens, min_frequency), min(MOST_PAIRS, wanted * growth))
         wanted //= 2
     left, right = map(symbol_id, top[0].pair)
     new, _ = tokens.product(left, right)

@@ -8,15 +8,19 @@ from tokenloom.constants import EOS, MAX_SEQ_LEN
 from tokenloom.functions import chat, sequences
 from tokenloom.functions.codec import Encoder, decode_ids
 from tokenloom.functions.pretokens import with_prefix_space
-from tokenloom.operators.columns import wrap_text
 
 
 def pretrain_rows(
     df: DataFrame, encoder: Encoder, length: int = MAX_SEQ_LEN, text: str = "text", compat: bool = False, keep: tuple = ()
 ) -> DataFrame:
-    """Pretraining rows; with ``compat`` the markers are written and the template added on top."""
-    source = wrap_text(F.col(text))
-    ids = df.select(*keep, encoder.encode(source, template=compat).alias("_ids"))
+    """Pretraining rows.
+
+    The text stands between begin and end id. Markers written around the text, as ``wrap_text`` does, give the same ids as
+    the template, so they need not be written and found again; with ``compat`` both count and the ids are doubled.
+    """
+    ids = df.select(*keep, encoder.encode(F.col(text)).alias("_ids"))
+    if compat:
+        ids = ids.withColumn("_ids", sequences.add_bos_eos(F.col("_ids"), encoder.bos, encoder.eos))
     return ids.select(*keep, *sequences.pretrain_columns(F.col("_ids"), length, compat))
 
 

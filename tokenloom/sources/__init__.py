@@ -20,6 +20,16 @@ def read_subsets(spark: SparkSession, path: str, subsets: Sequence[str], column:
     return spark.read.parquet(path).filter(F.col(column).isin(list(subsets)))
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Rows over all cores, if the input comes in fewer splits than there are cores.
+
+    For work per row that costs far more than moving the row, on a plain scan. A large input has more splits and is left
+    as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_config(spark: SparkSession, path: str, schema: str, config: str | None = None) -> DataFrame:
     """A data set, or one named configuration stored below it, as JSON lines."""
     return spark.read.schema(schema).json(f"{path.rstrip('/')}/{config}" if config else path)
