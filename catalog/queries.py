@@ -235,7 +235,7 @@ def vocab_import(spark, sf_dir):
 
 def vocab_merge(spark, sf_dir):
     base = vocabulary.vocab_table(spark, _learned(spark, sf_dir, "benchmark", BASE_LEARNED))
-    return vocabulary.extend_vocab(base, vocabulary.vocab_table(spark, _learned(spark, sf_dir)))
+    return vocabulary.extend_vocab(base, vocabulary.vocab_table(spark, _learned(spark, sf_dir))).drop("bytes")
 
 
 def special_tokens(spark, sf_dir):

@@ -139,9 +139,11 @@ def test_instruct_job(spark, tmp_path):
     b = spark.createDataFrame(
         [(f"x{i}", i, "s", f"q{i}", f"r{i}") for i in range(50, 100)], "id string, key long, system_prompt string, question string, response string"
     )
-    plans.build_instruct(plans.instruct_union(a, b), f"{tmp_path}/train", f"{tmp_path}/valid", "key")
+    plans.build_instruct(plans.instruct_union(a, b), f"{tmp_path}/out", "key")
     schema = "key long, instruct string, input string, output string"
-    train, valid = (sources.read_jsonl(spark, f"{tmp_path}/{p}", schema).collect() for p in ("train", "valid"))
+    train, valid = (sources.read_jsonl(spark, f"{tmp_path}/out/part={p}", schema).collect() for p in ("train", "test"))
+    written = "".join(p.read_text() for p in sorted(Path(f"{tmp_path}/out/part=train").glob("part-*"))).splitlines()
+    assert [json.loads(line)["key"] for line in written] == seeded(range(100))[5:]
     assert {r.key for r in valid} == set(seeded(range(100))[:5])
     assert sorted(r.key for r in train + valid) == list(range(100))
     assert {r.key: (r.instruct, r.input, r.output) for r in train + valid}[60] == ("s", "q60", "r60")
@@ -169,6 +171,31 @@ def test_tokenizer_job(spark, docs, tmp_path, compat):
         assert r.a == r.b
 
 
+def test_tokenizer_job_extends_a_vocabulary(spark, docs, tmp_path):
+    base = Merge(70, 71, 261, 9), Merge(261, 261, 262, 8), Merge(262, 262, 263, 7)
+    sinks.write_vocab_json(vocabulary.vocab_table(spark, base), f"{tmp_path}/base")
+    out = f"{tmp_path}/tok"
+    learned = plans.train_tokenizer(
+        plans.tokenizer_corpus(docs, "doc_id"), out, vocab_size=280, base=sources.read_vocab_json(spark, f"{tmp_path}/base")
+    )
+    rows = {r.id: r.token for r in spark.read.parquet(f"{out}/vocab").collect()}
+    tokens = vocabulary.token_texts(base)
+    new = [t for t in vocabulary.token_texts(learned) if t not in tokens]
+    assert [rows[i] for i in range(len(rows))] == tokens + new
+    encoder = plans.load_encoder(spark, out)
+    shown = docs.limit(30).select(encoder.encode(F.col("text")).alias("a"), Encoder(spark, learned).encode(F.col("text")).alias("b"))
+    for r in shown.collect():
+        assert [rows[i] for i in r.a] == [vocabulary.token_texts(learned)[i] for i in r.b]
+
+
+def test_hash_split_on_a_stream(spark, tmp_path):
+    path = jsonl_files(spark, tmp_path, [(i, "t") for i in range(60)], "id long, text string")
+    frame = ranking.split_hash(sources.stream_jsonl(spark, path, "id long, text string"), 0.3, "id")
+    streaming.run_available(frame, f"{tmp_path}/out", f"{tmp_path}/progress")
+    batch = ranking.split_hash(sources.read_jsonl(spark, path, "id long, text string"), 0.3, "id")
+    assert sorted(spark.read.parquet(f"{tmp_path}/out").collect()) == sorted(batch.collect())
+
+
 def test_tokenizer_sample(spark, docs):
     rows = docs.select("doc_id", F.col("lang").alias("subset"), F.col("source").alias("title"), "text")
     out = plans.tokenizer_sample(rows, ["fr", "en"], key="doc_id", fraction=0.2, dropped=("doc_id", "title"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import heapq
 import uuid
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -63,34 +64,34 @@ def merge_word(ids: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
 
 
 class _WordCodec:
-    """Word to ids with a bounded cache, one per Python worker and broadcast."""
+    """Word to ids with a bounded cache, one per Python worker and tokenizer. A word's ids are kept as packed int32."""
 
     def __init__(self, byte_ids: list[int], merges: list[tuple[int, int, int]], specials: dict[str, int]):
         self.byte_ids = byte_ids
         self.merges = {left << 32 | right: (rank, new) for rank, (left, right, new) in enumerate(merges)}
         self.specials = specials
-        self.cache: dict[str, list[int]] = {}
-
-    def ids(self, word: str) -> list[int]:
-        found = self.cache.get(word)
-        if found is None:
-            if word in self.specials:
-                found = [self.specials[word]]
-            else:
-                found = merge_word([self.byte_ids[b] for b in word.encode()], self.merges)
-            if len(word) <= CACHED_WORD_LENGTH:
-                if len(self.cache) >= CACHED_WORDS:
-                    self.cache.clear()
-                self.cache[word] = found
-        return found
+        self.cache: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        if word in self.specials:
+            ids = [self.specials[word]]
+        else:
+            ids = merge_word([self.byte_ids[b] for b in word.encode()], self.merges)
+        packed = array("i", ids).tobytes()
+        if len(word) <= CACHED_WORD_LENGTH:
+            if len(self.cache) >= CACHED_WORDS:
+                self.cache.clear()
+            self.cache[word] = packed
+        return packed
 
     def encode(self, words: pa.Array) -> pa.Array:
-        flat = words.flatten()
-        coded = flat.dictionary_encode()
-        distinct = [self.ids(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.fromiter((len(d) for d in distinct), np.int64, len(distinct))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        packed = list(map(self.cache.get, distinct))
+        packed = [self.word(w) if p is None else p for w, p in zip(distinct, packed)]
+        pool = np.frombuffer(b"".join(packed), np.int32)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         starts = np.concatenate([[0], np.cumsum(sizes)])
-        pool = np.fromiter((t for d in distinct for t in d), np.int32, int(starts[-1]))
         index = np.asarray(coded.indices.to_numpy(zero_copy_only=False), np.int64)
         # positions in the pool: each word's start, counted up through the word
         lengths = sizes[index]
@@ -115,11 +116,14 @@ class Encoder:
         byte_ids: list[int] = BYTE_IDS,
         specials: list[str] | dict[str, int] = SPECIAL_TOKENS,
     ):
+        merges = [tuple(m[:3]) for m in merges]
+        if len(merges) > bytelevel.MAX_SYMBOLS:
+            raise ValueError("more merges than token ids")
         by_token = specials if isinstance(specials, dict) else {t: i for i, t in enumerate(specials)}
         self.bos, self.eos = by_token["<s>"], by_token["</s>"]
         ship_package(spark)
         name = uuid.uuid4().hex
-        tables = spark.sparkContext.broadcast((list(byte_ids), [tuple(m[:3]) for m in merges], by_token))
+        tables = spark.sparkContext.broadcast((list(byte_ids), merges, by_token))
 
         @F.arrow_udf("array<int>")
         def encode(words: pa.Array) -> pa.Array:

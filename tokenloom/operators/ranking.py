@@ -241,19 +241,20 @@ def with_rank(df: DataFrame, order: Order, before: int | None = None) -> DataFra
     return ranked.select(*df.columns, "rank")
 
 
-def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int = SEED, partitions: int | None = None) -> DataFrame:
+def shuffle_rows(
+    df: DataFrame, key: str | Sequence[str], seed: int = SEED, partitions: int | None = None, first: Sequence[str] = ()
+) -> DataFrame:
     """Rows in seeded random order, the same sequence for any number of partitions.
 
-    The hash is uniform, so its leading digits are the partition: no sampling pass as for a general sort.
+    The hash is uniform, so its leading digits are the partition: no sampling pass as for a general sort. ``first``
+    names columns that are sorted ahead of the hash inside a partition, as a write by these columns needs it.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if partitions > 16**7:
-        raise ValueError("too many partitions")
     leading = F.conv(F.substring("_h", 1, 8), 16, 10).cast("long")
     place = F.shiftright(leading * partitions, 32).cast("int")
     return (
         df.withColumn("_h", order_hash(key, seed))
         .repartitionById(partitions, place)
-        .sortWithinPartitions("_h", *_columns(key))
+        .sortWithinPartitions(*first, "_h", *_columns(key))
         .drop("_h")
     )

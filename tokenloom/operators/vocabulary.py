@@ -32,6 +32,13 @@ def vocab_table(spark: SparkSession, merges: Sequence[Merge]) -> DataFrame:
     return table.withColumn("bytes", bytelevel.from_stand_ins(F.col("token")))
 
 
+def vocab_from_map(tokens: DataFrame) -> DataFrame:
+    """Vocabulary table from rows ``token, id`` as read from a JSON map."""
+    kind = F.when(F.col("token").isin(SPECIAL_TOKENS), "special").when(F.col("token").isin(STAND_INS), "byte").otherwise("merge")
+    table = tokens.select(F.col("id").cast("int").alias("id"), "token", kind.alias("kind"))
+    return table.withColumn("bytes", bytelevel.from_stand_ins(F.col("token")))
+
+
 def special_tokens(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, t, True) for i, t in enumerate(SPECIAL_TOKENS)], "id int, content string, special boolean")
 
@@ -41,9 +48,8 @@ def extend_vocab(base: DataFrame, new: DataFrame) -> DataFrame:
     added = new.join(base, "token", "left_anti")
     top = base.agg(F.max("id").alias("top")).scalar()
     position = F.row_number().over(Window.orderBy("id"))
-    return base.select("id", "token", "kind").unionByName(
-        added.select((top + position).cast("int").alias("id"), "token", "kind")
-    )
+    columns = ["id", "token", "kind", "bytes"]
+    return base.select(columns).unionByName(added.withColumn("id", (top + position).cast("int")).select(columns))
 
 
 def relabel_merges(merges: DataFrame, old: DataFrame, vocab: DataFrame) -> DataFrame:

@@ -45,13 +45,11 @@ def instruct_union(alpaca: DataFrame, orca: DataFrame) -> DataFrame:
 
 
 def build_instruct(
-    rows: DataFrame, train: str, valid: str, key: str | Sequence[str], fraction: float = VALIDATION_FRACTION, seed: int = SEED
+    rows: DataFrame, out: str, key: str | Sequence[str], fraction: float = VALIDATION_FRACTION, seed: int = SEED
 ) -> None:
-    """Shuffled instruct rows split into train and validation JSON lines."""
+    """Shuffled instruct rows as JSON lines below ``out/part=train`` and ``out/part=test``, written in one pass."""
     parted = ranking.split_exact(rows, fraction, key, seed)
-    for part, path in (("train", train), ("test", valid)):
-        chosen = parted.filter(F.col("part") == part).drop("part")
-        sinks.write_jsonl(ranking.shuffle_rows(chosen, key, seed), path)
+    ranking.shuffle_rows(parted, key, seed, first=["part"]).write.partitionBy("part").json(out)
 
 
 def tokenizer_corpus(
@@ -81,14 +79,21 @@ def tokenizer_sample(
 
 
 def train_tokenizer(
-    corpus: DataFrame, out: str, chunks: int = CORPUS_CHUNKS, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY
+    corpus: DataFrame, out: str, chunks: int = CORPUS_CHUNKS, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
+    base: DataFrame | None = None,
 ) -> list[merges.Merge]:
-    """Write the chunk files, learn merges from them and save vocabulary, merges and settings below ``out``."""
+    """Write the chunk files, learn merges from them and save vocabulary, merges and settings below ``out``.
+
+    With a ``base`` vocabulary (rows ``token, id``) its ids are kept and the learned tokens that it lacks come after it.
+    """
     spark = corpus.sparkSession
     sinks.write_chunks(corpus, f"{out}/corpus", chunks)
     words = wordstats.word_counts(sources.read_lines(spark, f"{out}/corpus"))
     learned = merges.learn_merges(wordstats.symbol_words(words), vocab_size, min_frequency)
     vocab, merge_list = vocabulary.vocab_table(spark, learned), merges.merges_table(spark, learned)
+    if base is not None:
+        joint = vocabulary.extend_vocab(vocabulary.vocab_from_map(base), vocab)
+        vocab, merge_list = joint, vocabulary.relabel_merges(merge_list, vocab, joint)
     sinks.write_table(vocab, f"{out}/vocab", "overwrite")
     sinks.write_table(merge_list, f"{out}/merges", "overwrite")
     sinks.write_vocab_json(vocab, f"{out}/vocab-json", "overwrite")
