@@ -17,13 +17,7 @@ USER_CLOSE = "</s>\n<s>assistant\n"
 ASSISTANT_CLOSE = "</s>\n"
 
 # Chat template as stored with the tokenizer settings (Jinja text, never run here).
-CHAT_TEMPLATE = (
-    "{% if messages[0]['role'] == 'system' %}{% set system_message = messages[0]['content'] %}{% endif %}"
-    "{% if system_message is defined %}{{ system_message }}{% endif %}"
-    "{% for message in messages %}{% set content = message['content'] %}"
-    "{% if message['role'] == 'user' %}{{ '<s>user\\n' + content + '</s>\\n<s>assistant\\n' }}"
-    "{% elif message['role'] == 'assistant' %}{{ content + '</s>' + '\\n' }}{% endif %}{% endfor %}"
-)
+CHAT_TEMPLATE = "{% if messages[0]['role'] == 'system' %}{% set system_message = messages[0]['content'] %}{% endif %}{% if system_message is defined %}{{ system_message }}{% endif %}{% for message in messages %}{% set content = message['content'] %}{% if message['role'] == 'user' %}{{ '<s>user\\n' + content + '</s>\\n<s>assistant\\n' }}{% elif message['role'] == 'assistant' %}{{ content + '</s>' + '\\n' }}{% endif %}{% endfor %}"
 
 # Published sizes of the three jobs.
 VOCAB_SIZE = 32000

@@ -14,14 +14,13 @@ def rendered_turns(
 ) -> DataFrame:
     """Turns with their chat text in ``piece``; system turns other than a leading one are gone.
 
-    User and assistant turns render row by row. Whether a system turn leads is the conversation's smallest turn, an
-    aggregate that combines before the shuffle, so a conversation of any length costs one row per task.
+    User and assistant turns render row by row. A system turn leads if it has the conversation's smallest turn number, a
+    hash aggregate that combines before the shuffle, so a conversation of any length costs one row per task. The leading
+    system turns are then found by an equi join on the unique (conversation, turn).
     """
     spoken = turns.withColumn("piece", rendered_turn(F.col(role), F.col(text))).select(conv, turn, "piece")
-    # only the turn number and role enter the aggregate; the text follows by an equi join on the unique (conv, turn)
-    first = turns.groupBy(conv).agg(F.min(F.struct(turn, role)).alias("_first"))
-    leading = first.filter(F.col("_first")[role] == "system").select(conv, F.col("_first")[turn].alias(turn))
-    system = turns.filter(F.col(role) == "system").join(leading, [conv, turn], "left_semi")
+    first = turns.groupBy(conv).agg(F.min(turn).alias(turn))
+    system = turns.filter(F.col(role) == "system").join(first, [conv, turn], "left_semi")
     return spoken.filter(F.col("piece").isNotNull()).unionByName(system.select(conv, turn, F.col(text).alias("piece")))
 
 

@@ -28,8 +28,10 @@ def chat_ids(df: DataFrame, encoder: Encoder) -> DataFrame:
     """Columns ``prompt`` and ``answer``: ids of the rendered chat texts, without begin and end template."""
     prompt = chat.render_messages(chat.prompt_messages(F.col("instruct"), F.col("input")))
     answer = chat.render_messages(chat.answer_messages(F.col("output")))
-    return df.withColumns(
-        {"prompt": encoder.encode(prompt, template=False), "answer": encoder.encode(answer, template=False)}
+    # a projection of its own, so that each text is rendered once however often encoding refers to it
+    texts = df.withColumns({"prompt": prompt, "answer": answer})
+    return texts.withColumns(
+        {c: encoder.encode(F.col(c), template=False) for c in ("prompt", "answer")}
     )
 
 
