@@ -123,6 +123,17 @@ def test_instruct_stream_equals_batch(spark, tmp_path, compat):
         assert sorted(spark.read.parquet(f"{tmp_path}/out").collect()) == sorted(batch)
 
 
+def test_stream_sets_rejects_apart(spark, tmp_path):
+    rows = [(i, "sys", f"ask {i}", None if i % 4 == 0 else "yes") for i in range(20)]
+    path = jsonl_files(spark, tmp_path, rows, "id long, instruct string, input string, output string")
+    streaming.stream_instruct(
+        spark, path, f"{tmp_path}/out", f"{tmp_path}/progress", Encoder(spark, MERGES), 24, keep_schema="id long", keep=("id",),
+        rejects=f"{tmp_path}/bad",
+    )
+    assert {r.id for r in spark.read.parquet(f"{tmp_path}/bad").collect()} == set(range(0, 20, 4))
+    assert {r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {i for i in range(20) if i % 4}
+
+
 def test_corpus_job(spark, docs, tmp_path):
     rows = docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("subset"))
     report = plans.build_corpus(rows, f"{tmp_path}/c", ["en", "fr", "es"], size=60)

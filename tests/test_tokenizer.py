@@ -8,7 +8,7 @@ from tests import plain
 from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, SPECIAL_TOKENS, STAND_INS
 from tokenloom.functions import bytelevel, pretokens
 from tokenloom.functions.codec import Encoder, decode_ids, merge_word
-from tokenloom.operators import merges as merges_module, vocabulary, wordstats
+from tokenloom.operators import merges as merges_module, training_rows, vocabulary, wordstats
 from tokenloom.operators.merges import learn_merges
 
 CRAFTED = [
@@ -175,6 +175,13 @@ def test_decoding_equals_the_tokenizer_library(spark, learned, library):
         assert r.plain == library.decode(arrays[r.i], skip_special_tokens=True)
 
 
+def test_round_trip_of_six_languages(spark, learned):
+    texts = {"mixed": [t for t in CRAFTED if "你好" in t], "other": [t for t in CRAFTED if t]}
+    df = spark.createDataFrame([(k, t) for k, ts in texts.items() for t in ts], "lang string, text string")
+    rows = training_rows.round_trip(df, Encoder(spark, learned), vocabulary.token_texts(learned), "lang").collect()
+    assert {r.lang: (r.rows, r.mismatches) for r in rows} == {k: (len(ts), 0) for k, ts in texts.items()}
+
+
 def test_word_merging_equals_the_plain_loop(learned):
     merges = {m.left << 32 | m.right: (i, m.new_id) for i, m in enumerate(learned)}
     rng = random.Random(5)

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.constants import EOS, MAX_SEQ_LEN
 from tokenloom.functions.codec import Encoder
+from tokenloom.operators.columns import instruct_reject, pretrain_reject, split_rejects
 from tokenloom.operators.training_rows import instruct_rows, pretrain_rows
 from tokenloom.sources import INSTRUCT_SCHEMA, PRETRAIN_SCHEMA, stream_jsonl
 
@@ -32,31 +33,37 @@ def run_available(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
 
 
 def _stream(
-    spark: SparkSession, source: str, schema: str, keep: str, files_per_trigger: int | None,
-    transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+    spark: SparkSession, source: str, schema: str, keep: str, files_per_trigger: int | None, reason: Column,
+    transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, rejects: str | None,
 ) -> StreamingQuery:
-    declared = f"{keep}, {schema}" if keep else schema
-    return run_available(transform(stream_jsonl(spark, source, declared, files_per_trigger)), out, checkpoint)
+    """Usable rows to ``out``; the others, which no training row can be made of, to ``rejects`` if it is named."""
+    rows = stream_jsonl(spark, source, f"{keep}, {schema}" if keep else schema, files_per_trigger)
+    good, bad = split_rejects(rows, reason)
+    if rejects:
+        run_available(bad, rejects, f"{checkpoint}-rejects")
+    return run_available(transform(good if rejects else rows), out, checkpoint)
 
 
 def stream_pretrain(
     spark: SparkSession, source: str, out: str, checkpoint: str, encoder: Encoder, length: int = MAX_SEQ_LEN,
     compat: bool = False, keep_schema: str = "", keep: tuple = (), files_per_trigger: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """JSON lines with ``text`` to pretraining rows."""
     return _stream(
-        spark, source, PRETRAIN_SCHEMA, keep_schema, files_per_trigger,
-        lambda df: pretrain_rows(df, encoder, length, compat=compat, keep=keep), out, checkpoint,
+        spark, source, PRETRAIN_SCHEMA, keep_schema, files_per_trigger, pretrain_reject(F.col("text")),
+        lambda df: pretrain_rows(df, encoder, length, compat=compat, keep=keep), out, checkpoint, rejects,
     )
 
 
 def stream_instruct(
     spark: SparkSession, source: str, out: str, checkpoint: str, encoder: Encoder, length: int = MAX_SEQ_LEN,
     compat: bool = False, label_pad: int = EOS, keep_schema: str = "", keep: tuple = (),
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = None, rejects: str | None = None,
 ) -> StreamingQuery:
     """JSON lines with ``instruct``, ``input`` and ``output`` to instruct rows."""
     return _stream(
         spark, source, INSTRUCT_SCHEMA, keep_schema, files_per_trigger,
-        lambda df: instruct_rows(df, encoder, length, compat, label_pad, keep), out, checkpoint,
+        instruct_reject(F.col("instruct"), F.col("input"), F.col("output")),
+        lambda df: instruct_rows(df, encoder, length, compat, label_pad, keep), out, checkpoint, rejects,
     )
