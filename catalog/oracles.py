@@ -346,6 +346,10 @@ def all_sql() -> dict[str, str]:
     )
     sql["pretrain_rows"] = sql["stream_pretrain"] = _pretrain_sql(compat=False)
     sql["pretrain_rows_compat"] = _pretrain_sql(compat=True)
+    sql["training_batches"] = (
+        f"SELECT doc_id, rank, rank // 32 AS micro_batch, rank // 256 AS step, input_ids, labels "
+        f"FROM ({_pretrain_sql(compat=False)}) JOIN (SELECT doc_id, rank FROM ({ranked})) USING (doc_id)"
+    )
     sql["instruct_labels"] = (
         f"WITH {_INSTRUCT} SELECT conv_id, turn, {_joined(_masked('p', 'a'))} AS labels FROM "
         f"(SELECT conv_id, turn, {_byte_ids('input')} AS p, {_byte_ids('output')} AS a FROM answered)"

@@ -356,6 +356,13 @@ def id_domain(spark, sf_dir):
     return good.select("doc_id", F.lit(True).alias("usable")).unionByName(bad.select("doc_id", F.lit(False).alias("usable")))
 
 
+def training_batches(spark, sf_dir):
+    """Pretraining rows with their place in the training order, assigned before encoding."""
+    placed = batches.assign_batches(documents(spark, sf_dir), "doc_id")
+    keep = ("doc_id", "rank", "micro_batch", "step")
+    return _shown(training_rows.pretrain_rows(placed, _encoder(spark, sf_dir), keep=keep), *keep)
+
+
 # streams
 
 
@@ -394,6 +401,6 @@ QUERIES = {
         byte_counts, pair_counts, bpe_merges, vocab, vocab_export, vocab_import, vocab_merge, special_tokens, encode,
         special_split, add_bos_eos, decode, roundtrip, chat_render, chat_render_rows, chat_encode, pad_truncate,
         pretrain_rows, pretrain_rows_compat, instruct_labels, instruct_rows, instruct_rows_compat, supervised_tokens,
-        id_domain, stream_pretrain, stream_instruct,
+        id_domain, training_batches, stream_pretrain, stream_instruct,
     )
 }

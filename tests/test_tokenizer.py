@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tests import plain
+from tokenloom import sinks
 from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, SPECIAL_TOKENS, STAND_INS
 from tokenloom.functions import bytelevel, pretokens
 from tokenloom.functions.codec import Encoder, decode_ids, merge_word
@@ -149,6 +150,24 @@ def test_vocabulary_equals_the_tokenizer_library(learned, library):
     assert vocabulary.token_texts(learned) == sorted(library.get_vocab(), key=library.get_vocab().get)
 
 
+def test_exported_document_loads_in_the_tokenizer_library(spark, docs, learned, tmp_path):
+    lib = pytest.importorskip("tokenizers")
+    vocab, table = vocabulary.vocab_table(spark, learned), merges_module.merges_table(spark, learned)
+    sinks.write_tokenizer_json(table, vocab, f"{tmp_path}/t")
+    loaded = lib.Tokenizer.from_file(str(next(tmp_path.glob("t/part-*"))))
+    texts = CRAFTED + SPECIALS + [r.text for r in docs.limit(40).select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for r in df.select("i", Encoder(spark, learned).encode(F.col("t")).alias("ids")).collect():
+        assert loaded.encode(texts[r.i]).ids == r.ids
+        assert loaded.decode(r.ids) == plain_prefix(texts[r.i])
+
+
+def plain_prefix(text):
+    for token in SPECIAL_TOKENS:
+        text = text.replace(token, "\ue000")
+    return "".join(p if p.startswith(" ") or not p else " " + p for p in text.split("\ue000"))
+
+
 SPECIALS = ["<s></s>", "a <s> b", "<s>low lower</s>", " <mask> x<pad>", "<s", "a!<s>!  <unk>\n\n</s>  end  "]
 
 

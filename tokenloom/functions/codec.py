@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.constants import BYTE_IDS, SPECIAL_TOKENS, STAND_INS
+from tokenloom.constants import BOS, BYTE_IDS, EOS, PAD, SPECIAL_TOKENS, STAND_INS
 from tokenloom.functions import bytelevel, pretokens, sequences
 from tokenloom.session import ship_package
 
@@ -120,7 +120,7 @@ class Encoder:
         if len(merges) > bytelevel.MAX_SYMBOLS:
             raise ValueError("more merges than token ids")
         by_token = specials if isinstance(specials, dict) else {t: i for i, t in enumerate(specials)}
-        self.bos, self.eos = by_token["<s>"], by_token["</s>"]
+        self.bos, self.eos, self.pad = (by_token[SPECIAL_TOKENS[i]] for i in (BOS, EOS, PAD))
         ship_package(spark)
         name = uuid.uuid4().hex
         tables = spark.sparkContext.broadcast((list(byte_ids), merges, by_token))

@@ -19,9 +19,9 @@ def pad_truncate(ids: Column, length: int, pad: int = IGNORE) -> Column:
     return F.concat(F.slice(ids, 1, length), F.array_repeat(F.lit(pad), F.greatest(F.lit(0), length - F.size(ids))))
 
 
-def pretrain_columns(ids: Column, length: int, compat: bool = False) -> list[Column]:
+def pretrain_columns(ids: Column, length: int, compat: bool = False, pad: int = PAD) -> list[Column]:
     """Input without the last position, labels without the first; both ``length - 1`` long."""
-    inputs = F.slice(pad_truncate(ids, length, IGNORE if compat else PAD), 1, length - 1)
+    inputs = F.slice(pad_truncate(ids, length, IGNORE if compat else pad), 1, length - 1)
     labels = F.slice(pad_truncate(ids, length, IGNORE), 2, length - 1)
     return [inputs.alias("input_ids"), labels.alias("output_ids" if compat else "labels")]
 

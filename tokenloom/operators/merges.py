@@ -42,6 +42,7 @@ MOST_PAIRS = 32_768
 MOST_RUNS = 100_000
 LONGEST_RUN = 256
 CHECKPOINT_EVERY = 8
+WORDS_PER_TASK = 100_000
 
 
 class Merge(NamedTuple):
@@ -207,9 +208,11 @@ def learn_merges(
     ship_package(words.sparkSession)
     tokens = Tokens(vocab_size)
     learned: list[Merge] = []
-    cores = words.sparkSession.sparkContext.defaultParallelism
-    words = words.filter(F.length("s") > 1).repartition(cores, "s").checkpoint()
-    cached: list[DataFrame] = []
+    words = words.filter(F.length("s") > 1).checkpoint()
+    # tasks of even and limited work in every round, whatever the shuffle settings made of the word counts
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, words.count() // WORDS_PER_TASK)
+    words = words.repartition(tasks, "s").persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [words]
     wanted, rounds = max(1, first_pairs), 0
     while not tokens.full():
         top = pair_strings(words).orderBy(F.desc("n"), "pair").limit(wanted + 1).collect()

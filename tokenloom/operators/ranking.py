@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tokenloom.constants import SEED
 
@@ -60,6 +60,8 @@ def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
     The quantiles are estimated once, here, and become literals: an estimate only affects how even the buckets
     are, the counts taken over them are exact.
     """
+    if not isinstance(df.schema[key].dataType, T.NumericType):
+        raise TypeError(f"{key} is not numeric")
     steps = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(df.agg(F.percentile_approx(key, steps).alias("q")).first().q or []))
     if not bounds:

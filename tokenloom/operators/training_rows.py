@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tokenloom.constants import EOS, MAX_SEQ_LEN
+from tokenloom.constants import MAX_SEQ_LEN
 from tokenloom.functions import chat, sequences
 from tokenloom.functions.codec import Encoder, decode_ids
 from tokenloom.functions.pretokens import with_prefix_space
@@ -21,7 +21,7 @@ def pretrain_rows(
     ids = df.select(*keep, encoder.encode(F.col(text)).alias("_ids"))
     if compat:
         ids = ids.withColumn("_ids", sequences.add_bos_eos(F.col("_ids"), encoder.bos, encoder.eos))
-    return ids.select(*keep, *sequences.pretrain_columns(F.col("_ids"), length, compat))
+    return ids.select(*keep, *sequences.pretrain_columns(F.col("_ids"), length, compat, encoder.pad))
 
 
 def chat_ids(df: DataFrame, encoder: Encoder) -> DataFrame:
@@ -40,14 +40,14 @@ def instruct_rows(
     encoder: Encoder,
     length: int = MAX_SEQ_LEN,
     compat: bool = False,
-    label_pad: int = EOS,
+    label_pad: int | None = None,
     keep: tuple = (),
 ) -> DataFrame:
-    """Instruct rows; with ``compat`` the input holds the prompt only."""
+    """Instruct rows; with ``compat`` the input holds the prompt only. Labels are padded with the end id by default."""
+    pad = encoder.eos if label_pad is None else label_pad
     ids = chat_ids(df, encoder).select(*keep, "prompt", "answer")
     return ids.select(
-        *keep,
-        *sequences.instruct_columns(F.col("prompt"), F.col("answer"), length, compat, encoder.eos, label_pad),
+        *keep, *sequences.instruct_columns(F.col("prompt"), F.col("answer"), length, compat, encoder.eos, pad)
     )
 
 

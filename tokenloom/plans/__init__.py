@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom import sinks, sources
 from tokenloom.constants import (
-    ACCUMULATION, BATCH_ROWS, CORPUS_CHUNKS, CORPUS_ROWS, EOS, HEAD_PERCENT, MAX_SEQ_LEN, MAX_STEPS, MIN_FREQUENCY, SEED,
+    ACCUMULATION, BATCH_ROWS, CORPUS_CHUNKS, CORPUS_ROWS, HEAD_PERCENT, MAX_SEQ_LEN, MAX_STEPS, MIN_FREQUENCY, SEED,
     TOKENIZER_FRACTION, VALIDATION_FRACTION, VOCAB_SIZE,
 )
 from tokenloom.functions.codec import Encoder
@@ -98,6 +98,7 @@ def train_tokenizer(
     sinks.write_table(merge_list, f"{out}/merges", "overwrite")
     sinks.write_vocab_json(vocab, f"{out}/vocab-json", "overwrite")
     sinks.write_merges_text(merge_list, vocab, f"{out}/merges-text", "overwrite")
+    sinks.write_tokenizer_json(merge_list, vocab, f"{out}/tokenizer-json", "overwrite")
     sinks.write_settings(spark, f"{out}/settings", "overwrite")
     return learned
 
@@ -109,7 +110,7 @@ def load_encoder(spark: SparkSession, path: str) -> Encoder:
 def build_training_rows(
     rows: DataFrame, kind: str, encoder: Encoder, out: str, key: str | Sequence[str], length: int = MAX_SEQ_LEN,
     seed: int = SEED, batch_rows: int = BATCH_ROWS, accumulation: int = ACCUMULATION, max_steps: int | None = MAX_STEPS,
-    compat: bool = False, label_pad: int = EOS,
+    compat: bool = False, label_pad: int | None = None,
 ) -> None:
     """Usable rows as token rows with micro batch and step below ``out/rows``, unusable ones below ``out/rejects``.
 
@@ -130,4 +131,4 @@ def build_training_rows(
         made = training_rows.pretrain_rows(placed, encoder, length, compat=compat, keep=keep)
     else:
         made = training_rows.instruct_rows(placed, encoder, length, compat, label_pad, keep)
-    sinks.write_table(made, f"{out}/rows")
+    sinks.write_table(sinks.as_int64(made), f"{out}/rows")

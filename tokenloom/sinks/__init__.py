@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.constants import CHAT_TEMPLATE, SPECIAL_TOKENS
+from tokenloom.constants import BOS, CHAT_TEMPLATE, EOS, SPECIAL_TOKENS
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -41,25 +42,83 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_vocab_json(vocab: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Token to id as one JSON map, in id order; at most ``vocab_size`` entries."""
+def as_int64(rows: DataFrame) -> DataFrame:
+    """Token arrays as 64-bit integers, the type that training frameworks expect; other columns unchanged."""
+    wide = {f.name: F.col(f"`{f.name}`").cast("array<bigint>") for f in rows.schema if f.dataType.simpleString() == "array<int>"}
+    return rows.withColumns(wide) if wide else rows
+
+
+def _vocab_json() -> Column:
+    """Token to id as JSON text, in id order; at most ``vocab_size`` entries."""
     entries = F.array_sort(F.collect_list(F.struct("id", "token")))
     pairs = F.transform(entries, lambda e: F.struct(e["token"], e["id"]))
-    vocab.agg(F.to_json(F.map_from_entries(pairs)).alias("value")).coalesce(1).write.mode(mode).text(path)
+    return F.to_json(F.map_from_entries(pairs))
+
+
+def _merge_names(merges: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Merges with the texts ``l`` and ``r`` of their parts."""
+    names = vocab.select("id", "token")
+    left = names.select(F.col("id").alias("left"), F.col("token").alias("l"))
+    right = names.select(F.col("id").alias("right"), F.col("token").alias("r"))
+    return merges.join(left, "left").join(right, "right").select("rank", "l", "r")
+
+
+def write_vocab_json(vocab: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Token to id as one JSON map."""
+    vocab.agg(_vocab_json().alias("value")).coalesce(1).write.mode(mode).text(path)
 
 
 def write_merges_text(merges: DataFrame, vocab: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Merge list as text, one pair of tokens per line in rank order; at most ``vocab_size`` lines."""
-    names = vocab.select("id", "token")
-    lines = (
-        merges.join(names.select(F.col("id").alias("left"), F.col("token").alias("l")), "left")
-        .join(names.select(F.col("id").alias("right"), F.col("token").alias("r")), "right")
-        .select("rank", F.concat_ws(" ", "l", "r").alias("value"))
-    )
+    lines = _merge_names(merges, vocab).select("rank", F.concat_ws(" ", "l", "r").alias("value"))
     head = lines.sparkSession.createDataFrame([(-1, "#version: 0.2")], "rank int, value string")
     head.unionByName(lines).coalesce(1).sortWithinPartitions("rank").select("value").write.mode(mode).text(path)
 
 
+def write_tokenizer_json(merges: DataFrame, vocab: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The whole tokenizer as one JSON document in the common fast-tokenizer format."""
+    byte_level = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    begin, end = SPECIAL_TOKENS[BOS], SPECIAL_TOKENS[EOS]
+    ids = {r.token: r.id for r in vocab.filter(F.col("kind") == "special").select("token", "id").collect()}
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    document = {
+        "version": "1.0",
+        "truncation": None,
+        "padding": None,
+        "added_tokens": [{"id": ids[t], "content": t, **flags} for t in sorted(SPECIAL_TOKENS, key=ids.get)],
+        "normalizer": None,
+        "pre_tokenizer": byte_level,
+        "post_processor": {
+            "type": "TemplateProcessing",
+            "single": [
+                {"SpecialToken": {"id": begin, "type_id": 0}},
+                {"Sequence": {"id": "A", "type_id": 0}},
+                {"SpecialToken": {"id": end, "type_id": 0}},
+            ],
+            "pair": [{"Sequence": {"id": "A", "type_id": 0}}, {"Sequence": {"id": "B", "type_id": 1}}],
+            "special_tokens": {t: {"id": t, "ids": [ids[t]], "tokens": [t]} for t in (begin, end)},
+        },
+        "decoder": byte_level,
+        "model": {
+            "type": "BPE",
+            "dropout": None,
+            "unk_token": None,
+            "continuing_subword_prefix": None,
+            "end_of_word_suffix": None,
+            "fuse_unk": False,
+            "byte_fallback": False,
+            "ignore_merges": False,
+        },
+    }
+    # the model object is last and stays open for its two large members
+    opening = json.dumps(document, ensure_ascii=False)[: -len("}}")]
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "l", "r")))
+    pairs = _merge_names(merges, vocab).agg(F.to_json(F.transform(ordered, lambda m: F.array(m["l"], m["r"]))))
+    tokens = vocab.agg(_vocab_json())
+    whole = F.concat(F.lit(opening), F.lit(', "vocab": '), tokens.scalar(), F.lit(', "merges": '), pairs.scalar(), F.lit("}}"))
+    vocab.sparkSession.range(1).select(whole.alias("value")).coalesce(1).write.mode(mode).text(path)
+
+
 def settings_table(spark: SparkSession) -> DataFrame:
     """One row with the tokenizer settings."""
     # Fixed values of the settings file.

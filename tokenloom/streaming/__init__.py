@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tokenloom.constants import EOS, MAX_SEQ_LEN
+from tokenloom.constants import MAX_SEQ_LEN
 from tokenloom.functions.codec import Encoder
 from tokenloom.operators.columns import instruct_reject, pretrain_reject, split_rejects
 from tokenloom.operators.training_rows import instruct_rows, pretrain_rows
+from tokenloom.sinks import as_int64
 from tokenloom.sources import INSTRUCT_SCHEMA, PRETRAIN_SCHEMA, stream_jsonl
 
 
@@ -41,7 +42,7 @@ def _stream(
     good, bad = split_rejects(rows, reason)
     if rejects:
         run_available(bad, rejects, f"{checkpoint}-rejects")
-    return run_available(transform(good if rejects else rows), out, checkpoint)
+    return run_available(as_int64(transform(good if rejects else rows)), out, checkpoint)
 
 
 def stream_pretrain(
@@ -58,7 +59,7 @@ def stream_pretrain(
 
 def stream_instruct(
     spark: SparkSession, source: str, out: str, checkpoint: str, encoder: Encoder, length: int = MAX_SEQ_LEN,
-    compat: bool = False, label_pad: int = EOS, keep_schema: str = "", keep: tuple = (),
+    compat: bool = False, label_pad: int | None = None, keep_schema: str = "", keep: tuple = (),
     files_per_trigger: int | None = None, rejects: str | None = None,
 ) -> StreamingQuery:
     """JSON lines with ``instruct``, ``input`` and ``output`` to instruct rows."""
