@@ -271,7 +271,7 @@ def decode(spark, sf_dir):
     return coded.select(
         "doc_id",
         decode_ids(F.col("ids"), tokens).alias("text"),
-        decode_ids(F.col("ids"), tokens, skip_special=len(SPECIAL_TOKENS)).alias("plain"),
+        decode_ids(F.col("ids"), tokens, skip=range(len(SPECIAL_TOKENS))).alias("plain"),
     )
 
 

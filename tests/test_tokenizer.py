@@ -188,7 +188,7 @@ def test_decoding_equals_the_tokenizer_library(spark, learned, library):
     arrays = [[rng.randrange(size) for _ in range(rng.randrange(30))] for _ in range(200)] + [[]]
     df = spark.createDataFrame(list(enumerate(arrays)), "i int, ids array<int>")
     tokens = vocabulary.token_texts(learned)
-    rows = df.select("i", decode_ids(F.col("ids"), tokens).alias("all"), decode_ids(F.col("ids"), tokens, 5).alias("plain")).collect()
+    rows = df.select("i", decode_ids(F.col("ids"), tokens).alias("all"), decode_ids(F.col("ids"), tokens, range(5)).alias("plain")).collect()
     for r in rows:
         assert r.all == library.decode(arrays[r.i], skip_special_tokens=False)
         assert r.plain == library.decode(arrays[r.i], skip_special_tokens=True)
@@ -242,3 +242,16 @@ def test_extended_vocabulary_encodes(spark, docs, learned):
     old_tokens = vocabulary.token_texts(learned)
     for r in sample.collect():
         assert [tokens[i] for i in r.a] == [old_tokens[i] for i in r.b]
+
+
+def test_base_vocabulary_without_reserved_tokens(spark, learned):
+    base = vocabulary.vocab_from_map(spark.createDataFrame([("Ġhello", 0), ("Ġworld", 1)], "token string, id int"))
+    old = vocabulary.vocab_table(spark, learned)
+    joint = vocabulary.extend_vocab(base, old)
+    encoder = Encoder.from_tables(joint, vocabulary.relabel_merges(merges_module.merges_table(spark, learned), old, joint))
+    assert (encoder.bos, encoder.eos, encoder.pad) == (2, 3, 4)
+    df = spark.createDataFrame([("the <s> end",)], "text string")
+    row = training_rows.pretrain_rows(df, encoder, 40).first()
+    names = {r.id: r.token for r in joint.collect()}
+    plain_row = training_rows.pretrain_rows(df, Encoder(spark, learned), 40).first()
+    assert [names[i] for i in row.input_ids] == [vocabulary.token_texts(learned)[i] for i in plain_row.input_ids]

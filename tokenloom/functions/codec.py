@@ -157,13 +157,14 @@ class Encoder:
         return sequences.add_bos_eos(ids, self.bos, self.eos) if template else ids
 
 
-def decode_ids(ids: Column, tokens: list[str], skip_special: int = 0) -> Column:
+def decode_ids(ids: Column, tokens: list[str], skip: Iterable[int] = ()) -> Column:
     """Text of an id array.
 
-    ``tokens`` lists the byte-level token texts by id (bounded by the vocabulary size); ids below
-    ``skip_special`` are dropped.
+    ``tokens`` lists the byte-level token texts by id (bounded by the vocabulary size); the ids in ``skip``, such as
+    those of the reserved tokens, are dropped.
     """
     table = F.split(F.lit("\n".join(tokens)), "\n")
-    kept = F.filter(ids, lambda i: i >= skip_special) if skip_special else ids
+    dropped = list(skip)
+    kept = F.filter(ids, lambda i: ~i.isin(dropped)) if dropped else ids
     joined = F.array_join(F.transform(kept, lambda i: F.element_at(table, i + 1)), "")
     return bytelevel.lossy_utf8(bytelevel.from_stand_ins(joined))

@@ -214,25 +214,26 @@ def learn_merges(
     words = words.repartition(tasks, "s").persist(StorageLevel.MEMORY_AND_DISK)
     cached = [words]
     wanted, rounds = max(1, first_pairs), 0
-    while not tokens.full():
-        top = pair_strings(words).orderBy(F.desc("n"), "pair").limit(wanted + 1).collect()
-        for outdated in cached[:-1]:
-            outdated.unpersist()
-        cached = cached[-1:]
-        if not top or top[0].n < min_frequency:
-            break
-        found = _round(words, top, wanted, tokens, min_frequency, most_runs)
-        wanted = found.next_pairs
-        learned += found.merges
-        rounds += 1
-        words = apply_merges(words, found.merges)
-        if rounds % CHECKPOINT_EVERY == 0:
-            words = words.checkpoint()
-        else:
-            words = words.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(words)
-    for outdated in cached:
-        outdated.unpersist()
+    try:
+        while not tokens.full():
+            top = pair_strings(words).orderBy(F.desc("n"), "pair").limit(wanted + 1).collect()
+            while len(cached) > 1:
+                cached.pop(0).unpersist()
+            if not top or top[0].n < min_frequency:
+                break
+            found = _round(words, top, wanted, tokens, min_frequency, most_runs)
+            wanted = found.next_pairs
+            learned += found.merges
+            rounds += 1
+            words = apply_merges(words, found.merges)
+            if rounds % CHECKPOINT_EVERY == 0:
+                words = words.checkpoint()
+            else:
+                words = words.persist(StorageLevel.MEMORY_AND_DISK)
+                cached.append(words)
+    finally:
+        for frame in cached:
+            frame.unpersist()
     return learned
 
 
