@@ -48,14 +48,14 @@ def instruct_source(spark: SparkSession, sf_dir: str, answered: bool = True) ->
 
 
 def alpaca_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even conversations under the column names of the first instruct source."""
-    rows = instruct_source(spark, sf_dir).filter("conv_id % 2 = 0")
+    """Rows without a system text, under the column names of the first instruct source."""
+    rows = instruct_source(spark, sf_dir).filter("instruct is null")
     return rows.withColumnRenamed("instruct", "instruction")
 
 
 def orca_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd conversations under the column names of the second instruct source."""
-    rows = instruct_source(spark, sf_dir).filter("conv_id % 2 = 1")
+    """Rows with a system text, under the column names of the second instruct source."""
+    rows = instruct_source(spark, sf_dir).filter("instruct is not null")
     return rows.select(
         F.concat_ws(".", "conv_id", "turn").alias("id"), "conv_id", "turn",
         F.col("instruct").alias("system_prompt"), F.col("input").alias("question"), F.col("output").alias("response"),

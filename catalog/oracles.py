@@ -227,7 +227,7 @@ def all_sql() -> dict[str, str]:
         f"FROM ({sample.format('lang')}) GROUP BY lang"
     )
     sql["scan_subsets"] = "SELECT doc_id, lang, text FROM documents WHERE lang IN ('en', 'fr', 'es')"
-    sql["scan_instruct"] = f"WITH {_INSTRUCT} SELECT instruct AS instruction, input, output FROM answered WHERE conv_id % 2 = 0"
+    sql["scan_instruct"] = f"WITH {_INSTRUCT} SELECT instruct AS instruction, input, output FROM answered"
     sql["jsonl_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
     sql["chunk_roundtrip"] = _chunk_sql(
         "SELECT chunk, line, count(*) AS n FROM (SELECT chunk, unnest(string_split(text, chr(10))) || chr(10) AS line FROM chunked) "

@@ -51,9 +51,11 @@ def scan_subsets(spark, sf_dir):
 
 
 def scan_instruct(spark, sf_dir):
+    """All instruct rows, stored as one named configuration and read back."""
     path = shared_path(spark, "instruct")
-    sinks.write_jsonl(alpaca_source(spark, sf_dir).select("instruction", "input", "output"), f"{path}/even")
-    return sources.read_config(spark, path, sources.ALPACA_SCHEMA, "even")
+    rows = columns.rename_columns(instruct_source(spark, sf_dir), {"instruct": "instruction"})
+    sinks.write_jsonl(rows.select("instruction", "input", "output"), f"{path}/chat")
+    return sources.read_config(spark, path, sources.ALPACA_SCHEMA, "chat")
 
 
 def jsonl_roundtrip(spark, sf_dir):

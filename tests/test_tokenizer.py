@@ -108,10 +108,10 @@ def test_merges_equal_recounting(spark, words, low):
     assert [tuple(m) for m in found] == expected
 
 
-def test_long_run_falls_back_to_single_merges(spark, monkeypatch):
-    monkeypatch.setattr(merges_module, "LONGEST_RUN", 8)
-    words = {"=" * 70: 3, " ab": 5, " abab": 2}
-    found = learn_merges(symbol_words(spark, words), FIRST_MERGE_ID + 20, 2)
+@pytest.mark.parametrize("symbols", [8, 4_000_000])
+def test_long_runs(spark, symbols):
+    words = {"=" * 3000: 3, " ab": 5, " abab": 2, "-" * 301: 4, "ab" * 90: 1}
+    found = learn_merges(symbol_words(spark, words), FIRST_MERGE_ID + 20, 2, most_symbols=symbols)
     assert [tuple(m) for m in found] == plain.train(words, FIRST_MERGE_ID + 20, 2)
 
 

@@ -38,9 +38,9 @@ MERGES_SCHEMA = "rank int, left int, right int, new_id int, count long"
 
 FIRST_PAIRS = 64
 MOST_PAIRS = 32_768
-# Bounds of the run table on the driver: rows, and symbols per row.
+# Bounds of the run table on the driver: rows, and symbols in all of them.
 MOST_RUNS = 100_000
-LONGEST_RUN = 256
+MOST_SYMBOLS = 4_000_000
 CHECKPOINT_EVERY = 8
 WORDS_PER_TASK = 100_000
 
@@ -160,18 +160,23 @@ def _cut_runs(pairs: Sequence[str]) -> Callable[[str], Column]:
     return cut
 
 
-def _collect_runs(words: DataFrame, pairs: Sequence[str]) -> list[tuple[tuple[int, ...], int]] | None:
-    """The run table, or None if it is beyond the bounds."""
+def _collect_runs(
+    words: DataFrame, pairs: Sequence[str], most_runs: int, most_symbols: int
+) -> list[tuple[tuple[int, ...], int]] | None:
+    """The run table, or None if it is beyond the bounds; it is measured where it lies before any of it is fetched."""
     runs = (
         words.select(F.explode(_cut_runs(pairs)("s")).alias("run"), "n")
         .groupBy("run")
         .agg(F.sum("n").alias("n"))
-        .select(F.when(F.length("run") <= LONGEST_RUN, F.col("run")).alias("run"), "n")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    rows = runs.limit(MOST_RUNS + 1).collect()
-    if len(rows) > MOST_RUNS or any(r.run is None for r in rows):
-        return None
-    return [(tuple(map(symbol_id, r.run)), r.n) for r in rows]
+    try:
+        size = runs.agg(F.count(F.lit(1)).alias("runs"), F.sum(F.length("run")).alias("symbols")).first()
+        if size.runs > most_runs or (size.symbols or 0) > most_symbols:
+            return None
+        return [(tuple(map(symbol_id, r.run)), r.n) for r in runs.collect()]
+    finally:
+        runs.unpersist()
 
 
 def apply_merges(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
@@ -198,6 +203,7 @@ def learn_merges(
     min_frequency: int = MIN_FREQUENCY,
     first_pairs: int = FIRST_PAIRS,
     most_runs: int = MOST_RUNS,
+    most_symbols: int = MOST_SYMBOLS,
 ) -> list[Merge]:
     """Merges in the order learned, at most ``vocab_size`` of them.
 
@@ -221,7 +227,7 @@ def learn_merges(
                 cached.pop(0).unpersist()
             if not top or top[0].n < min_frequency:
                 break
-            found = _round(words, top, wanted, tokens, min_frequency, most_runs)
+            found = _round(words, top, wanted, tokens, min_frequency, most_runs, most_symbols)
             wanted = found.next_pairs
             learned += found.merges
             rounds += 1
@@ -242,14 +248,14 @@ class _Round(NamedTuple):
     next_pairs: int
 
 
-def _round(words, top, wanted, tokens, min_frequency, most_runs) -> _Round:
+def _round(words, top, wanted, tokens, min_frequency, most_runs, most_symbols) -> _Round:
     """Merges of one round and the number of pairs to look at next time."""
     while wanted > 1:
         pairs, bar = top[:wanted], None
         if len(top) > wanted:
             bar = (-top[wanted].n, symbol_id(top[wanted].pair[0]), symbol_id(top[wanted].pair[1]))
-        runs = _collect_runs(words, [r.pair for r in pairs])
-        if runs is not None and len(runs) <= most_runs:
+        runs = _collect_runs(words, [r.pair for r in pairs], most_runs, most_symbols)
+        if runs is not None:
             # after the merges the same number of pairs makes far fewer runs, so there is room to grow
             growth = 4 if len(runs) * 6 <= most_runs else 2 if len(runs) * 3 <= most_runs else 1
             return _Round(_follow(runs, bar, tokens, min_frequency), min(MOST_PAIRS, wanted * growth))
