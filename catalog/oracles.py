@@ -236,7 +236,7 @@ def all_sql() -> dict[str, str]:
     sql["corpus_lines"] = _LINES
     sql["drop_columns"] = "SELECT doc_id, text, lang FROM documents"
     sql["instruct_schema"] = f"WITH {_INSTRUCT} SELECT conv_id, turn, instruct, input, output FROM answered"
-    sql["title_text"] = "SELECT doc_id, coalesce(source, '') || ' ' || text AS text FROM documents"
+    sql["title_text"] = sql["map_batches"] = "SELECT doc_id, coalesce(source, '') || ' ' || text AS text FROM documents"
     sql["wrap_text"] = "SELECT doc_id, '<s>' || text || '</s>' AS text FROM documents"
     sql["instruct_messages"] = (
         f"WITH {_INSTRUCT} SELECT conv_id, turn, concat_ws('|', 'system:' || nullif(instruct, ''), 'user:' || nullif(input, '')) AS prompt, "

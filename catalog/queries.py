@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog.inputs import alpaca_source, documents, instruct_source, orca_source, spread_documents, table
 from tokenloom import sinks, sources, streaming
-from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, MAX_SEQ_LEN, SPECIAL_TOKENS
+from tokenloom.constants import FIRST_MERGE_ID, MAX_SEQ_LEN, SPECIAL_TOKENS
 from tokenloom.functions import bytelevel, chat, pretokens, sequences
 from tokenloom.functions.codec import Encoder, decode_ids
 from tokenloom.operators import batches, chat as chat_ops, columns, merges, ranking, training_rows, vocabulary, wordstats
@@ -90,6 +90,15 @@ def title_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", columns.title_text(F.col("source"), F.col("text")).alias("text"))
 
 
+def map_batches(spark, sf_dir):
+    """Title and text joined by a user function on batches, the other columns removed."""
+
+    def join(batch):
+        return {"text": batch["source"].fillna("") + " " + batch["text"]}
+
+    return columns.map_batches(documents(spark, sf_dir), join, "text string", remove=["lang", "source", "n_chars"])
+
+
 def wrap_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", columns.wrap_text(F.col("text")).alias("text"))
 
@@ -397,7 +406,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sampled_languages, scan_subsets, scan_instruct, jsonl_roundtrip, chunk_roundtrip, corpus_lines, drop_columns,
-        instruct_schema, title_text, wrap_text, instruct_messages, union_sources, rejected_rows, shuffle_rank,
+        instruct_schema, title_text, map_batches, wrap_text, instruct_messages, union_sources, rejected_rows, shuffle_rank,
         sample_per_subset, sample_per_subset_unlisted, split_exact, split_per_subset, split_hash, head_fraction,
         corpus_chunks, corpus_chunks_compat, assign_batches, collect_batches, pretokenize, word_counts, byte_alphabet,
         byte_counts, pair_counts, bpe_merges, vocab, vocab_export, vocab_import, vocab_merge, special_tokens, encode,

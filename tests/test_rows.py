@@ -138,6 +138,13 @@ def test_title(spark):
     assert [r[0] for r in df.select(columns.title_text(F.col("title"), F.col("text"))).collect()] == ["T x", " x", " x"]
 
 
+def test_map_batches(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "", "yy")], "id long, text string, other string").repartition(2)
+    out = columns.map_batches(df, lambda b: {"n": b["text"].str.len(), "text": b["text"].str.upper()}, "text string, n long", ["other"])
+    assert out.columns == ["id", "text", "n"]
+    assert sorted(out.collect()) == [(1, "A", 1), (2, "B", 1), (3, "", 0)]
+
+
 @pytest.mark.parametrize("compat", [False, True])
 def test_pretrain_rows(spark, compat):
     """Begin and end once by default, twice with compat."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ALPACA_NAMES = {"instruction": "instruct"}
 ORCA_NAMES = {"system_prompt": "instruct", "question": "input", "response": "output"}
@@ -59,3 +60,23 @@ def split_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
         marked.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
         marked.filter(F.col("reject_reason").isNotNull()),
     )
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[pd.DataFrame], Mapping[str, Sequence]], schema: str, remove: Sequence[str] = ()
+) -> DataFrame:
+    """New columns from a user function on batches of rows, without the ``remove`` columns.
+
+    For functions that no Spark expression can replace. The function gets a pandas batch and returns the columns that
+    ``schema`` declares, one value per row; a column of the same name is replaced.
+    """
+    made = T.StructType.fromDDL(schema)
+    kept = [f for f in df.schema.fields if f.name not in {*remove, *made.names}]
+    kept_names, made_names = [f.name for f in kept], made.names
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            result = function(frame)
+            yield frame[kept_names].assign(**{name: list(result[name]) for name in made_names})
+
+    return df.mapInPandas(batches, T.StructType(kept + made.fields))
