@@ -31,18 +31,18 @@ def merge_word(ids: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
     ``merges`` maps ``left << 32 | right`` to ``(rank, new id)``. A linked list and a heap keep long words
     at n log n.
     """
-    n = len(ids)
-    if n < 2:
+    heap = []
+    for i, left in enumerate(ids[:-1]):
+        found = merges.get(left << 32 | ids[i + 1])
+        if found:
+            heap.append((found[0], i, left, ids[i + 1], found[1]))
+    if not heap:
         return ids
+    heapq.heapify(heap)
+    n = len(ids)
     ids = list(ids)
     nxt = list(range(1, n + 1))
     prv = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        found = merges.get(ids[i] << 32 | ids[i + 1])
-        if found:
-            heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
-    heapq.heapify(heap)
     while heap:
         _, i, left, right, new = heapq.heappop(heap)
         j = nxt[i]
