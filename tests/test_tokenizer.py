@@ -108,6 +108,16 @@ def test_merges_equal_recounting(spark, words, low):
     assert [tuple(m) for m in found] == expected
 
 
+def test_top_pairs_come_from_few_tasks(spark, monkeypatch):
+    """The number of tasks that send their best pairs to the driver has a bound."""
+    words = symbol_words(spark, {" abc": 3, " bcd": 2, "xyz": 1})
+    expected = merges_module._top_pairs(words, 4)
+    monkeypatch.setattr(merges_module, "TOP_TASKS", 2)
+    assert merges_module._top_pairs(words, 4) == expected
+    plan = wordstats.pair_strings(words).repartition(2, "pair").orderBy("n").limit(4)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(pair" in plan.split("TakeOrderedAndProject")[1] and ", 2), REPARTITION_BY_NUM" in plan
+
+
 @pytest.mark.parametrize("symbols", [8, 4_000_000])
 def test_long_runs(spark, symbols):
     words = {"=" * 3000: 3, " ab": 5, " abab": 2, "-" * 301: 4, "ab" * 90: 1}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tokenloom.constants import ACCUMULATION, BATCH_ROWS, SEED
-from tokenloom.operators.ranking import seeded_order, with_rank
+from tokenloom.operators.ranking import RANK_DIGITS, seeded_order, with_rank
 
 
 def assign_batches(
@@ -20,7 +20,7 @@ def assign_batches(
 ) -> DataFrame:
     """Columns ``rank``, ``micro_batch`` and ``step`` in seeded order; rows at or after ``max_steps`` are not used."""
     per_step = batch_rows * accumulation
-    ranked = with_rank(df, seeded_order(key, seed), None if max_steps is None else max_steps * per_step)
+    ranked = with_rank(df, seeded_order(key, seed, RANK_DIGITS), None if max_steps is None else max_steps * per_step)
     return ranked.withColumns(
         {"micro_batch": F.floor(F.col("rank") / batch_rows), "step": F.floor(F.col("rank") / per_step)}
     )

@@ -25,7 +25,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tokenloom.constants import MIN_FREQUENCY, SPECIAL_TOKENS, STAND_INS, BYTE_IDS, VOCAB_SIZE
 from tokenloom.functions import bytelevel
@@ -43,6 +43,8 @@ MOST_RUNS = 100_000
 MOST_SYMBOLS = 4_000_000
 CHECKPOINT_EVERY = 8
 WORDS_PER_TASK = 100_000
+# Each task of a top-k sends k rows to the driver, so their number is limited.
+TOP_TASKS = 32
 
 
 class Merge(NamedTuple):
@@ -179,6 +181,14 @@ def _collect_runs(
         runs.unpersist()
 
 
+def _top_pairs(words: DataFrame, count: int) -> list[Row]:
+    """The best pairs in merge order."""
+    pairs = pair_strings(words)
+    if int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")) > TOP_TASKS:
+        pairs = pairs.repartition(TOP_TASKS, "pair")
+    return pairs.orderBy(F.desc("n"), "pair").limit(count).collect()
+
+
 def apply_merges(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
     """Words after the merges of a round; those left with one symbol have no pairs and go.
 
@@ -222,7 +232,7 @@ def learn_merges(
     wanted, rounds = max(1, first_pairs), 0
     try:
         while not tokens.full():
-            top = pair_strings(words).orderBy(F.desc("n"), "pair").limit(wanted + 1).collect()
+            top = _top_pairs(words, wanted + 1)
             while len(cached) > 1:
                 cached.pop(0).unpersist()
             if not top or top[0].n < min_frequency:

@@ -22,6 +22,12 @@ from tokenloom.constants import SEED
 # A table joined by broadcast may have this many rows at most; beyond that the join is salted.
 BROADCAST_ROWS = 10_000
 
+# Hex digits of the hash that make a bucket. Few buckets keep the counting pass small, since every task sends a row
+# per bucket; that suits cuts, which sort the keys of one bucket only. A full rank sorts all rows bucket by bucket and
+# wants small ones.
+CUT_DIGITS = 3
+RANK_DIGITS = 4
+
 
 @dataclass(frozen=True)
 class Order:
@@ -43,7 +49,9 @@ def order_hash(key: str | Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in _columns(key)]))
 
 
-def seeded_order(key: str | Sequence[str], seed: int = SEED, digits: int = 4, first: Column | None = None) -> Order:
+def seeded_order(
+    key: str | Sequence[str], seed: int = SEED, digits: int = CUT_DIGITS, first: Column | None = None
+) -> Order:
     """Pseudo-random order over ``16 ** digits`` even buckets, within the value of ``first`` if given."""
     if not 1 <= digits <= 4:
         raise ValueError("digits must be between 1 and 4")
@@ -58,12 +66,15 @@ def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
     """Order of a numeric column over quantile buckets.
 
     The quantiles are estimated once, here, and become literals: an estimate only affects how even the buckets
-    are, the counts taken over them are exact.
+    are, the counts taken over them are exact. They are taken in two levels, so that no single task merges the
+    summaries of all input splits.
     """
     if not isinstance(df.schema[key].dataType, T.NumericType):
         raise TypeError(f"{key} is not numeric")
     steps = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.agg(F.percentile_approx(key, steps).alias("q")).first().q or []))
+    groups = df.groupBy((F.spark_partition_id() % 256).alias("g")).agg(F.percentile_approx(key, steps, 1000).alias("q"))
+    values = groups.select(F.explode("q").alias("v"))
+    bounds = sorted(set(values.agg(F.percentile_approx("v", steps).alias("q")).first().q or []))
     if not bounds:
         return Order(F.lit(0), F.struct(F.col(key)))
 
