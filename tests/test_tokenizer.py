@@ -172,6 +172,34 @@ def test_exported_document_loads_in_the_tokenizer_library(spark, docs, learned,
         assert loaded.decode(r.ids) == plain_prefix(texts[r.i])
 
 
+MANY_SCRIPTS = [
+    "麻雀很小，但是五脏俱全。麻雀在树上唱歌，树上有很多麻雀。", "العصفور صغير ولكن العصفور يغني في الصباح", "Воробей маленький, но воробей поёт утром",
+    "le moineau est petit mais le moineau chante", "el gorrión es pequeño pero el gorrión canta", "small birds sing, small birds fly",
+    "스패로우 새는 작다 새는 노래한다", "スズメは小さいけれどスズメは歌う", "👩‍👩‍👧 👩‍👩‍👧 🎉🎉🎉", "x y z　x y",
+]
+
+
+@pytest.mark.parametrize("low", [1, 2, 4])
+def test_training_on_many_scripts_equals_the_tokenizer_library(spark, tmp_path, low):
+    lib = pytest.importorskip("tokenizers")
+    rng = random.Random(low)
+    texts = [" ".join(rng.choices(MANY_SCRIPTS, k=rng.randrange(1, 4))) + rng.choice(["", "\n", "\r\nend"]) for _ in range(60)]
+    tokenizer = lib.Tokenizer(lib.models.BPE())
+    tokenizer.pre_tokenizer = lib.pre_tokenizers.ByteLevel()
+    trainer = lib.trainers.BpeTrainer(
+        vocab_size=FIRST_MERGE_ID + 250, min_frequency=low, special_tokens=SPECIAL_TOKENS, show_progress=False,
+        initial_alphabet=lib.pre_tokenizers.ByteLevel.alphabet(),
+    )
+    path = tmp_path / "corpus.txt"
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.writelines(t + "\n" for t in texts)
+    tokenizer.train([str(path)], trainer)
+    lines = wordstats.corpus_lines(spark.createDataFrame([(t,) for t in texts], "text string"))
+    found = learn_merges(wordstats.symbol_words(wordstats.word_counts(lines)), FIRST_MERGE_ID + 250, low, first_pairs=8, most_runs=40)
+    vocab = tokenizer.get_vocab()
+    assert vocabulary.token_texts(found) == sorted(vocab, key=vocab.get)
+
+
 def plain_prefix(text):
     for token in SPECIAL_TOKENS:
         text = text.replace(token, "\ue000")
