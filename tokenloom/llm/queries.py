@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import exact_dedup, mixing
+from tokenloom.llm import byte_bpe, exact_dedup, fingerprints, mixing
 
 MIX_WEIGHTS = (5, 2, 1)
 MIX_EPOCHS = 3
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +27,40 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    placed = docs.join(fingerprints.neighbours(docs), F.col("doc_id") == F.col("id")).drop("id")
+    sketched = fingerprints.with_sketch(placed.select("text", "prev_id", "prev_chars"), "text", "next_sketch")
+    head = F.expr("substring(text, 1, cast(floor(prev_chars / 4) as int))")
+    ahead = sketched.select(F.col("prev_id").alias("of"), head.alias("head"), "next_sketch")
+    pairs = docs.join(ahead, F.col("doc_id") == F.col("of")).drop("of")
+    pairs = pairs.withColumn("n_chars", F.length("text").cast("long"))
+    stays = F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))")
+    edited = pairs.withColumn("edited", F.concat(stays, "head"))
+    edited = fingerprints.with_sketch(edited, "text", "sketch")
+    edited = edited.withColumn("edited_sha256", F.sha2("edited", 256)).drop("text", "head")
+    edited = fingerprints.with_sketch(edited, "edited", "edited_sketch")
+    own = F.col("sketch")
+    return edited.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(own, F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(own, F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = byte_bpe.BytePairCodec(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), codec)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.ids_sha256("ids").alias("ids_sha256"),
+        F.sha2(codec.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
 }
