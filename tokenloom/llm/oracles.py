@@ -1,5 +1,33 @@
 """SQL for the queries that SQL can express."""
 
+OP1 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), counted AS (
+  SELECT *, len(regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) + 4 AS tokens,
+         4 + len(regexp_replace(role, '[<\[|\\]', 'xx', 'g')) + len(regexp_replace(text, '[<\[|\\]', 'xx', 'g')) + 7 AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1 AND role = 'system' AS lead
+  FROM turns
+), placed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn) - tokens - max(CASE WHEN lead THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS start,
+         greatest(floor((768 - max(CASE WHEN lead THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)) / 2), 128) AS width
+  FROM counted
+), own AS (
+  SELECT *, CASE WHEN lead THEN 0 ELSE floor(start / width) END AS win,
+         CASE WHEN lead THEN 1e15 WHEN tokens <= 128 THEN floor((start + 128) / width) ELSE floor(start / width) END AS until
+  FROM placed
+), windows AS (SELECT DISTINCT conv_id, win FROM own
+), chars AS (
+  SELECT o.conv_id, sum(o.chars)::BIGINT AS formatted_chars
+  FROM own o JOIN windows w ON o.conv_id = w.conv_id AND w.win BETWEEN o.win AND o.until GROUP BY o.conv_id
+)
+SELECT t.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(c.formatted_chars) AS formatted_chars
+FROM turns t JOIN chars c ON t.conv_id = c.conv_id GROUP BY t.conv_id
+"""
+
 OP3 = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -34,4 +62,4 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 """
 
-SQL = {"op3_mixing": OP3, "op4_exact_dedup": OP4}
+SQL = {"op1_chat_windows": OP1, "op3_mixing": OP3, "op4_exact_dedup": OP4}
