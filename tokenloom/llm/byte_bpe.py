@@ -51,6 +51,15 @@ def encode_text(codec: tiktoken.Encoding, text: str, size: int = LONG) -> np.nda
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+def id_rows(ids: pa.Array) -> Iterator[np.ndarray | None]:
+    """Rows of a list array one by one, as slices of its flat values."""
+    flat, lengths = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths()
+    at = 0
+    for length in lengths.to_pylist():
+        yield None if length is None else flat[at : at + length]
+        at += length or 0
+
+
 class BytePairCodec:
     """Column functions for one rank file and split pattern."""
 
@@ -65,12 +74,11 @@ class BytePairCodec:
         ranks, pattern = self.ranks, self.pattern
 
         @F.arrow_udf("array<int>")
-        def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def encoded(texts: pa.Array) -> pa.Array:
             codec = encoding(ranks.value, pattern)
-            for batch in batches:
-                rows = [encode_text(codec, value.as_py().decode("utf-8", "replace")) for value in batch]
-                offsets = np.cumsum([0, *map(len, rows)], dtype="int32")
-                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows or [[]]).astype("int32")))
+            rows = [encode_text(codec, value.as_py().decode("utf-8", "replace")) for value in texts]
+            offsets = np.cumsum([0, *map(len, rows)], dtype="int32")
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows or [[]]).astype("int32")))
 
         return encoded(F.coalesce(text.cast("binary"), F.lit(b"")))
 
@@ -79,10 +87,9 @@ class BytePairCodec:
         ranks, pattern = self.ranks, self.pattern
 
         @F.arrow_udf("binary")
-        def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def decoded(rows: pa.Array) -> pa.Array:
             codec = encoding(ranks.value, pattern)
-            for batch in batches:
-                yield pa.array([None if row is None else codec.decode_bytes(row) for row in batch.to_pylist()], pa.binary())
+            return pa.array([None if row is None else codec.decode_bytes(row.tolist()) for row in id_rows(rows)], pa.binary())
 
         return decoded(ids)
 
@@ -95,5 +102,4 @@ def encode_documents(docs: DataFrame, codec: BytePairCodec, text: str = "text",
 @F.arrow_udf(T.StringType())
 def ids_sha256(ids: pa.Array) -> pa.Array:
     """Digest of the ids as little-endian unsigned 32-bit integers."""
-    flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()])
-    return pa.array([hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1], ends[1:])])
+    return pa.array([None if row is None else hashlib.sha256(row.astype("<u4").tobytes()).hexdigest() for row in id_rows(ids)], pa.string())
