@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, mixing
+from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, mixing, toxicity
 
 MIX_WEIGHTS = (5, 2, 1)
 MIX_EPOCHS = 3
+TOXIC_FROM = 0.3
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -83,10 +84,26 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(toxicity.learnable(F.col("doc_id"), 4, 2))
+    return toxicity.fit_toxicity(docs, labels)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, toxicity_model(spark, docs, sf_dir))
+    score = F.col("toxicity.score")
+    held_out = F.coalesce(~toxicity.learnable(F.col("doc_id"), 4, 2), F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= TOXIC_FROM).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op10_toxicity": op10_toxicity,
 }
