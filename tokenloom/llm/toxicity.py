@@ -8,7 +8,7 @@ windows. The highest ratio and the sum of the high ones are a document's evidenc
 Fitting uses a bounded sample of labelled rows, about ``TOXIC_ROWS`` with label 1 and ``ORDINARY_ROWS`` with label 0, picked by
 a hash of the id. One half gives the dictionaries: the toxic one is trained on the words that toxic documents have more
 often than chance allows (likelihood ratio test), the ordinary one on the most frequent ordinary words. The other half gives thresholds
-and the logistic function, with rows weighted back to the labels' true shares; the dictionaries are then trained again on both. Scoring is a narrow step over whole texts;
+and the logistic function, with rows weighted back to the labels' true shares. Scoring is a narrow step over whole texts;
 what a worker remembers about words is bounded.
 
 Defined results: a null text counts as empty and an empty text has no evidence, its score is that of no evidence; null labels
@@ -189,16 +189,13 @@ def fit_toxicity(
         return ToxicityModel(share=share)
     whole = docs.select(F.col(f"`{id}`").alias("at"), text_or_empty(text).alias("text"))
     rows = materialise(whole.join(F.broadcast(picked), F.col("at") == F.col("id")).select("id", "label", "half", "text"), "labelled")
-    words = rows.select("label", "half", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word"))
-    words = words.filter(F.length("word").between(1, LONG)).groupBy("word", "half")
-    words = materialise(words.agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary")), "words")
-    sizes = {(r.half, r.label): r["count"] for r in rows.groupBy("half", "label").count().collect()}
-    first = _dictionaries(words.filter("half = 0"), [sizes.get((0, label), 0) for label in (0, 1)])
-    model = _calibrated(spark, ToxicityModel(*first, share=share), rows.filter("half = 1"), counts)
-    # thresholds found on unseen rows hold for dictionaries of all rows, which know more words
-    both = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    model.toxic, model.ordinary = _dictionaries(both, [sum(sizes.get((half, label), 0) for half in (0, 1)) for label in (0, 1)])
-    return model
+    words = rows.filter("half = 0").select("label", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word"))
+    counted = words.filter(F.length("word").between(1, LONG)).groupBy("word").agg(
+        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary")
+    )
+    sizes = {r.label: r["count"] for r in rows.filter("half = 0").groupBy("label").count().collect()}
+    dictionaries = _dictionaries(materialise(counted, "words"), [sizes.get(label, 0) for label in (0, 1)])
+    return _calibrated(spark, ToxicityModel(*dictionaries, share=share), rows.filter("half = 1"), counts)
 
 
 def _dictionaries(counted: DataFrame, documents: list[int]) -> tuple[bytes, bytes]:
