@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, mixing, toxicity
+from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, minhash, mixing, toxicity
 
 MIX_WEIGHTS = (5, 2, 1)
 MIX_EPOCHS = 3
@@ -99,11 +99,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash.near_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_minhash": op8_minhash,
     "op10_toxicity": op10_toxicity,
 }
