@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, minhash, mixing, toxicity
+from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, minhash, mixing, token_files, toxicity
+from tokenloom.llm.common import materialise
+from tokenloom.session import shared_path
 
 MIX_WEIGHTS = (5, 2, 1)
 MIX_EPOCHS = 3
@@ -99,6 +101,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = token_files.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    path = shared_path(spark, "token-files")
+    token_files.write_token_files(materialise(encoded, "ids"), path)
+    read = token_files.read_token_files(spark, path)
+    return read.select(
+        F.col("id").alias("doc_id"), "start", F.expr("cast(length(ids) / 4 as long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = minhash.near_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
@@ -110,6 +123,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_token_files": op6_token_files,
     "op8_minhash": op8_minhash,
     "op10_toxicity": op10_toxicity,
 }
