@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, minhash, mixing, token_files, toxicity
+from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, language, minhash, mixing, token_files, toxicity
 from tokenloom.llm.common import materialise
 from tokenloom.session import shared_path
 
@@ -112,6 +112,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned_from = toxicity.learnable(F.col("doc_id"), 5, 0)
+    model = language.fit_languages(docs.filter(learned_from))
+    found = language.identify_documents(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(~learned_from, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = minhash.near_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
@@ -124,6 +133,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_files": op6_token_files,
+    "op7_language": op7_language,
     "op8_minhash": op8_minhash,
     "op10_toxicity": op10_toxicity,
 }
