@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, language, minhash, mixing, token_files, toxicity
+from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, language, minhash, mixing, suffixes, token_files, toxicity
 from tokenloom.llm.common import materialise
 from tokenloom.session import shared_path
 
@@ -86,6 +86,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    return left.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(toxicity.learnable(F.col("doc_id"), 4, 2))
     return toxicity.fit_toxicity(docs, labels)
@@ -135,5 +143,6 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
     "op8_minhash": op8_minhash,
+    "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,
 }
