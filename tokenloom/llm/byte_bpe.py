@@ -80,7 +80,8 @@ class BytePairCodec:
             offsets = np.cumsum([0, *map(len, rows)], dtype="int32")
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows or [[]]).astype("int32")))
 
-        return encoded(F.coalesce(text.cast("binary"), F.lit(b"")))
+        # marked so that Spark keeps it as one step, however many columns use the ids
+        return encoded.asNondeterministic()(F.coalesce(text.cast("binary"), F.lit(b"")))
 
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for."""
