@@ -97,7 +97,7 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert minhash.near_classes(docs.limit(0)).count() == 0 and minhash.near_dedup(docs.limit(0)).count() == 0
 
 
-def test_leaders_double_until_no_member_is_left(spark):
+def test_leaders_grow_until_no_member_is_left(spark):
     # one band of one register: buckets full of texts that are not alike
     rng = random.Random(8)
     common = [f"c{i}" for i in range(60)]

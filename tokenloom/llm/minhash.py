@@ -9,7 +9,7 @@ link if the Jaccard similarity of the distinct shingles is ``threshold`` or more
 
 Equal texts are one node from the start. In a bucket (texts that share a band) nobody is paired with everybody: the
 first nodes in hash order are leaders, and the others are compared with them. Those without a link go on to the next round,
-with twice as many leaders, until none is left. What this passes over is a pair of one node that has a link to a leader and one
+with four times as many leaders, until none is left. What this passes over is a pair of one node that has a link to a leader and one
 that has none; Jaccard distance is a metric, so such a pair can only be a link if the second is within twice the allowed distance
 of that leader, and if the two are not in one class already the pair is compared in the end. So no candidate link between classes is lost,
 and no bucket has a cap.
@@ -271,7 +271,7 @@ def _links(
         open_ = tried.filter(F.col("nearest") > allowed).select("key", "salt", F.col("a").alias("node"))
         heads = pairs.select("key", F.col("b").alias("node")).distinct()
         left = materialise(open_.join(heads, ["key", "node"], "left_anti").select("key", "salt", "node"), "open")
-        leaders *= 2
+        leaders *= 4
     if compared is None:
         return members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     links = compared.filter(F.col("distance") <= allowed)
