@@ -41,26 +41,32 @@ SAMPLE = 8
 KEY = 24
 SALTS = 64
 SLICE = 2 << 20
+PIECE = 1 << 17
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _powers(base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2 ** 64, and a random number for each byte."""
     with np.errstate(over="ignore"):
-        up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, base, dtype="uint64")])
-        down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, pow(base, -1, 1 << 64), dtype="uint64")])
+        up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(PIECE, base, dtype="uint64")])
+        down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(PIECE, pow(base, -1, 1 << 64), dtype="uint64")])
         return up, down, mixed(np.arange(1, 257, dtype="uint64") * np.uint64(base))
 
 
 def window_hashes(data: np.ndarray, size: int, base: int = _BASES[0]) -> np.ndarray:
-    """Hash of the ``size`` bytes at every position that has so many."""
+    """Hash of the ``size`` bytes at every position that has so many; the data is taken in overlapping pieces."""
     if len(data) < size:
         return np.zeros(0, dtype="uint64")
-    up, down, number = _powers(base, 1 << max(int(len(data)).bit_length(), 16))
+    up, down, number = _powers(base)
+    out = np.empty(len(data) - size + 1, dtype="uint64")
     with np.errstate(over="ignore"):
-        sums = np.r_[np.uint64(0), np.cumsum(number[data] * up[: len(data)], dtype="uint64")]
-        return mixed((sums[size:] - sums[:-size]) * down[: len(data) - size + 1])
+        for start in range(0, len(out), PIECE - size + 1):
+            piece = data[start : start + PIECE]
+            sums = np.r_[np.uint64(0), np.cumsum(number[piece] * up[: len(piece)], dtype="uint64")]
+            found = mixed((sums[size:] - sums[:-size]) * down[: len(piece) - size + 1])
+            out[start : start + len(found)] = found
+    return out
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
