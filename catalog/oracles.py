@@ -6,10 +6,20 @@ marker (U+E000, absent from the tables) ahead of that whitespace.
 
 from __future__ import annotations
 
-from catalog.queries import BASE_LEARNED, CHUNKS, LEARNED, SAMPLE_ROWS
-from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, MAX_SEQ_LEN, SEED, SPECIAL_TOKENS, STAND_INS
+from catalog.queries import (
+    ARABIC, BASE_LEARNED, CHUNKS, CYRILLIC, HAN, LANGUAGES, LEARNED, MAX_STEPS, SAMPLE_ROWS, SEGMENT_TURNS,
+)
+from tokenloom.constants import CHAT_TEMPLATE, FIRST_MERGE_ID, MAX_SEQ_LEN, SEED, SPECIAL_TOKENS
 from tokenloom.functions.bytelevel import SYMBOL_BASE
 
+# The byte alphabet, from its rule: printable bytes stand for themselves, the others for the characters from 256 on, and
+# ids follow the five reserved tokens in the order of the characters.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_CHARS = {**{b: b for b in _SHOWN}, **{b: 256 + n for n, b in enumerate(_HIDDEN)}}
+STAND_INS = [chr(_CHARS[b]) for b in range(256)]
+BYTE_IDS = [5 + [*_SHOWN, *_HIDDEN].index(b) for b in range(256)]
+
 _WS = r"\s\x0b\x{85}\p{Z}"
 _WORD = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + _WS + r"\p{L}\p{N}\x{E000}]+|[" + _WS + r"]+"
@@ -332,11 +342,15 @@ def all_sql() -> dict[str, str]:
         select="SELECT lang, count(*) AS rows, 0::BIGINT AS mismatches, sum(len(ids))::BIGINT AS tokens, "
         "round(sum(chars)::DOUBLE / sum(len(ids)), 6) AS chars_per_token FROM enc GROUP BY lang",
     )
-    sql["chat_render"] = """SELECT conv_id, turn // 256 AS segment, string_agg(piece, '' ORDER BY turn) AS text FROM (
+    turn_pieces = """SELECT conv_id, turn, piece FROM (
         SELECT conv_id, turn, CASE role WHEN 'user' THEN '<s>user' || chr(10) || text || '</s>' || chr(10) || '<s>assistant' || chr(10)
             WHEN 'assistant' THEN text || '</s>' || chr(10)
             WHEN 'system' THEN CASE WHEN turn = first_turn THEN text END END AS piece
-        FROM (SELECT *, min(turn) OVER (PARTITION BY conv_id) AS first_turn FROM conversations)) WHERE piece IS NOT NULL GROUP BY 1, 2"""
+        FROM (SELECT *, min(turn) OVER (PARTITION BY conv_id) AS first_turn FROM conversations)) WHERE piece IS NOT NULL"""
+    sql["chat_turns"] = turn_pieces
+    sql["chat_render"] = (
+        f"SELECT conv_id, turn // {SEGMENT_TURNS} AS segment, string_agg(piece, '' ORDER BY turn) AS text FROM ({turn_pieces}) GROUP BY 1, 2"
+    )
     sql["chat_render_rows"] = f"WITH {_INSTRUCT} SELECT conv_id, turn, {_PROMPT} AS prompt, {_ANSWER} AS answer FROM answered"
     sql["chat_encode"] = _trained(
         *_chat_sides(), select=f"SELECT conv_id, turn, {_joined('p')} AS prompt, {_joined('a')} AS answer FROM both_sides"
@@ -362,4 +376,43 @@ def all_sql() -> dict[str, str]:
         f"(SELECT lang, least(len(ids) + 2, {_L}) - 1 AS k FROM enc) GROUP BY lang",
     )
     sql["id_domain"] = _trained(docs, select=f"SELECT doc_id, len(ids) + 4 >= {_L - 1} AS usable FROM enc")
+    usable = f"len(list_filter(list_slice(list_concat([0], ids, [1]), 1, {_L - 1}), lambda i: i >= {FIRST_MERGE_ID + LEARNED - 2})) = 0"
+    sql["id_domain_small"] = _trained(docs, select=f"SELECT doc_id, {usable} AS usable FROM enc")
+    sql["stream_rejects"] = "SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'no_text' ELSE '' END AS reject_reason FROM documents"
+    sql["chunk_rewrite"] = f"SELECT *, chunk IN (1, 4) AS written FROM ({sql['chunk_roundtrip']})"
+    sql["training_batches_max_steps"] = f"SELECT * FROM ({sql['assign_batches']}) WHERE rank < {MAX_STEPS * 256}"
+    sql["bpe_merges_small_bounds"] = sql["bpe_merges"]
+    size = FIRST_MERGE_ID + BASE_LEARNED + 3
+    sql["vocab_merge_sized"] = f"SELECT * FROM ({sql['vocab_merge']}) WHERE id < {size}"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    scripts = " || ".join(f"translate(lower(text), '{letters}', '{to}')" for to in (CYRILLIC, ARABIC, HAN))
+    sql["roundtrip_scripts"] = _trained(
+        _encoded_ctes("enc", f"SELECT doc_id, lang, length({scripts}) AS chars, {scripts} AS t FROM documents", "doc_id"),
+        select="SELECT lang, count(*) AS rows, 0::BIGINT AS mismatches, sum(len(ids))::BIGINT AS tokens, "
+        "round(sum(chars)::DOUBLE / sum(len(ids)), 6) AS chars_per_token FROM enc GROUP BY lang",
+    )
+    sized = "(SELECT *, n_chars // 100 AS size FROM documents)"
+    for name, by, most in (("sample_repeated_keys", "lang", SAMPLE_ROWS), ("sample_repeated_keys_unlisted", "source", SAMPLE_ROWS // 10)):
+        place = f"row_number() OVER (PARTITION BY {by} ORDER BY {_hash('size')}, size)"
+        sql[name] = f"SELECT {by}, size, count(*) AS n FROM (SELECT *, {place} AS r FROM {sized}) WHERE r <= {most} GROUP BY 1, 2"
+    sql["split_repeated_keys"] = (
+        f"SELECT CASE WHEN r <= ceil(0.05 * total) THEN 'test' ELSE 'train' END AS part, size, count(*) AS n FROM (SELECT *, "
+        f"row_number() OVER (ORDER BY {_hash('size')}, size) AS r, count(*) OVER () AS total FROM {sized}) GROUP BY 1, 2"
+    )
+    sql["chunks_repeated_keys"] = _chunk_sql("SELECT chunk, size, count(*) AS n FROM chunked GROUP BY 1, 2").replace(
+        "ORDER BY doc_id", "ORDER BY n_chars // 100"
+    ).replace("SELECT *, row_number()", "SELECT *, n_chars // 100 AS size, row_number()")
+    listed = "[" + ", ".join(f"'{x}'" for x in LANGUAGES) + "]"
+    n = len(LANGUAGES)
+    sql["tokenizer_sample"] = f"""WITH picked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_hash('doc_id')}, doc_id) AS k,
+            count(*) OVER (PARTITION BY lang) AS c FROM documents) WHERE k <= ceil(0.1 * c)),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY list_position({listed}, lang), {_hash('doc_id')}, doc_id) - 1 AS r, count(*) OVER () AS total FROM picked),
+        sized AS (SELECT *, total // {n} AS q, total % {n} AS rem FROM ranked)
+        SELECT lang AS subset, source || ' ' || text AS text, n_chars,
+            (CASE WHEN r < rem * (q + 1) THEN r // (q + 1) ELSE rem + (r - rem * (q + 1)) // greatest(q, 1) END)::INT AS chunk FROM sized"""
+    template = CHAT_TEMPLATE.replace("'", "''")
+    sql["settings"] = f"""SELECT id, content, false AS lstrip, false AS normalized, false AS rstrip, false AS single_word, true AS special,
+        '<s>' AS bos_token, '</s>' AS eos_token, '<unk>' AS unk_token, NULL::VARCHAR AS pad_token, false AS add_bos_token, true AS add_prefix_space,
+        true AS legacy, 'PreTrainedTokenizerFast' AS tokenizer_class, '1000000000000000019884624838656' AS model_max_length, 0::INT AS more,
+        md5('{template}') AS template, n FROM ({sql['special_tokens']})"""
     return sql

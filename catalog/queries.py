@@ -7,12 +7,11 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog.inputs import alpaca_source, documents, instruct_source, orca_source, spread_documents, table
-from tokenloom import sinks, sources, streaming
+from tokenloom import plans, sinks, sources, streaming
 from tokenloom.constants import FIRST_MERGE_ID, MAX_SEQ_LEN, SPECIAL_TOKENS
 from tokenloom.functions import bytelevel, chat, pretokens, sequences
 from tokenloom.functions.codec import Encoder, decode_ids
 from tokenloom.operators import batches, chat as chat_ops, columns, merges, ranking, training_rows, vocabulary, wordstats
-from tokenloom.plans import instruct_union
 from tokenloom.session import shared_path
 
 # Merges learned where a query needs a trained tokenizer.
@@ -21,6 +20,14 @@ BASE_LEARNED = 12
 LANGUAGES = ["de", "en", "es", "fr"]
 SAMPLE_ROWS = 100
 CHUNKS = 6
+SEGMENT_TURNS = 256
+MAX_STEPS = 2
+# Bounds that make merge learning halve, grow and checkpoint on small tables.
+SMALL_PAIRS, SMALL_RUNS, SMALL_SYMBOLS = 16, 2000, 20_000
+# Letters that take the place of a to z.
+CYRILLIC = "абцдефгхийклмнопярстуввхыз"
+ARABIC = "ابتثجحخدذرزسشصضطظعغفقكلمنه"
+HAN = "一二三四五六七八九十百千上下左右大小中日月水火木金土"
 
 
 def text_of(array: Column) -> Column:
@@ -75,6 +82,35 @@ def corpus_lines(spark, sf_dir):
     return wordstats.corpus_lines(documents(spark, sf_dir), "text", "doc_id")
 
 
+def chunk_rewrite(spark, sf_dir):
+    """One chunk lost after all were written, and a half-written one: both come back, the others stay."""
+    path = shared_path(spark, "chunks")
+    chunks = _chunks(spark, sf_dir)
+    sinks.write_chunks(chunks.filter("chunk <> 1"), path, CHUNKS)
+    for chunk in (1, 4):
+        marker, files = sinks._file_system(spark, sinks._marker(path, chunk, CHUNKS, ""))
+        files.delete(marker, False)
+    written = sinks.write_chunks(chunks, path, CHUNKS)
+    lines = sources.read_lines(spark, path)
+    counted = lines.groupBy(F.col("chunk").cast("int").alias("chunk"), "line").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("written", F.col("chunk").isin(written))
+
+
+def settings(spark, sf_dir):
+    """The settings file, read back: a row per reserved token with how often the wrapped texts hold it."""
+    path = shared_path(spark, "settings")
+    sinks.write_settings(spark, path)
+    stored = sources.read_jsonl(spark, path, sinks.SETTINGS_SCHEMA)
+    tokens = stored.select("*", F.explode("added_tokens_decoder").alias("id", "token"))
+    flags = ["lstrip", "normalized", "rstrip", "single_word", "special"]
+    named = tokens.select(
+        F.col("id").cast("int").alias("id"), "token.content", *[f"token.{f}" for f in flags], "bos_token", "eos_token", "unk_token", "pad_token",
+        "add_bos_token", "add_prefix_space", "legacy", "tokenizer_class", F.col("model_max_length").cast("string").alias("model_max_length"),
+        F.size("additional_special_tokens").alias("more"), F.md5("chat_template").alias("template"),
+    )
+    return named.join(special_tokens(spark, sf_dir).select("content", "n"), "content")
+
+
 # projections
 
 
@@ -83,7 +119,7 @@ def drop_columns(spark, sf_dir):
 
 
 def instruct_schema(spark, sf_dir):
-    return instruct_union(alpaca_source(spark, sf_dir), orca_source(spark, sf_dir))
+    return plans.instruct_union(alpaca_source(spark, sf_dir), orca_source(spark, sf_dir))
 
 
 def title_text(spark, sf_dir):
@@ -181,6 +217,38 @@ def corpus_chunks_compat(spark, sf_dir):
     return _chunks(spark, sf_dir, compat=True).select("doc_id", "chunk")
 
 
+def sample_repeated_keys(spark, sf_dir):
+    """Samples by a key that repeats: exactly so many rows, counted by key."""
+    docs = documents(spark, sf_dir).withColumn("size", F.floor(F.col("n_chars") / 100))
+    rows = ranking.sample_per_subset(docs, SAMPLE_ROWS, "lang", "size", subsets=LANGUAGES)
+    return rows.groupBy("lang", "size").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sample_repeated_keys_unlisted(spark, sf_dir):
+    docs = documents(spark, sf_dir).withColumn("size", F.floor(F.col("n_chars") / 100))
+    rows = ranking.sample_per_subset(docs, SAMPLE_ROWS // 10, "source", "size")
+    return rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+
+
+def chunks_repeated_keys(spark, sf_dir):
+    """Chunks in the order of a column that repeats."""
+    docs = documents(spark, sf_dir).withColumn("size", F.floor(F.col("n_chars") / 100))
+    rows = ranking.corpus_chunks(docs, CHUNKS, ranking.positional_order(docs, "size"))
+    return rows.groupBy("chunk", "size").agg(F.count(F.lit(1)).alias("n"))
+
+
+def split_repeated_keys(spark, sf_dir):
+    docs = documents(spark, sf_dir).withColumn("size", F.floor(F.col("n_chars") / 100))
+    return ranking.split_exact(docs, 0.05, "size").groupBy("part", "size").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tokenizer_sample(spark, sf_dir):
+    """A tenth of each language, in chunks by language, with the title in front."""
+    docs = documents(spark, sf_dir).withColumnsRenamed({"doc_id": "id", "lang": "subset", "source": "title"}).withColumn("url", F.lit(""))
+    rows = plans.tokenizer_sample(docs, LANGUAGES)
+    return rows.select("subset", "text", "n_chars", "chunk")
+
+
 def assign_batches(spark, sf_dir):
     return batches.assign_batches(documents(spark, sf_dir).select("doc_id"), "doc_id")
 
@@ -191,6 +259,10 @@ def collect_batches(spark, sf_dir):
     return rows.select("step", "micro_batch", text_of(F.col("rows.doc_id")).alias("doc_ids"), text_of(F.col("rows.n_chars")).alias("sizes"))
 
 
+def training_batches_max_steps(spark, sf_dir):
+    return batches.assign_batches(documents(spark, sf_dir).select("doc_id"), "doc_id", max_steps=MAX_STEPS)
+
+
 # tokenizer training
 
 
@@ -224,6 +296,13 @@ def bpe_merges(spark, sf_dir):
     return merges.merges_table(spark, _learned(spark, sf_dir))
 
 
+def bpe_merges_small_bounds(spark, sf_dir):
+    """Merges of words seen five times, with bounds so small that a round proves few merges."""
+    words = _words(documents(spark, sf_dir))
+    learned = merges.learn_merges(words, FIRST_MERGE_ID + LEARNED, 5, SMALL_PAIRS, SMALL_RUNS, SMALL_SYMBOLS)
+    return merges.merges_table(spark, learned)
+
+
 def vocab(spark, sf_dir):
     return vocabulary.vocab_table(spark, _learned(spark, sf_dir)).select("id", "token", "kind", F.hex("bytes").alias("bytes"))
 
@@ -249,6 +328,13 @@ def vocab_merge(spark, sf_dir):
     return vocabulary.extend_vocab(base, vocabulary.vocab_table(spark, _learned(spark, sf_dir))).drop("bytes")
 
 
+def vocab_merge_sized(spark, sf_dir):
+    """The joint vocabulary ends at its size."""
+    base = vocabulary.vocab_table(spark, _learned(spark, sf_dir, "benchmark", BASE_LEARNED))
+    new = vocabulary.vocab_table(spark, _learned(spark, sf_dir))
+    return vocabulary.extend_vocab(base, new, FIRST_MERGE_ID + BASE_LEARNED + 3).drop("bytes")
+
+
 def special_tokens(spark, sf_dir):
     """The reserved tokens and how often each occurs in the wrapped texts."""
     pieces = documents(spark, sf_dir).select(F.explode(pretokens.split_specials(columns.wrap_text(F.col("text")))).alias("content"))
@@ -292,11 +378,27 @@ def roundtrip(spark, sf_dir):
     return summary.withColumn("chars_per_token", F.round("chars_per_token", 6))
 
 
+def in_scripts(text: Column) -> Column:
+    """Letters a to z of every text in three other scripts, one after the other."""
+    return F.concat(*[F.translate(F.lower(text), "abcdefghijklmnopqrstuvwxyz", letters) for letters in (CYRILLIC, ARABIC, HAN)])
+
+
+def roundtrip_scripts(spark, sf_dir):
+    docs = spread_documents(spark, sf_dir).withColumn("text", in_scripts(F.col("text")))
+    tokens = vocabulary.token_texts(_learned(spark, sf_dir))
+    summary = training_rows.round_trip(docs, _encoder(spark, sf_dir), tokens, "lang")
+    return summary.withColumn("chars_per_token", F.round("chars_per_token", 6))
+
+
 # chat
 
 
+def chat_turns(spark, sf_dir):
+    return chat_ops.rendered_turns(table(spark, sf_dir, "conversations"))
+
+
 def chat_render(spark, sf_dir):
-    return chat_ops.render_conversations(table(spark, sf_dir, "conversations"))
+    return chat_ops.render_conversations(table(spark, sf_dir, "conversations"), SEGMENT_TURNS)
 
 
 def chat_render_rows(spark, sf_dir):
@@ -367,6 +469,12 @@ def id_domain(spark, sf_dir):
     return good.select("doc_id", F.lit(True).alias("usable")).unionByName(bad.select("doc_id", F.lit(False).alias("usable")))
 
 
+def id_domain_small(spark, sf_dir):
+    """A vocabulary smaller than the tokenizer's: its highest ids are out of the domain."""
+    good, bad = training_rows.split_domain(_pretrain(spark, sf_dir), FIRST_MERGE_ID + LEARNED - 2)
+    return good.select("doc_id", F.lit(True).alias("usable")).unionByName(bad.select("doc_id", F.lit(False).alias("usable")))
+
+
 def training_batches(spark, sf_dir):
     """Pretraining rows with their place in the training order, assigned before encoding."""
     placed = batches.assign_batches(documents(spark, sf_dir), "doc_id")
@@ -396,6 +504,19 @@ def stream_instruct(spark, sf_dir):
     return _shown(spark.read.parquet(f"{path}/out"), "conv_id", "turn")
 
 
+def stream_rejects(spark, sf_dir):
+    """Texts set to null by rule: the stream keeps them apart, the others become rows."""
+    path = shared_path(spark, "stream-rejects")
+    text = F.when(F.col("doc_id") % 7 != 0, F.col("text"))
+    sinks.write_jsonl(documents(spark, sf_dir).select("doc_id", text.alias("text")), f"{path}/in")
+    streaming.stream_pretrain(
+        spark, f"{path}/in", f"{path}/out", f"{path}/progress", _encoder(spark, sf_dir), keep_schema="doc_id long", keep=("doc_id",),
+        rejects=f"{path}/bad",
+    )
+    good = spark.read.parquet(f"{path}/out").select("doc_id", F.lit("").alias("reject_reason"))
+    return good.unionByName(spark.read.parquet(f"{path}/bad").select("doc_id", "reject_reason"))
+
+
 def sampled_languages(spark, sf_dir):
     """Flagship: an equal seeded sample per language, wrapped, and counted."""
     rows = sample_per_subset(spark, sf_dir).withColumn("text", columns.wrap_text(F.col("text")))
@@ -412,6 +533,8 @@ QUERIES = {
         byte_counts, pair_counts, bpe_merges, vocab, vocab_export, vocab_import, vocab_merge, special_tokens, encode,
         special_split, add_bos_eos, decode, roundtrip, chat_render, chat_render_rows, chat_encode, pad_truncate,
         pretrain_rows, pretrain_rows_compat, instruct_labels, instruct_rows, instruct_rows_compat, supervised_tokens,
-        id_domain, training_batches, stream_pretrain, stream_instruct,
+        id_domain, training_batches, stream_pretrain, stream_instruct, chunk_rewrite, settings, sample_repeated_keys,
+        sample_repeated_keys_unlisted, chunks_repeated_keys, split_repeated_keys, tokenizer_sample, training_batches_max_steps,
+        bpe_merges_small_bounds, vocab_merge_sized, roundtrip_scripts, chat_turns, id_domain_small, stream_rejects,
     )
 }

@@ -53,6 +53,8 @@ def test_chunks_written_once(spark, tmp_path):
     assert len(rows) == 20 and {r.line for r in rows} == {f"t{i}\n" for i in range(10)} | {"x\r\n"}
     part = f"{tmp_path}/d"
     sinks.write_chunks(chunked.filter("chunk = 1"), part, 3)
+    for i in (0, 2):
+        Path(part, "_complete", f"{i}-of-3-").unlink()
     before = sorted(p.name for p in Path(part, "chunk=1").glob("part-*"))
     assert sinks.existing_chunks(spark, part, 3) == [1]
     assert sinks.write_chunks(chunked, part, 3) == [0, 2]
@@ -192,9 +194,11 @@ def test_tokenizer_job_extends_a_vocabulary(spark, docs, tmp_path):
     rows = {r.id: r.token for r in spark.read.parquet(f"{out}/vocab").collect()}
     tokens = vocabulary.token_texts(base)
     new = [t for t in vocabulary.token_texts(learned) if t not in tokens]
-    assert [rows[i] for i in range(len(rows))] == tokens + new
+    assert [rows[i] for i in range(len(rows))] == (tokens + new)[:280]
     encoder = plans.load_encoder(spark, out)
-    shown = docs.limit(30).select(encoder.encode(F.col("text")).alias("a"), Encoder(spark, learned).encode(F.col("text")).alias("b"))
+    kept = [m for m in learned if vocabulary.token_texts(learned)[m.new_id] in rows.values()]
+    assert 0 < len(kept) < len(learned)
+    shown = docs.limit(30).select(encoder.encode(F.col("text")).alias("a"), Encoder(spark, kept).encode(F.col("text")).alias("b"))
     for r in shown.collect():
         assert [rows[i] for i in r.a] == [vocabulary.token_texts(learned)[i] for i in r.b]
 
@@ -235,3 +239,58 @@ def test_training_row_job(spark, tmp_path, kind):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir", spark.sparkContext.getCheckpointDir()))
+
+
+def test_all_usable_rows_are_written_by_default(spark, tmp_path):
+    rows = spark.range(60).selectExpr("id", "if(id % 10 = 0, null, concat('text ', id)) as text")
+    args = (rows, "pretrain", Encoder(spark, MERGES))
+    assert plans.build_training_rows(*args, f"{tmp_path}/all", "id", 16, batch_rows=4, accumulation=2) == 0
+    assert spark.read.parquet(f"{tmp_path}/all/rows").count() == 54
+    assert plans.build_training_rows(*args, f"{tmp_path}/cut", "id", 16, batch_rows=4, accumulation=2, max_steps=5) == 14
+    assert spark.read.parquet(f"{tmp_path}/cut/rows").count() == 40
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_streams_write_no_row_that_batch_rejects(spark, tmp_path, named):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"id": 1, "text": "ok"}\n{"id": 2, "text": null}\n{"id": 3, "te\n{"id": 4, "text": ""}\n')
+    more = {"rejects": f"{tmp_path}/bad"} if named else {}
+    streaming.stream_pretrain(
+        spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/progress", Encoder(spark, MERGES), 16, keep_schema="id long", keep=("id",), **more
+    )
+    out = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted(r.id for r in out) == [1, 4] and all(r.input_ids and r.labels for r in out)
+    if named:
+        bad = {r.reject_reason: r for r in spark.read.parquet(f"{tmp_path}/bad").collect()}
+        assert set(bad) == {"no_text", "broken_line"} and bad["broken_line"]._corrupt_record == '{"id": 3, "te'
+
+
+def test_broken_configuration_is_an_error(spark, tmp_path):
+    (tmp_path / "chat").mkdir()
+    (tmp_path / "chat" / "a.json").write_text('{"output": "ok"}\n{"output": \n')
+    with pytest.raises(Exception):
+        sources.read_config(spark, str(tmp_path), sources.ALPACA_SCHEMA, "chat").collect()
+
+
+def test_half_written_and_stale_chunks(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(16)], "id long, text string")
+    path = f"{tmp_path}/c"
+    Path(path, "chunk=0").mkdir(parents=True)
+    Path(path, "chunk=1").mkdir()
+    Path(path, "chunk=1", "part-half.txt").write_text("torn")
+    eight = ranking.corpus_chunks(df, 8, ranking.positional_order(df, "id"))
+    assert sinks.write_chunks(eight, path, 8) == list(range(8))
+    assert sorted(r.line for r in sources.read_lines(spark, path).collect()) == sorted(f"t{i}\n" for i in range(16))
+    other = df.withColumn("text", F.concat(F.lit("new "), "text"))
+    two = ranking.corpus_chunks(other, 2, ranking.positional_order(other, "id"))
+    assert sinks.write_chunks(two, path, 2) == [0, 1]
+    lines = [r.line for r in sources.read_lines(spark, path).filter("chunk < 2").collect()]
+    assert sorted(lines) == sorted(f"new t{i}\n" for i in range(16))
+    assert sinks.existing_chunks(spark, path, 8) == [] and sinks.existing_chunks(spark, path, 2, "seed5") == []
+
+
+def test_joint_vocabulary_ends_at_its_size(spark, docs, tmp_path):
+    base = spark.createDataFrame([(f"own{i}", 300 + i) for i in range(5)], "token string, id int")
+    plans.train_tokenizer(plans.tokenizer_corpus(docs, "doc_id"), f"{tmp_path}/t", vocab_size=320, min_frequency=5, base=base)
+    ids = [r.id for r in spark.read.parquet(f"{tmp_path}/t/vocab").collect()]
+    assert max(ids) == 319 and len(ids) == 20

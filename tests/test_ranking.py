@@ -122,10 +122,74 @@ def test_payload_is_not_shuffled(spark):
     """Only key columns cross an exchange: the text is read by the last scan alone."""
     path = "/root/testdata/sf0.01/documents.parquet"
     frame = ranking.sample_per_subset(spark.read.parquet(path), 5, "lang", "doc_id", subsets=["en", "fr"])
-    plan = frame._jdf.queryExecution().executedPlan().toString()
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert sum("text" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
 
 
+def job_ids(spark, action):
+    group = f"planning-{id(action)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+        return list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_building_a_frame_starts_no_job(spark):
+    df = spark.range(100).selectExpr("id as doc_id", "cast(id % 3 as string) as subset")
+    assert job_ids(spark, df.count)
+    for build in (
+        lambda: ranking.sample_per_subset(df, 5, "subset", "doc_id"),
+        lambda: ranking.head_fraction(df, 50, ranking.positional_order(df, "doc_id")),
+        lambda: ranking.corpus_chunks(df, 3, ranking.positional_order(df, "doc_id")),
+        lambda: ranking.split_exact(df, 0.1, "doc_id"),
+    ):
+        assert not job_ids(spark, build)
+
+
+def test_six_subsets_that_share_ids(spark):
+    """Ids are numbered per subset, as in tables made of one dump per language."""
+    df = spark.range(150).selectExpr("id % 25 as id", "concat('s', cast(id / 25 as int)) as subset", "concat('t', id) as text")
+    half = ranking.corpus_chunks(df, 6, ranking.seeded_order("id"), percent=50).collect()
+    assert len(half) == 75 and len({r.text for r in half}) == 75
+    assert sorted(Counter(r.chunk for r in half).values()) == [12, 12, 12, 13, 13, 13]
+    parts = ranking.split_exact(df, 0.05, "id").collect()
+    assert Counter(r.part for r in parts) == {"test": 8, "train": 142} and len({r.text for r in parts}) == 150
+    assert sorted(parts) == sorted(ranking.split_exact(df.repartition(7), 0.05, "id").collect())
+    assert ranking.head_fraction(df, 33, ranking.positional_order(df, "id")).count() == 50
+
+
+@pytest.mark.parametrize("identical", [False, True])
+def test_ten_copies_of_each_key(spark, identical):
+    text = "'same'" if identical else "cast(id as string)"
+    df = spark.range(100).selectExpr("id % 10 as key", f"{text} as text", "cast(id % 2 as string) as subset")
+    assert ranking.sample_per_subset(df.withColumn("subset", F.lit("a")), 25, "subset", "key", subsets=["a"]).count() == 25
+    for subsets in (["0", "1"], None):
+        rows = ranking.sample_per_subset(df, 13, "subset", "key", subsets=subsets).collect()
+        assert Counter(r.subset for r in rows) == {"0": 13, "1": 13}
+    chunks = ranking.corpus_chunks(df, 7, ranking.positional_order(df, "key")).collect()
+    assert sorted(Counter(r.chunk for r in chunks).values()) == [14] * 5 + [15] * 2
+    ordered = sorted(chunks, key=lambda r: (r.chunk, r.key))
+    assert [r.key for r in ordered] == sorted(r.key for r in chunks)
+    ranks = ranking.with_rank(df, ranking.seeded_order("key")).collect()
+    assert sorted(r.rank for r in ranks) == list(range(100))
+
+
+def test_one_key_in_all_rows(spark):
+    df = spark.range(300).selectExpr("1 as key", "id")
+    rows = ranking.corpus_chunks(df, 4, ranking.seeded_order("key")).collect()
+    assert Counter(r.chunk for r in rows) == {0: 75, 1: 75, 2: 75, 3: 75} and len({r.id for r in rows}) == 300
+
+
+def test_copies_of_cuts_stay_below_the_rows(spark):
+    df = spark.range(500).selectExpr("id", "concat('s', id % 200) as subset")
+    cuts = ranking.cut_keys(df, ranking.seeded_order("id"), lambda total: [F.lit(1)], "subset", bounded=False)
+    copies = cuts.select(F.sum(F.expr("bit_count(_salts)")).alias("n"), F.count(F.lit(1)).alias("cuts")).first()
+    assert copies.cuts == 200 and copies.n <= 500
+
+
 @pytest.mark.parametrize("n,fraction", [(100, 0.05), (101, 0.05), (100, 0.07), (140, 0.05), (3, 0.5), (7, 0), (7, 1)])
 def test_split_is_exact_disjoint_and_complete(spark, n, fraction):
     rows = ranking.split_exact(numbered(spark, n), fraction, "doc_id").collect()

@@ -143,7 +143,8 @@ class Encoder:
         if len(rows) > bytelevel.MAX_SYMBOLS:
             raise ValueError("the vocabulary has more entries than token ids")
         by_token = {r.token: r.id for r in rows}
-        ordered = merges.orderBy("rank").limit(bytelevel.MAX_SYMBOLS).select("left", "right", "new_id").collect()
+        # one more than allowed, so that the check of the constructor can fail
+        ordered = merges.orderBy("rank").limit(bytelevel.MAX_SYMBOLS + 1).select("left", "right", "new_id").collect()
         return cls(
             vocab.sparkSession,
             [tuple(r) for r in ordered],

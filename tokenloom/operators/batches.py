@@ -17,10 +17,14 @@ def assign_batches(
     batch_rows: int = BATCH_ROWS,
     accumulation: int = ACCUMULATION,
     max_steps: int | None = None,
+    digits: int = RANK_DIGITS,
 ) -> DataFrame:
-    """Columns ``rank``, ``micro_batch`` and ``step`` in seeded order; rows at or after ``max_steps`` are not used."""
+    """Columns ``rank``, ``micro_batch`` and ``step`` in seeded order; rows at or after ``max_steps`` are not used.
+
+    A task sorts one of ``16 ** digits`` buckets at a time; 5 or 6 digits suit tables beyond some terabytes.
+    """
     per_step = batch_rows * accumulation
-    ranked = with_rank(df, seeded_order(key, seed, RANK_DIGITS), None if max_steps is None else max_steps * per_step)
+    ranked = with_rank(df, seeded_order(key, seed, digits), None if max_steps is None else max_steps * per_step)
     return ranked.withColumns(
         {"micro_batch": F.floor(F.col("rank") / batch_rows), "step": F.floor(F.col("rank") / per_step)}
     )

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tokenloom.functions.chat import rendered_turn
 
-SEGMENT_TURNS = 256
-
 
 def rendered_turns(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
@@ -26,16 +24,16 @@ def rendered_turns(
 
 def render_conversations(
     turns: DataFrame,
+    segment_turns: int,
     conv: str = "conv_id",
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    segment_turns: int = SEGMENT_TURNS,
 ) -> DataFrame:
-    """Chat text per conversation, in segments of ``segment_turns`` turn numbers.
+    """Chat text joined per conversation and segment of ``segment_turns`` turn numbers.
 
-    An ordinary conversation is one row with segment 0. A very long one becomes several rows whose texts follow
-    each other, so that no group grows with the length of a conversation.
+    ``rendered_turns`` is the whole result, one row per turn. Joining needs a bound that the caller knows: a conversation
+    of more turns becomes several rows whose texts follow each other.
     """
     pieces = rendered_turns(turns, conv, turn, role, text)
     ordered = F.array_sort(F.collect_list(F.struct(turn, "piece")))

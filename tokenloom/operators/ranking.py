@@ -6,7 +6,11 @@ known bucket, and only that bucket's keys are sorted. What comes out are a few *
 filtered against them in place: no row payload is shuffled for a sample, a split, a head or a chunk.
 
 A seeded order uses ``md5(seed ':' key)``, so buckets are even whatever the data looks like and every engine with
-md5 gives the same order. A positional order uses a numeric column and quantile buckets. Keys must be unique.
+md5 gives the same order. A positional order uses a numeric column and quantile buckets.
+
+Keys may repeat. The keys of a bucket are counted, so a cut is a key and the number of its copies that come before the
+position. If that number is not 0, the copies of that one key are numbered by a hash of the whole row; those rows are found
+by a join with the cut keys, which reads nothing when no cut falls inside copies.
 """
 
 from __future__ import annotations
@@ -19,9 +23,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tokenloom.constants import SEED
 
-# A table joined by broadcast may have this many rows at most; beyond that the join is salted.
+# A list of subsets may have this many entries for its cuts to be broadcast; other cuts are joined by subset and salt.
 BROADCAST_ROWS = 10_000
 
+# Rows of a subset are spread over so many salts; its cuts are copied for those salts that occur.
+SALTS = 64
+
+# Column with the bucket bounds of a positional order.
+BOUNDS = "_bounds"
+
+# Buckets of copies of one key, by a hash of the row.
+COPY_BUCKETS = 4096
+
 # Hex digits of the hash that make a bucket. Few buckets keep the counting pass small, since every task sends a row
 # per bucket; that suits cuts, which sort the keys of one bucket only. A full rank sorts all rows bucket by bucket and
 # wants small ones.
@@ -31,10 +44,17 @@ RANK_DIGITS = 4
 
 @dataclass(frozen=True)
 class Order:
-    """A total order of rows: a sortable key and a coarse bucket that follows it."""
+    """A total order of rows: a sortable key and a coarse bucket that follows it.
+
+    ``bounds`` is a scalar that the bucket needs in a column of its own.
+    """
 
     bucket: Column
     key: Column
+    bounds: Column | None = None
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df if self.bounds is None else df.withColumn(BOUNDS, self.bounds)
 
 
 Positions = Callable[[Column], list[Column]]
@@ -53,8 +73,8 @@ def seeded_order(
     key: str | Sequence[str], seed: int = SEED, digits: int = CUT_DIGITS, first: Column | None = None
 ) -> Order:
     """Pseudo-random order over ``16 ** digits`` even buckets, within the value of ``first`` if given."""
-    if not 1 <= digits <= 4:
-        raise ValueError("digits must be between 1 and 4")
+    if not 1 <= digits <= 6:
+        raise ValueError("digits must be between 1 and 6")
     h = order_hash(key, seed)
     prefix = F.substring(h, 1, digits)
     if first is None:
@@ -65,101 +85,143 @@ def seeded_order(
 def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
     """Order of a numeric column over quantile buckets.
 
-    The quantiles are estimated once, here, and become literals: an estimate only affects how even the buckets
-    are, the counts taken over them are exact. They are taken in two levels, so that no single task merges the
-    summaries of all input splits.
+    The quantiles are a scalar subquery: an estimate only affects how even the buckets are, the counts taken over them are
+    exact. They are taken in two levels, so that no single task merges the summaries of all input splits.
     """
-    if not isinstance(df.schema[key].dataType, T.NumericType):
+    kind = df.schema[key].dataType
+    if not isinstance(kind, T.NumericType):
         raise TypeError(f"{key} is not numeric")
     steps = [i / buckets for i in range(1, buckets)]
     groups = df.groupBy((F.spark_partition_id() % 256).alias("g")).agg(F.percentile_approx(key, steps, 1000).alias("q"))
     values = groups.select(F.explode("q").alias("v"))
-    bounds = sorted(set(values.agg(F.percentile_approx("v", steps).alias("q")).first().q or []))
-    if not bounds:
-        return Order(F.lit(0), F.struct(F.col(key)))
-
-    def literal(values: list) -> Column:
-        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{df.schema[key].dataType.simpleString()}>")
-
-    def passed(values: Column) -> Column:
-        return F.size(F.filter(values, lambda b: b <= F.col(key)))
-
+    found = F.array_sort(F.array_distinct(F.percentile_approx("v", steps)))
+    bounds = F.coalesce(values.agg(found.alias("q")).scalar(), F.array().cast(T.ArrayType(kind)))
     # two short searches instead of one long one
-    whole = passed(literal(bounds[31::32])) * 32 if len(bounds) > 31 else F.lit(0)
-    return Order(whole + passed(F.slice(literal(bounds), whole + 1, 32)), F.struct(F.col(key)))
+    whole = F.size(F.filter(F.filter(BOUNDS, lambda b, i: (i % 32) == 31), lambda b: b <= F.col(key))) * 32
+    fine = F.size(F.filter(F.slice(BOUNDS, whole + 1, 32), lambda b: b <= F.col(key)))
+    return Order(whole + fine, F.struct(F.col(key)), bounds)
 
 
 def _bucket_starts(df: DataFrame, order: Order, by: str | None) -> DataFrame:
     """Rows before each bucket and in total; at most one row per bucket (and subset), so one window is small."""
     groups = [by] if by else []
-    counts = df.groupBy(*groups, order.bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    seen = order.on(df).select(*groups, order.bucket.alias("_bucket"), _salt(order).alias("_salt"))
+    counts = seen.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_rows"), F.expr("bit_or(shiftleft(1L, _salt))").alias("_bits"))
     whole = Window.partitionBy(*groups)
     upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumns(
-        {"_start": F.sum("_rows").over(upto) - F.col("_rows"), "_total": F.sum("_rows").over(whole)}
-    )
+    return counts.withColumns({
+        "_start": F.sum("_rows").over(upto) - F.col("_rows"), "_total": F.sum("_rows").over(whole),
+        "_salts": F.expr("bit_or(_bits)").over(whole),
+    }).drop("_bits")
+
+
+def _salt(order: Order) -> Column:
+    return F.pmod(F.xxhash64(order.key), F.lit(SALTS)).cast("int")
 
 
 def cut_keys(df: DataFrame, order: Order, positions: Positions, by: str | None = None, bounded: bool = True) -> DataFrame:
     """Order keys at the wanted 0-based positions.
 
-    ``positions`` turns the total into a list of positions. One row (per subset): ``_total``, ``_cut0``, ``_cut1``,
-    ...; a position at or beyond the total has a null cut. ``bounded`` says that the number of subsets is known to be
-    small, so the wanted buckets can be broadcast.
+    ``positions`` turns the total into a list of positions. One row (per subset): ``_total``, ``_salts`` (bits of the salts
+    that occur), ``_cut0`` and ``_copies0`` (how many copies of the cut key come before the position), ``_cut1``, ...; a
+    position at or beyond the total has a null cut. ``bounded`` says that the number of subsets is known to be small, so the
+    wanted buckets can be broadcast.
     """
     groups = [by] if by else []
     starts = _bucket_starts(df, order, by)
     asked = positions(F.col("_total"))
     wanted = starts.withColumn("_slots", F.array(*[p.cast("long") for p in asked])).select(
-        *[F.col(g).alias("_group") for g in groups], "_bucket", "_start", "_rows", "_total",
+        *[F.col(g).alias("_group") for g in groups], "_bucket", "_start", "_rows", "_total", "_salts",
         F.posexplode("_slots").alias("_slot", "_position"),
     )
     wanted = wanted.filter((F.col("_position") >= F.col("_start")) & (F.col("_position") < F.col("_start") + F.col("_rows")))
-    wanted = wanted.withColumn("_nth", F.col("_position") - F.col("_start") + 1).drop("_position", "_start", "_rows")
-    keys = df.select(*groups, order.bucket.alias("_b"), order.key.alias("_key"))
+    wanted = wanted.withColumn("_nth", F.col("_position") - F.col("_start")).drop("_position", "_start", "_rows")
+    keys = order.on(df).select(*groups, order.bucket.alias("_b"), order.key.alias("_key"))
     match = F.col("_b") == F.col("_bucket")
     if by:
         match = match & F.col(by).eqNullSafe(F.col("_group"))
-    within = Window.partitionBy(*groups, "_slot").orderBy("_key")
+    counted = keys.join(F.broadcast(wanted) if bounded else wanted, match)
+    counted = counted.groupBy(*groups, "_slot", "_nth", "_total", "_salts", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*groups, "_slot").orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = (
-        keys.join(F.broadcast(wanted) if bounded else wanted, match)
-        .withColumn("_n", F.row_number().over(within))
-        .filter(F.col("_n") == F.col("_nth"))
+        counted.withColumn("_copies", F.col("_nth") - F.sum("_n").over(upto) + F.col("_n"))
+        .filter((F.col("_copies") >= 0) & (F.col("_copies") < F.col("_n")))
     )
-    cuts = [F.max(F.when(F.col("_slot") == i, F.col("_key"))).alias(f"_cut{i}") for i in range(len(asked))]
-    return hits.groupBy(*groups).agg(F.max("_total").alias("_total"), *cuts)
+    cuts = [F.max(F.when(F.col("_slot") == i, F.col(c))).alias(f"{name}{i}") for i in range(len(asked)) for c, name in (("_key", "_cut"), ("_copies", "_copies"))]
+    return hits.groupBy(*groups).agg(F.max("_total").alias("_total"), F.max("_salts").alias("_salts"), *cuts)
+
+
+def _inside_copies(cuts: DataFrame) -> Column:
+    """Whether the row's key is a cut key with copies on both sides."""
+    slots = [c.removeprefix("_copies") for c in cuts.columns if c.startswith("_copies")]
+    inside = F.lit(False)
+    for i in slots:
+        inside = inside | F.coalesce((F.col("_key") == F.col(f"_cut{i}")) & (F.col(f"_copies{i}") > 0), F.lit(False))
+    return inside
 
 
-def _few(df: DataFrame, by: str, subsets: Sequence | None) -> bool:
-    """Whether the subsets are few enough for a broadcast: from the list, else counted up to the bound."""
-    if subsets is not None:
-        return len(subsets) <= BROADCAST_ROWS
-    return df.select(by).distinct().limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+def _numbered(tied: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
+    """Column ``_number``, from 1 among the rows of a key (and subset), in the order of a hash of the row.
+
+    Rows are counted in hash buckets first, so the copies of one key are sorted in many tasks.
+    """
+    group = F.struct(*[F.col(f"`{c}`") for c in ([by] if by else [])], F.col("_key"))
+    tied = tied.withColumn("_same", group).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    tied = tied.withColumn("_part", F.pmod("_tie", F.lit(COPY_BUCKETS)))
+    counts = tied.groupBy(F.col("_same").alias("_of"), F.col("_part").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.withColumn("_first", F.sum("_n").over(upto) - F.col("_n")).drop("_n")
+    within = F.row_number().over(Window.partitionBy("_same", "_part").orderBy("_tie"))
+    placed = tied.join(starts, (F.col("_same") == F.col("_of")) & (F.col("_part") == F.col("_at")))
+    return placed.withColumn("_number", F.col("_first") + within).drop("_same", "_tie", "_part", "_of", "_at", "_first")
 
 
 def _with_cuts(df: DataFrame, order: Order, positions: Positions, by: str | None = None, subsets: Sequence | None = None) -> DataFrame:
-    """Rows with ``_total`` and the cuts attached; payload is not moved unless there are very many subsets."""
+    """Rows with ``_total``, the cuts, ``_key`` and ``_number`` (of a copy whose key is a cut, else null).
+
+    Payload is not moved, unless the subsets are not listed and too many for Spark to broadcast their cuts.
+    """
+    columns = df.columns
+    keyed = df.withColumn("_key", order.key)
     if by is None:
-        cuts = cut_keys(df, order, positions)
+        cuts = cut_keys(df, order, positions).drop("_salts")
         # one row, read once as a scalar
         found = cuts.select(F.struct(*cuts.columns)).scalar()
-        marked = df.withColumn("_found", found)
-        return marked.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_found")[c].alias(c) for c in cuts.columns])
-    few = _few(df, by, subsets)
-    cuts = cut_keys(df, order, positions, by, bounded=few).withColumnRenamed(by, "_group")
-    if few:
-        return df.join(F.broadcast(cuts), F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
-    # a hot subset is spread over all shuffle partitions, each with its own copy of the subset's cuts
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = df.withColumn("_spread", F.pmod(F.xxhash64(order.key), F.lit(salts)).cast("int"))
-    on = F.col(by).eqNullSafe(F.col("_group")) & (F.col("_spread") == F.col("_salt"))
-    return spread.join(salted, on, "left").drop("_group", "_salt", "_spread")
+        marked = keyed.withColumn("_found", found)
+        rows = marked.select(*[F.col(f"`{c}`") for c in columns], "_key", *[F.col("_found")[c].alias(c) for c in cuts.columns])
+        tied = _tied_rows(keyed, cuts, None)
+    elif subsets is not None and len(subsets) <= BROADCAST_ROWS:
+        cuts = cut_keys(df, order, positions, by).drop("_salts").withColumnRenamed(by, "_group")
+        rows = keyed.join(F.broadcast(cuts), F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
+        tied = _tied_rows(keyed, cuts, by)
+    else:
+        # a hot subset is spread over salts; its cuts are there once for each salt that occurs
+        cuts = cut_keys(df, order, positions, by, bounded=False).withColumnRenamed(by, "_group")
+        asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(_salts, b) = 1)"))
+        salted = cuts.withColumn("_salt", asked).drop("_salts")
+        on = F.col(by).eqNullSafe(F.col("_group")) & (F.col("_spread") == F.col("_salt"))
+        rows = keyed.withColumn("_spread", _salt(order)).join(salted, on, "left").drop("_group", "_salt", "_spread")
+        cuts, tied = cuts.drop("_salts"), rows.filter(_inside_copies(cuts))
+    numbered = _numbered(tied, columns, by)
+    main = rows.filter(~_inside_copies(cuts)).withColumn("_number", F.lit(None).cast("long"))
+    return main.unionByName(numbered)
+
+
+def _tied_rows(keyed: DataFrame, cuts: DataFrame, by: str | None) -> DataFrame:
+    """Rows whose key is a cut key with copies on both sides; the bounded table of such cuts decides whether anything is read."""
+    slots = [c.removeprefix("_copies") for c in cuts.columns if c.startswith("_copies")]
+    edges = F.array(*[F.when(F.col(f"_copies{i}") > 0, F.col(f"_cut{i}")) for i in slots])
+    edges = cuts.withColumn("_edge", F.explode(F.array_distinct(F.filter(edges, lambda k: k.isNotNull()))))
+    on = F.col("_key") == F.col("_edge")
+    if by:
+        on = on & F.col(by).eqNullSafe(F.col("_group"))
+    return keyed.join(F.broadcast(edges), on).drop("_edge", "_group")
 
 
 def _before(order: Order, slot: int) -> Column:
     """Whether a row comes before a cut; a cut that does not exist lies after all rows."""
-    return F.coalesce(order.key < F.col(f"_cut{slot}"), F.lit(True))
+    copy = F.coalesce((F.col("_key") == F.col(f"_cut{slot}")) & (F.col("_number") <= F.col(f"_copies{slot}")), F.lit(False))
+    return F.coalesce(F.col("_key") < F.col(f"_cut{slot}"), F.lit(True)) | copy
 
 
 def _only(df: DataFrame, by: str | None, subsets: Sequence | None) -> DataFrame:
@@ -240,14 +302,15 @@ def corpus_chunks(df: DataFrame, chunks: int, order: Order, compat: bool = False
 def with_rank(df: DataFrame, order: Order, before: int | None = None) -> DataFrame:
     """Column ``rank``: 0-based position in an order, optionally only the rows before a position.
 
-    Buckets wholly beyond ``before`` are dropped ahead of the shuffle. The bucket table has at most
-    ``16 ** 4`` rows.
+    Buckets wholly beyond ``before`` are dropped ahead of the shuffle. The bucket table has at most ``16 ** digits`` rows
+    for a seeded order; Spark broadcasts it where it is small.
     """
     starts = _bucket_starts(df, order, None).select("_bucket", "_start")
     if before is not None:
         starts = starts.filter(F.col("_start") < before)
-    placed = df.withColumn("_b", order.bucket).join(F.broadcast(starts), F.col("_b") == F.col("_bucket"))
-    within = Window.partitionBy("_b").orderBy(order.key)
+    placed = order.on(df).withColumn("_b", order.bucket).join(starts, F.col("_b") == F.col("_bucket"))
+    # equal keys follow each other by a hash of the row
+    within = Window.partitionBy("_b").orderBy(order.key, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     ranked = placed.withColumn("rank", F.col("_start") + F.row_number().over(within) - 1)
     if before is not None:
         ranked = ranked.filter(F.col("rank") < before)

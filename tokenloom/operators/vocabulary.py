@@ -43,13 +43,17 @@ def special_tokens(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, t, True) for i, t in enumerate(SPECIAL_TOKENS)], "id int, content string, special boolean")
 
 
-def extend_vocab(base: DataFrame, new: DataFrame) -> DataFrame:
-    """Base vocabulary with its ids, then the tokens only in ``new``, in their order, from the highest id on."""
+def extend_vocab(base: DataFrame, new: DataFrame, vocab_size: int | None = None) -> DataFrame:
+    """Base vocabulary with its ids, then the tokens only in ``new``, in their order, from the highest id on.
+
+    Added ids stay below ``vocab_size``, the size of the whole.
+    """
     added = new.join(base, "token", "left_anti")
     top = base.agg(F.max("id").alias("top")).scalar()
     position = F.row_number().over(Window.orderBy("id"))
     columns = ["id", "token", "kind", "bytes"]
-    return base.select(columns).unionByName(added.withColumn("id", (top + position).cast("int")).select(columns))
+    added = added.withColumn("id", (top + position).cast("int")).select(columns)
+    return base.select(columns).unionByName(added if vocab_size is None else added.filter(F.col("id") < vocab_size))
 
 
 def relabel_merges(merges: DataFrame, old: DataFrame, vocab: DataFrame) -> DataFrame:

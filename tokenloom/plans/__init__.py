@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom import sinks, sources
 from tokenloom.constants import (
-    ACCUMULATION, BATCH_ROWS, CORPUS_CHUNKS, CORPUS_ROWS, HEAD_PERCENT, MAX_SEQ_LEN, MAX_STEPS, MIN_FREQUENCY, SEED,
+    ACCUMULATION, BATCH_ROWS, CORPUS_CHUNKS, CORPUS_ROWS, HEAD_PERCENT, MAX_SEQ_LEN, MIN_FREQUENCY, SEED,
     TOKENIZER_FRACTION, VALIDATION_FRACTION, VOCAB_SIZE,
 )
 from tokenloom.functions.codec import Encoder
@@ -84,15 +84,16 @@ def train_tokenizer(
 ) -> list[merges.Merge]:
     """Write the chunk files, learn merges from them and save vocabulary, merges and settings below ``out``.
 
-    With a ``base`` vocabulary (rows ``token, id``) its ids are kept and the learned tokens that it lacks come after it.
+    With a ``base`` vocabulary (rows ``token, id``) its ids are kept and the learned tokens that it lacks come after it,
+    up to ``vocab_size`` tokens in all. Only chunks of this call are read.
     """
     spark = corpus.sparkSession
     sinks.write_chunks(corpus, f"{out}/corpus", chunks)
-    words = wordstats.word_counts(sources.read_lines(spark, f"{out}/corpus"))
+    words = wordstats.word_counts(sources.read_lines(spark, f"{out}/corpus").filter(F.col("chunk") < chunks))
     learned = merges.learn_merges(wordstats.symbol_words(words), vocab_size, min_frequency)
     vocab, merge_list = vocabulary.vocab_table(spark, learned), merges.merges_table(spark, learned)
     if base is not None:
-        joint = vocabulary.extend_vocab(vocabulary.vocab_from_map(base), vocab)
+        joint = vocabulary.extend_vocab(vocabulary.vocab_from_map(base), vocab, vocab_size)
         vocab, merge_list = joint, vocabulary.relabel_merges(merge_list, vocab, joint)
     sinks.write_table(vocab, f"{out}/vocab", "overwrite")
     sinks.write_table(merge_list, f"{out}/merges", "overwrite")
@@ -109,13 +110,14 @@ def load_encoder(spark: SparkSession, path: str) -> Encoder:
 
 def build_training_rows(
     rows: DataFrame, kind: str, encoder: Encoder, out: str, key: str | Sequence[str], length: int = MAX_SEQ_LEN,
-    seed: int = SEED, batch_rows: int = BATCH_ROWS, accumulation: int = ACCUMULATION, max_steps: int | None = MAX_STEPS,
+    seed: int = SEED, batch_rows: int = BATCH_ROWS, accumulation: int = ACCUMULATION, max_steps: int | None = None,
     compat: bool = False, label_pad: int | None = None,
-) -> None:
+) -> int:
     """Usable rows as token rows with micro batch and step below ``out/rows``, unusable ones below ``out/rejects``.
 
-    Batches are assigned before encoding, so rows after ``max_steps`` are never encoded and the exchange carries text
-    instead of padded sequences.
+    All usable rows are written. Only a caller who names ``max_steps`` (the published run has ``MAX_STEPS``) gets the rows
+    of so many steps; the result is the number of usable rows left out. Batches are assigned before encoding, so those
+    are never encoded and the exchange carries text instead of padded sequences.
     """
     keep = (*([key] if isinstance(key, str) else key), "rank", "micro_batch", "step")
     if kind == "pretrain":
@@ -132,3 +134,4 @@ def build_training_rows(
     else:
         made = training_rows.instruct_rows(placed, encoder, length, compat, label_pad, keep)
     sinks.write_table(sinks.as_int64(made), f"{out}/rows")
+    return 0 if max_steps is None else max(good.count() - max_steps * batch_rows * accumulation, 0)

@@ -14,27 +14,52 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
-def existing_chunks(spark: SparkSession, path: str, chunks: int) -> list[int]:
-    """Chunk numbers that already have a directory below ``path``."""
-    jvm = spark._jvm
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _marker(path: str, chunk: int, chunks: int, tag: str) -> str:
+    # readers skip names that begin with an underscore
+    return f"{path.rstrip('/')}/_complete/{chunk}-of-{chunks}-{tag}"
+
+
+def existing_chunks(spark: SparkSession, path: str, chunks: int, tag: str = "") -> list[int]:
+    """Chunk numbers that an earlier call with the same number of chunks and ``tag`` wrote completely."""
     found = []
     for i in range(chunks):
-        directory = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/chunk={i}")
-        if directory.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(directory):
+        marker, files = _file_system(spark, _marker(path, i, chunks, tag))
+        if files.exists(marker):
             found.append(i)
     return found
 
 
-def write_chunks(df: DataFrame, path: str, chunks: int, text: str = "text", chunk: str = "chunk") -> list[int]:
-    """Text files per chunk, one document and a line break each; chunks already there stay as they are.
+def write_chunks(
+    df: DataFrame, path: str, chunks: int, text: str = "text", chunk: str = "chunk", tag: str = ""
+) -> list[int]:
+    """Text files per chunk, one document and a line break each; chunks completed earlier stay as they are.
 
-    One pass writes all missing chunks. Returns their numbers.
+    One pass writes all missing chunks. A marker per chunk is set once the job has committed; a folder without one, left by
+    a call that failed or that had another number of chunks or ``tag`` (such as the seed of the order), is replaced. Returns the
+    numbers written.
     """
-    present = existing_chunks(df.sparkSession, path, chunks)
+    spark = df.sparkSession
+    present = existing_chunks(spark, path, chunks, tag)
     missing = [i for i in range(chunks) if i not in present]
+    if not present:
+        # markers of other runs do not hold for what follows
+        folder, files = _file_system(spark, f"{path.rstrip('/')}/_complete")
+        files.delete(folder, True)
+    for i in missing:
+        folder, files = _file_system(spark, f"{path.rstrip('/')}/chunk={i}")
+        files.delete(folder, True)
     if missing:
         rows = df.filter(F.col(chunk).isin(missing)).select(F.col(chunk).alias("chunk"), F.col(text).alias("value"))
         rows.write.mode("append").partitionBy("chunk").option("lineSep", "\n").text(path)
+    for i in missing:
+        marker, files = _file_system(spark, _marker(path, i, chunks, tag))
+        files.create(marker, True).close()
     return missing
 
 
@@ -119,6 +144,16 @@ def write_tokenizer_json(merges: DataFrame, vocab: DataFrame, path: str, mode: s
     vocab.sparkSession.range(1).select(whole.alias("value")).coalesce(1).write.mode(mode).text(path)
 
 
+_TOKEN = "struct<content:string,lstrip:boolean,normalized:boolean,rstrip:boolean,single_word:boolean,special:boolean>"
+SETTINGS_SCHEMA = (
+    "add_bos_token boolean, add_eos_token boolean, add_prefix_space boolean, "
+    f"added_tokens_decoder map<string,{_TOKEN}>, additional_special_tokens array<string>, bos_token string, "
+    "clean_up_tokenization_spaces boolean, eos_token string, legacy boolean, model_max_length decimal(38,0), "
+    "pad_token string, sp_model_kwargs map<string,string>, spaces_between_special_tokens boolean, "
+    "tokenizer_class string, unk_token string, use_default_system_prompt boolean, chat_template string"
+)
+
+
 def settings_table(spark: SparkSession) -> DataFrame:
     """One row with the tokenizer settings."""
     # Fixed values of the settings file.
@@ -143,15 +178,7 @@ def settings_table(spark: SparkSession) -> DataFrame:
         "use_default_system_prompt": False,
         "chat_template": CHAT_TEMPLATE,
     }
-    token = "struct<content:string,lstrip:boolean,normalized:boolean,rstrip:boolean,single_word:boolean,special:boolean>"
-    schema = (
-        "add_bos_token boolean, add_eos_token boolean, add_prefix_space boolean, "
-        f"added_tokens_decoder map<string,{token}>, additional_special_tokens array<string>, bos_token string, "
-        "clean_up_tokenization_spaces boolean, eos_token string, legacy boolean, model_max_length decimal(38,0), "
-        "pad_token string, sp_model_kwargs map<string,string>, spaces_between_special_tokens boolean, "
-        "tokenizer_class string, unk_token string, use_default_system_prompt boolean, chat_template string"
-    )
-    return spark.createDataFrame([tuple(row.values())], schema)
+    return spark.createDataFrame([tuple(row.values())], SETTINGS_SCHEMA)
 
 
 def write_settings(spark: SparkSession, path: str, mode: str = "errorifexists") -> None:

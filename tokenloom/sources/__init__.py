@@ -31,8 +31,8 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
 
 
 def read_config(spark: SparkSession, path: str, schema: str, config: str | None = None) -> DataFrame:
-    """A data set, or one named configuration stored below it, as JSON lines."""
-    return spark.read.schema(schema).json(f"{path.rstrip('/')}/{config}" if config else path)
+    """A data set, or one named configuration stored below it, as JSON lines; a broken line is an error."""
+    return read_jsonl(spark, f"{path.rstrip('/')}/{config}" if config else path, schema)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False) -> DataFrame:
@@ -51,8 +51,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, keep_corrupt: bool =
     return reader.json(path)
 
 
-def stream_jsonl(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("lineSep", "\n")
+def stream_jsonl(
+    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, keep_corrupt: bool = False
+) -> DataFrame:
+    """JSON lines as a stream; a broken line is an error, or text in its own column with ``keep_corrupt``."""
+    declared = T.StructType.fromDDL(schema)
+    reader = spark.readStream.schema(declared.add(CORRUPT, "string") if keep_corrupt else declared).option("lineSep", "\n")
+    if keep_corrupt:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        reader = reader.option("mode", "FAILFAST")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)

@@ -16,7 +16,7 @@ from tokenloom.functions.codec import Encoder
 from tokenloom.operators.columns import instruct_reject, pretrain_reject, split_rejects
 from tokenloom.operators.training_rows import instruct_rows, pretrain_rows
 from tokenloom.sinks import as_int64
-from tokenloom.sources import INSTRUCT_SCHEMA, PRETRAIN_SCHEMA, stream_jsonl
+from tokenloom.sources import CORRUPT, INSTRUCT_SCHEMA, PRETRAIN_SCHEMA, stream_jsonl
 
 
 def run_available(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -37,12 +37,12 @@ def _stream(
     spark: SparkSession, source: str, schema: str, keep: str, files_per_trigger: int | None, reason: Column,
     transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, rejects: str | None,
 ) -> StreamingQuery:
-    """Usable rows to ``out``; the others, which no training row can be made of, to ``rejects`` if it is named."""
-    rows = stream_jsonl(spark, source, f"{keep}, {schema}" if keep else schema, files_per_trigger)
-    good, bad = split_rejects(rows, reason)
+    """Usable rows to ``out``; broken lines and rows that no training row can be made of to ``rejects``, if it is named."""
+    rows = stream_jsonl(spark, source, f"{keep}, {schema}" if keep else schema, files_per_trigger, keep_corrupt=True)
+    good, bad = split_rejects(rows, F.when(F.col(CORRUPT).isNotNull(), "broken_line").otherwise(reason))
     if rejects:
         run_available(bad, rejects, f"{checkpoint}-rejects")
-    return run_available(as_int64(transform(good if rejects else rows)), out, checkpoint)
+    return run_available(as_int64(transform(good.drop(CORRUPT))), out, checkpoint)
 
 
 def stream_pretrain(
