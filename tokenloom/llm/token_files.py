@@ -18,8 +18,10 @@ order; an empty table gives empty files.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,9 @@ from tokenloom.session import ship_package
 LIMIT = 20
 BLOCK = 1 << 16
 STEP = 1024
-REMEMBERED = 400_000
+TOGETHER = 32
+REMEMBERED = 1_000_000
+SLICE = 8 << 20
 _SPACE = r"[\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000} ] "
 
 
@@ -51,31 +55,38 @@ def tokenizer(document: str) -> Tokenizer:
 
 
 class PieceMemory:
-    """Ids of pieces already met; starts afresh when it is full."""
+    """Ids of pieces already met, as flat arrays; starts afresh when it is full."""
 
     def __init__(self) -> None:
         self.codec: Tokenizer | None = None
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.pieces = pa.array([], pa.large_string())
         self.ids = np.zeros(0, dtype="uint32")
         self.starts = np.zeros(0, dtype="int64")
         self.lengths = np.zeros(0, dtype="int64")
 
-    def places(self, codec: Tokenizer, wanted: list[str]) -> np.ndarray:
-        if self.codec is not codec or len(self.place) > REMEMBERED:
+    def places(self, codec: Tokenizer, wanted: pa.Array) -> np.ndarray:
+        if self.codec is not codec or len(self.pieces) > REMEMBERED:
             self.codec = codec
             self.clear()
-        new = [w for w in wanted if w not in self.place]
-        if new:
-            rows = [np.array(e.ids, dtype="uint32") for e in codec.encode_batch_fast(new, add_special_tokens=False)]
-            lengths = np.array([len(r) for r in rows], dtype="int64")
+        found = pc.index_in(wanted, value_set=self.pieces)
+        new = found.is_null()
+        if found.null_count:
+            unknown = wanted.filter(new)
+            rows = [e.ids for e in codec.encode_batch_fast(unknown.to_pylist(), add_special_tokens=False)]
+            lengths = np.fromiter(map(len, rows), dtype="int64", count=len(rows))
             ends = len(self.ids) + np.cumsum(lengths)
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.ids = np.concatenate([self.ids, *rows])
+            flat = np.fromiter(chain.from_iterable(rows), dtype="uint32", count=int(lengths.sum()))
+            first = len(self.pieces)
+            self.pieces = pa.concat_arrays([self.pieces, unknown])
+            self.ids = np.concatenate([self.ids, flat])
             self.starts, self.lengths = np.r_[self.starts, ends - lengths], np.r_[self.lengths, lengths]
-        return np.array([self.place[w] for w in wanted], dtype="int64")
+            place = found.fill_null(-1).to_numpy(zero_copy_only=False).astype("int64")
+            place[place < 0] = np.arange(first, first + len(rows))
+            return place
+        return found.to_numpy(zero_copy_only=False).astype("int64")
 
 
 _memory = PieceMemory()
@@ -94,11 +105,20 @@ def encode_slice(codec: Tokenizer, texts: pa.Array, end: int | None) -> list[np.
     lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
     counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype("int64")
     coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype("int64") * 2 + 1
-    codes[(np.cumsum(counts) - counts)[counts > 0]] -= 1
-    distinct, at = np.unique(codes, return_inverse=True)
-    place = _memory.places(codec, [(" " if c & 1 else "") + words[c >> 1] for c in distinct.tolist()])[at]
+    words = coded.dictionary
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype("int64")
+    # the first piece of a text has no space before it
+    first = np.zeros(len(codes), dtype=bool)
+    first[(np.cumsum(counts) - counts)[counts > 0]] = True
+    codes = np.where(first, codes, codes + len(words))
+    occurs = np.zeros(2 * len(words), dtype=bool)
+    occurs[codes] = True
+    bare, spaced = np.flatnonzero(occurs[: len(words)]), np.flatnonzero(occurs[len(words) :])
+    joined = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words.take(pa.array(spaced)), pa.scalar(" ", pa.large_string()))
+    found = _memory.places(codec, pa.concat_arrays([words.take(pa.array(bare)), joined]))
+    of = np.zeros(2 * len(words), dtype="int64")
+    of[np.flatnonzero(occurs)] = found
+    place = of[codes]
     lengths = _memory.lengths[place]
     flat = gathered(_memory.ids, _memory.starts[place], lengths)
     sizes = np.bincount(np.repeat(np.arange(len(counts)), counts), weights=lengths, minlength=len(counts)).astype("int64")
@@ -121,7 +141,7 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, id: str = "doc_id", t
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
         codec = tokenizer(document.value)
-        return pa.array([row.astype("<u4").tobytes() for part in text_slices(texts) for row in encode_slice(codec, part, end)], pa.binary())
+        return pa.array([row.astype("<u4").tobytes() for part in text_slices(texts, SLICE) for row in encode_slice(codec, part, end)], pa.binary())
 
     return docs.select(F.col(f"`{id}`").alias("id"), encoded(text_or_empty(text)).alias("ids"))
 
@@ -231,6 +251,29 @@ def decode_stretches(code_tables: tuple[np.ndarray, np.ndarray], top: int, data:
     return out
 
 
+def decode_blocks(batch: pa.RecordBatch, tables: tuple[np.ndarray, np.ndarray], top: int) -> pa.RecordBatch:
+    """Rows ``part, id, start, ids`` of some blocks, whose stretches are decoded side by side."""
+    counts = batch["counts"].flatten().to_numpy(zero_copy_only=False).astype("int64")
+    docs = batch["counts"].value_lengths().to_numpy(zero_copy_only=False)
+    steps = (counts + STEP - 1) // STEP
+    last = np.cumsum(steps) - 1
+    sizes = np.full(int(steps.sum()), STEP, dtype="int64")
+    sizes[last[steps > 0]] = (counts - (steps - 1) * STEP)[steps > 0]
+    data = [v.as_py() for v in batch["bits"]]
+    before = np.cumsum([0, *map(len, data)])[:-1] * 8
+    points = batch["checkpoints"].flatten().to_numpy(zero_copy_only=False).astype("int64")
+    points = points + np.repeat(before, batch["checkpoints"].value_lengths().to_numpy(zero_copy_only=False))
+    flat = decode_stretches(tables, top, b"".join(data), points, sizes).astype("<u4")
+    ends = np.cumsum(counts)
+    ids = [flat[b - n : b].tobytes() for b, n in zip(ends, counts)]
+    # ids of the block before each document
+    opening = np.repeat((np.cumsum(docs) - docs), docs)
+    start = np.repeat(batch["start"].to_numpy(zero_copy_only=False), docs) + (ends - counts) - (ends - counts)[opening]
+    part = np.repeat(batch["part"].to_numpy(zero_copy_only=False), docs)
+    columns = [pa.array(part, pa.int32()), batch["docs"].flatten(), pa.array(start, pa.int64()), pa.array(ids, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "id", "start", "ids"])
+
+
 def _block(rows: list[tuple], part: int, number: int, start: int, schema: pa.Schema) -> pa.RecordBatch:
     ids, counts, bits, marks = zip(*rows)
     offsets = np.cumsum([0, *map(len, bits)])
@@ -251,18 +294,24 @@ def write_token_files(encoded: DataFrame, path: str, limit: int = LIMIT, block:
     spark.createDataFrame(table.to_pandas(), "token long, length long").coalesce(1).write.parquet(f"{path}/codes")
     shared = spark.sparkContext.broadcast((tokens, lengths))
 
-    @F.arrow_udf("n int, bits binary, marks array<bigint>")
-    def coded(rows: pa.Array) -> pa.Array:
+    kind = encoded.schema["id"].dataType
+    placed = encoded.select("id").repartitionByRange(parts, "id").groupBy(F.spark_partition_id().alias("part"))
+    # a row per part: the first id of each but the first
+    lows = sorted(r.low for r in placed.agg(F.min("id").alias("low")).collect() if r.low is not None)[1:]
+    bounds = spark.sparkContext.broadcast(lows)
+
+    @F.arrow_udf("n int, bits binary, marks array<bigint>, part int")
+    def coded(rows: pa.Array, ids: pa.Array) -> pa.Array:
         code = _code(*(a.tobytes() for a in shared.value))
         made, counts = [], []
         for start in range(0, len(rows), 512):
-            ids = [np.frombuffer(v.as_py(), dtype="<u4") for v in rows[start : start + 512]]
-            made += code.encode(ids)
-            counts += map(len, ids)
+            flat = [np.frombuffer(v.as_py(), dtype="<u4") for v in rows[start : start + 512]]
+            made += code.encode(flat)
+            counts += map(len, flat)
+        part = [0 if i is None else bisect_right(bounds.value, i) for i in ids.to_pylist()]
         columns = [pa.array(counts, pa.int32()), pa.array([b for b, _ in made], pa.binary()), pa.array([m for _, m in made], pa.list_(pa.int64()))]
-        return pa.StructArray.from_arrays(columns, ["n", "bits", "marks"])
+        return pa.StructArray.from_arrays([*columns, pa.array(part, pa.int32())], ["n", "bits", "marks", "part"])
 
-    kind = encoded.schema["id"].dataType
     before = T.StructType.fromDDL("part int, block int, start long").add("docs", T.ArrayType(kind))
     after = T.StructType.fromDDL("counts array<int>, offsets array<bigint>, checkpoints array<bigint>, bits binary")
     schema = T.StructType(before.fields + after.fields)
@@ -280,8 +329,9 @@ def write_token_files(encoded: DataFrame, path: str, limit: int = LIMIT, block:
         if rows:
             yield _block(rows, part, number, start, arrow)
 
-    ready = encoded.select("id", coded("ids").alias("c")).select("id", "c.*")
-    ready.repartitionByRange(parts, "id").sortWithinPartitions("id").mapInArrow(blocks, schema).write.option("compression", "none").parquet(f"{path}/blocks")
+    ready = encoded.select("id", coded("ids", "id").alias("c")).select("id", "c.*")
+    ready = ready.repartitionById(len(lows) + 1, F.col("part")).sortWithinPartitions("id")
+    ready.select("id", "n", "bits", "marks").mapInArrow(blocks, schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 @lru_cache(maxsize=2)
@@ -307,22 +357,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = [a.tobytes() for a in shared.value]
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch[name][i] for name in batch.schema.names}
-                counts = row["counts"].values.to_numpy().astype("int64")
-                steps = (counts + STEP - 1) // STEP
-                last = np.cumsum(steps) - 1
-                sizes = np.full(int(steps.sum()), STEP, dtype="int64")
-                sizes[last[steps > 0]] = (counts - (steps - 1) * STEP)[steps > 0]
-                points = row["checkpoints"].values.to_numpy().astype("int64")
-                flat = decode_stretches(_tables(*key), _code(*key).top, row["bits"].as_py(), points, sizes).astype("<u4")
-                ends = np.cumsum(counts)
-                data = [flat[b - n : b].tobytes() for b, n in zip(ends, counts)]
-                start = row["start"].as_py() + ends - counts
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"].as_py()] * len(data), pa.int32()), row["docs"].values, pa.array(start, pa.int64()), pa.array(data, pa.binary())],
-                    ["part", "id", "start", "ids"],
-                )
+            for first in range(0, batch.num_rows, TOGETHER):
+                yield decode_blocks(batch.slice(first, TOGETHER), _tables(*key), _code(*key).top)
 
     sizes = blocks.groupBy("part").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
