@@ -19,6 +19,8 @@ from tokenloom.session import local_session, shared_path
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 VOCAB_SIZE = 32000
+# Vocabulary learned with bounds a hundred times smaller, as if words were that much more diverse.
+SMALL_VOCAB = 1000
 
 
 def run(frame) -> None:
@@ -50,7 +52,12 @@ def main() -> None:
     timed("shuffle_rows", lambda: run(ranking.shuffle_rows(docs, "doc_id")))
     timed("write_chunks", lambda: sinks.write_chunks(plans.tokenizer_corpus(docs, "doc_id"), f"{out}/corpus", 6))
     words = wordstats.word_counts(sources.read_lines(spark, f"{out}/corpus"))
-    learned = timed("learn_merges", lambda: merges.learn_merges(wordstats.symbol_words(words), VOCAB_SIZE, 5))
+    symbols = wordstats.symbol_words(words)
+    rounds: dict[str, list[int]] = {"learn_merges": [], "learn_merges_small_bounds": []}
+    learned = timed("learn_merges", lambda: merges.learn_merges(symbols, VOCAB_SIZE, 5, rounds=rounds["learn_merges"]))
+    bounds = [max(n // 100, 2) for n in (merges.FIRST_PAIRS, merges.MOST_RUNS, merges.MOST_SYMBOLS)]
+    small = rounds["learn_merges_small_bounds"]
+    timed("learn_merges_small_bounds", lambda: merges.learn_merges(symbols, SMALL_VOCAB, 5, *bounds, rounds=small))
     encoder = Encoder(spark, learned)
     tokens = vocabulary.token_texts(learned)
     heavy = spread_documents(spark, SF_DIR)
@@ -80,6 +87,8 @@ def main() -> None:
                 "queries": times,
                 "per_second": {k: round(v, 1) for k, v in per_second.items()},
                 "merges": len(learned),
+                "rounds": {name: len(r) for name, r in rounds.items()},
+                "seconds_per_round": {name: round(times[name] / max(len(r), 1), 2) for name, r in rounds.items()},
                 "vocab_size": FIRST_MERGE_ID + len(learned),
                 "turns": table(spark, SF_DIR, "conversations").count(),
                 "sf": float(SF_DIR.rstrip("/").rsplit("sf", 1)[-1]),

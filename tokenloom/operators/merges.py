@@ -32,7 +32,7 @@ from tokenloom.functions import bytelevel
 from tokenloom.functions.bytelevel import symbol, symbol_id
 from tokenloom.functions.codec import merge_word
 from tokenloom.operators.wordstats import pair_strings
-from tokenloom.session import shared_dir, ship_package
+from tokenloom.session import shared_path, ship_package
 
 MERGES_SCHEMA = "rank int, left int, right int, new_id int, count long"
 
@@ -214,22 +214,26 @@ def learn_merges(
     first_pairs: int = FIRST_PAIRS,
     most_runs: int = MOST_RUNS,
     most_symbols: int = MOST_SYMBOLS,
+    rounds: list[int] | None = None,
 ) -> list[Merge]:
     """Merges in the order learned, at most ``vocab_size`` of them.
 
     ``words`` holds symbol strings ``s`` with frequency ``n``. The word table is written to the shared folder at the
-    start and every few rounds, so a lost executor costs a few narrow steps at most.
+    start and every few rounds, so a lost executor costs a few narrow steps at most; each copy is removed when the next
+    is complete. ``rounds`` collects the number of merges of each round.
     """
-    shared_dir(words.sparkSession)
-    ship_package(words.sparkSession)
+    spark = words.sparkSession
+    ship_package(spark)
+    rounds = [] if rounds is None else rounds
+    kept: list[str] = []
     tokens = Tokens(vocab_size)
     learned: list[Merge] = []
-    words = words.filter(F.length("s") > 1).checkpoint()
+    words = _saved(words.filter(F.length("s") > 1), kept)
     # tasks of even and limited work in every round, whatever the shuffle settings made of the word counts
-    tasks = max(words.sparkSession.sparkContext.defaultParallelism, words.count() // WORDS_PER_TASK)
+    tasks = max(spark.sparkContext.defaultParallelism, words.count() // WORDS_PER_TASK)
     words = words.repartition(tasks, "s").persist(StorageLevel.MEMORY_AND_DISK)
     cached = [words]
-    wanted, rounds = max(1, first_pairs), 0
+    wanted = max(1, first_pairs)
     try:
         while not tokens.full():
             top = _top_pairs(words, wanted + 1)
@@ -240,19 +244,37 @@ def learn_merges(
             found = _round(words, top, wanted, tokens, min_frequency, most_runs, most_symbols)
             wanted = found.next_pairs
             learned += found.merges
-            rounds += 1
+            rounds.append(len(found.merges))
             words = apply_merges(words, found.merges)
-            if rounds % CHECKPOINT_EVERY == 0:
-                words = words.checkpoint()
-            else:
-                words = words.persist(StorageLevel.MEMORY_AND_DISK)
-                cached.append(words)
+            if len(rounds) % CHECKPOINT_EVERY == 0:
+                words = _saved(words, kept)
+                while cached:
+                    cached.pop().unpersist()
+                _remove(spark, kept, 1)
+            words = words.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(words)
     finally:
         for frame in cached:
             frame.unpersist()
+        _remove(spark, kept, 0)
     return learned
 
 
+def _saved(words: DataFrame, kept: list[str]) -> DataFrame:
+    """The table, written to the shared folder and read back."""
+    path = shared_path(words.sparkSession, "merge-words")
+    words.write.parquet(path)
+    kept.append(path)
+    return words.sparkSession.read.schema(words.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, kept: list[str], latest: int) -> None:
+    """Remove all but the ``latest`` written copies."""
+    while len(kept) > latest:
+        place = spark._jvm.org.apache.hadoop.fs.Path(kept.pop(0))
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 class _Round(NamedTuple):
     merges: list[Merge]
     next_pairs: int
