@@ -8,11 +8,12 @@ one is later than the text's last register. Two signatures agree in a register w
 link if the Jaccard similarity of the distinct shingles is ``threshold`` or more.
 
 Equal texts are one node from the start. In a bucket (texts that share a band) nobody is paired with everybody: the
-first nodes in hash order are leaders, and the others are compared with them. Those without a link go on to the next round,
-with four times as many leaders, until none is left. What this passes over is a pair of one node that has a link to a leader and one
-that has none; Jaccard distance is a metric, so such a pair can only be a link if the second is within twice the allowed distance
-of that leader, and if the two are not in one class already the pair is compared in the end. So no candidate link between classes is lost,
-and no bucket has a cap.
+first nodes in hash order are leaders, and the others are compared with them, unless links already put both in one class.
+Those without a link to a leader go on to the next round, with four times as many leaders, as long as they are of several
+classes. A first pass over a few bands finds most classes. What all this passes over is a pair of one node that has a link to a
+leader and one that has none; Jaccard distance is a metric, so such a pair can only be a link if the second is within twice the
+allowed distance of that leader, and if the two are not in one class already the pair is compared in the end. So no
+candidate link between classes is lost, and no bucket has a cap.
 
 Defined results: null texts are empty; a text without words is near nothing but its copies; ``class_id`` is the smallest id of a class,
 null if all are null; of rows that repeat a class's smallest id one is kept; an empty table gives an empty result; other
@@ -35,6 +36,7 @@ from tokenloom.session import ship_package
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
+FIRST_BANDS = 6
 SALTS = 64
 SLICE_BYTES = 4 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -146,7 +148,7 @@ def _salt(column: str) -> Column:
 
 
 def _members(buckets: DataFrame) -> DataFrame:
-    """``key, node, place``: members of buckets with two nodes or more. Sizes go to the members by (key, salt)."""
+    """Members ``key, salt, node, band`` of buckets with two nodes or more. Sizes go to the members by (key, salt)."""
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"))
     asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
     return buckets.join(sizes.filter("n > 1").withColumn("salt", asked).drop("salts", "n"), ["key", "salt"])
@@ -210,7 +212,7 @@ def near_classes(
 ) -> DataFrame:
     """``id, node, class_id, class_size, kept``: one row per input row."""
     signed = materialise(signatures(docs, id, text, bands, rows, words), "signatures")
-    buckets = signed.select("node", F.explode("bands").alias("key")).distinct().withColumn("salt", _salt("node"))
+    buckets = signed.select("node", F.posexplode("bands").alias("band", "key")).distinct().withColumn("salt", _salt("node"))
     members = materialise(_members(buckets), "buckets")
     equal = materialise(signed.groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "texts")
     classes = components(_links(docs, id, text, members, equal.select("node", "low"), threshold, words))
@@ -256,32 +258,61 @@ def _links(
     sets = materialise(rows.select("node", sets_of(F.col("text")).alias("shingles")), "shingle-sets")
     allowed = 1 - threshold + 1e-12
     compared: DataFrame | None = None
-    left, leaders = members, 1
+    classes: DataFrame | None = None
+    # the first pass looks at a few bands, the others then pass over what is in one class already
+    left, leaders, first = members.filter(F.col("band") < FIRST_BANDS).drop("band"), 1, True
     while True:
         pairs = materialise(_led(left, leaders).withColumnsRenamed({"node": "a", "leader": "b"}), "pairs")
-        if pairs.isEmpty():
+        if pairs.isEmpty() and not first:
             break
-        new = pairs.select("a", "b").distinct()
+        new = _of_two_classes(pairs.select("a", "b").distinct(), classes)
         if compared is not None:
             new = new.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         done = materialise(verified(new, sets), "compared")
         compared = done if compared is None else compared.unionByName(done)
-        # a member without a link to any leader of its bucket goes on, and so do not the leaders themselves
-        tried = pairs.join(compared, ["a", "b"]).groupBy("key", "salt", "a").agg(F.min("distance").alias("nearest"), F.max("b").alias("last"))
-        open_ = tried.filter(F.col("nearest") > allowed).select("key", "salt", F.col("a").alias("node"))
-        heads = pairs.select("key", F.col("b").alias("node")).distinct()
-        left = materialise(open_.join(heads, ["key", "node"], "left_anti").select("key", "salt", "node"), "open")
+        classes = components(compared.filter(F.col("distance") <= allowed))
+        if first:
+            left, first = members.drop("band"), False
+            continue
+        # leaders and members with a link to one are done; the others go on where they are of several classes
+        linked = pairs.join(compared.filter(F.col("distance") <= allowed), ["a", "b"]).select("key", F.col("a").alias("node"))
+        heads = pairs.select("key", F.col("b").alias("node"))
+        open_ = left.join(linked.union(heads).distinct(), ["key", "node"], "left_anti")
+        left = materialise(_mixed_buckets(open_, classes), "open")
         leaders *= 4
-    if compared is None:
-        return members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     links = compared.filter(F.col("distance") <= allowed)
-    missed = _passed_over(compared, components(links), allowed)
-    missed = materialise(missed, "passed-over")
+    missed = materialise(_passed_over(compared, classes, allowed), "passed-over")
     if not missed.isEmpty():
         links = links.unionByName(materialise(verified(missed, sets), "compared").filter(F.col("distance") <= allowed))
     return links.select("a", "b")
 
 
+def _classed(rows: DataFrame, column: str, classes: DataFrame, out: str) -> DataFrame:
+    """The class of a node, itself if it has no link. A node of many rows is looked up once per salt."""
+    salted = rows.withColumn("at", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    asked = salted.select(column, "at").distinct()
+    found = asked.join(classes.select(F.col("node").alias(column), F.col("class").alias(out)), column, "left")
+    return salted.join(found, [column, "at"]).drop("at").withColumn(out, F.coalesce(out, column))
+
+
+def _of_two_classes(pairs: DataFrame, classes: DataFrame | None) -> DataFrame:
+    if classes is None:
+        return pairs
+    both = _classed(_classed(pairs, "a", classes, "class_a"), "b", classes, "class_b")
+    return both.filter("class_a <> class_b").select("a", "b")
+
+
+def _mixed_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes."""
+    own = _classed(members, "node", classes, "class").withColumn("salt", _salt("node"))
+    kinds = own.groupBy("key").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts")
+    )
+    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
+    mixed_keys = kinds.filter("low <> high").withColumn("salt", asked).select("key", "salt")
+    return own.join(mixed_keys, ["key", "salt"]).select("key", "salt", "node")
+
+
 def _passed_over(compared: DataFrame, classes: DataFrame, allowed: float) -> DataFrame:
     """Pairs ``a, b`` of two classes that a common leader does not rule out."""
     classed = compared.filter(F.col("distance") <= 2 * allowed)

@@ -36,6 +36,7 @@ TOXIC_BYTES, ORDINARY_BYTES = 16384, 112640
 WORDS = 100_000
 LEAST_EVIDENCE = 12.0
 LONG = 48
+CELL_PRIOR = 1.0
 REPEAT = 3
 REMEMBERED = 300_000
 _PARAMETERS = dict(
@@ -150,13 +151,14 @@ def features(high: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.stack([np.ones_like(high), high, np.log1p(np.maximum(total - high, 0)), np.maximum(high - 4, 0)], axis=1)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weighted logistic regression by Newton steps."""
-    w = np.zeros(x.shape[1])
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3) -> np.ndarray:
+    """Weighted logistic regression by Newton steps; a few rows leave the slopes small, so that scores stay near the share."""
+    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    penalty[0] = 1e-3
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (y - p)) - ridge * w
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        gradient = x.T @ (weight * (y - p)) - penalty * w
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w = w + step
         if np.abs(step).max() < 1e-8:
@@ -231,7 +233,9 @@ def _calibrated(spark: SparkSession, model: ToxicityModel, rows: DataFrame, coun
     tallies = tallies.groupBy("cell").agg(*[F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).alias(f"n{v}") for v in (0, 1)])
     found = tallies.collect()  # one row per cell
     all0, all1 = max(sum(r.n0 for r in found), 1), max(sum(r.n1 for r in found), 1)
-    model.ratios = {r.cell: float(np.log((r.n1 + 0.5 * all1 / all0) / all1 / ((r.n0 + 0.5) / all0))) for r in found if r.n0 + r.n1}
+    # a cell that was seen a few times stays near the ratio 1
+    prior0, prior1 = CELL_PRIOR * all0 / (all0 + all1), CELL_PRIOR * all1 / (all0 + all1)
+    model.ratios = {r.cell: float(np.log((r.n1 + prior1) / all1 / ((r.n0 + prior0) / all0))) for r in found if r.n0 + r.n1}
     evidence = rows.select("label", toxic_evidence(spark, model)(F.col("text")).alias("e")).select("label", "e.high", "e.total").toPandas()
     y = evidence["label"].to_numpy(float)
     weight = np.where(y == 1, counts[1] / max((y == 1).sum(), 1), counts[0] / max((y == 0).sum(), 1))
