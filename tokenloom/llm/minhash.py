@@ -9,8 +9,9 @@ link if the Jaccard similarity of the distinct shingles is ``threshold`` or more
 
 Equal texts are one node from the start. In a bucket (texts that share a band) nobody is paired with everybody: the
 first nodes in hash order are leaders, and the others are compared with them, unless links already put both in one class.
-Those without a link to a leader go on to the next round, with four times as many leaders, as long as they are of several
-classes. A first pass over a few bands finds most classes. What all this passes over is a pair of one node that has a link to a
+A first pass over a few bands finds most classes. Nodes that share a band with another class, but have no link to its leader, go
+on in buckets by their rarest shingles (prefix filter: two texts as similar as that agree in one of them), with four times
+as many leaders in each round, until those left in a bucket are of one class. What all this passes over is a pair of one node that has a link to a
 leader and one that has none; Jaccard distance is a metric, so such a pair can only be a link if the second is within twice the
 allowed distance of that leader, and if the two are not in one class already the pair is compared in the end. So no
 candidate link between classes is lost, and no bucket has a cap.
@@ -278,7 +279,11 @@ def _links(
         linked = pairs.join(compared.filter(F.col("distance") <= allowed), ["a", "b"]).select("key", F.col("a").alias("node"))
         heads = pairs.select("key", F.col("b").alias("node"))
         open_ = left.join(linked.union(heads).distinct(), ["key", "node"], "left_anti")
-        left = materialise(_mixed_buckets(open_, classes), "open")
+        left = _mixed_buckets(open_, classes)
+        if leaders == 1:
+            # from here on buckets are texts that share one of their rarest shingles
+            left = _mixed_buckets(_rare_buckets(sets, materialise(left, "open").select("node").distinct(), threshold), classes)
+        left = materialise(left, "open")
         leaders *= 4
     links = compared.filter(F.col("distance") <= allowed)
     missed = materialise(_passed_over(compared, classes, allowed), "passed-over")
@@ -287,6 +292,23 @@ def _links(
     return links.select("a", "b")
 
 
+def _rare_buckets(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Members ``key, salt, node`` of buckets by rare shingles, for nodes that share a band with another class.
+
+    With shingles in one order for all texts, here from the rarest on, two texts of n shingles and a similarity of ``threshold`` agree in one of
+    their first ``n - ceil(threshold * n) + 1``. So a passage that very many of them hold makes no bucket unless it is most of a text.
+    """
+    each = nodes.join(sets, "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    each = materialise(each.withColumn("salt", _salt("node")), "shingles")
+    counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"))
+    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
+    counted = each.join(counts.withColumn("salt", asked).drop("salts"), ["key", "salt"])
+    place = F.row_number().over(Window.partitionBy("node").orderBy("held", "key"))
+    first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
+    rare = counted.withColumn("place", place).filter((F.col("place") <= first) & (F.col("held") > 1))
+    return rare.select("key", "salt", "node")
+
+
 def _classed(rows: DataFrame, column: str, classes: DataFrame, out: str) -> DataFrame:
     """The class of a node, itself if it has no link. A node of many rows is looked up once per salt."""
     salted = rows.withColumn("at", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
