@@ -1,6 +1,6 @@
 import public_tokenizers
 import pytest
-from plain import awkward
+from llm_plain import awkward
 from pyspark.sql import functions as F
 
 from tokenloom.llm import byte_bpe

@@ -1,4 +1,4 @@
-from plain import awkward
+from llm_plain import awkward
 from pyspark.sql import functions as F
 
 from tokenloom.llm.exact_dedup import exact_dedup, exact_groups

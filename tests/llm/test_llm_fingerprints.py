@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from plain import awkward, jaccard, shingles
+from llm_plain import awkward, jaccard, shingles
 from pyspark.sql import functions as F
 
 from tokenloom.llm import fingerprints as fp

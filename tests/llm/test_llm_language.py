@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from plain import awkward
+from llm_plain import awkward
 from pyspark.sql import functions as F
 
 from tokenloom.llm import language

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from plain import awkward, jaccard, shingles
+from llm_plain import awkward, jaccard, shingles
 
 from tokenloom.llm import minhash
 

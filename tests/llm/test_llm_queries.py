@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from plain import jaccard, shingles
+from llm_plain import jaccard, shingles
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract

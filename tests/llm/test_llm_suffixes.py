@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import pytest
-from plain import awkward
+from llm_plain import awkward
 
 from tokenloom.llm import suffixes
 

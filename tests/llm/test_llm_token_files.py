@@ -4,7 +4,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from plain import awkward
+from llm_plain import awkward
 from tokenizers import Tokenizer
 
 from tokenloom.llm import token_files as files

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from plain import awkward
+from llm_plain import awkward
 from pyspark.sql import functions as F
 
 from tokenloom.llm import toxicity
