@@ -18,6 +18,7 @@ order; an empty table gives empty files.
 
 from __future__ import annotations
 
+import os
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,13 +41,15 @@ LIMIT = 20
 BLOCK = 1 << 16
 STEP = 1024
 TOGETHER = 32
-REMEMBERED = 1_000_000
-SLICE = 8 << 20
+REMEMBERED = 800_000
+SLICE = 4 << 20
 _SPACE = r"[\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000} ] "
 
 
 @lru_cache(maxsize=1)
 def tokenizer(document: str) -> Tokenizer:
+    # a task has one core; threads of the library would only add work and memory
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     made = Tokenizer.from_str(document)
     made.encode_special_tokens = True  # their strings in a text are ordinary text
     made.no_truncation()
