@@ -104,3 +104,16 @@ def test_leaders_grow_until_no_member_is_left(spark):
     texts = [" ".join(common + [f"u{k}x{rng.random()}" for _ in range(12 + k % 5)]) for k in range(40)]
     rows = {r.id: r.class_id for r in minhash.near_classes(awkward(spark, texts), bands=8, rows=1).collect()}
     assert [rows[i] for i in range(40)] == classes_of(texts)
+
+
+def test_repeated_lines_do_not_part_near_copies(spark):
+    rng, texts = random.Random(9), []
+    for family in range(6):
+        lines = [" ".join(f"f{family}w{rng.randrange(3000)}" for _ in range(10)) for _ in range(20)]
+        texts += ["\n".join(lines + [lines[-1]] * (times - 1)) for times in (1, 40, 1000)]
+    # most occurrences are of one line, but the sets are not alike
+    texts += [f"{texts[0]}\n" + "\n".join([f"x{k}{j} y z" for j in range(100)] + ["one line of six words here"] * 1000) for k in range(4)]
+    want = classes_of(texts)
+    assert want[:18] == [i // 3 * 3 for i in range(18)] and want[18:] == [18, 19, 20, 21]
+    rows = {r.id: r.class_id for r in minhash.near_classes(awkward(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == want

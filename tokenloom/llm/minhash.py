@@ -1,9 +1,10 @@
-"""MinHash near-dedup with ProbMinHash: signatures of weighted shingles, banding, verification, connected classes.
+"""MinHash near-dedup with ProbMinHash: signatures of distinct shingles, banding, verification, connected classes.
 
-A text is the multiset of its word shingles (five words; a shorter text has one shingle of all its words); a shingle's
-weight is the number of times it occurs. Each shingle is a Poisson process with that rate: its arrivals, drawn from its hash, fall on registers
+A text is the set of its word shingles (five words; a shorter text has one shingle of all its words), however often each
+occurs, so all weights are equal. Each shingle is a Poisson process: its arrivals, drawn from its hash, fall on registers
 at random, and a register keeps the shingle that arrives first. Arrivals come in ascending order, so a shingle is done once the next
-one is later than the text's last register. Two signatures agree in a register with their probability Jaccard similarity.
+one is later than the text's last register. With equal weights two signatures agree in a register with the Jaccard similarity
+of the sets, which is also what decides about a link.
 ``BANDS`` bands of ``ROWS`` registers make candidates (a pair at 0.8 is missed with probability below 0.0001), and a candidate is a
 link if the Jaccard similarity of the distinct shingles is ``threshold`` or more.
 
@@ -129,8 +130,9 @@ def signatures(docs: DataFrame, id: str, text: str, bands: int = BANDS, rows: in
     def keyed(texts: pa.Array) -> pa.Array:
         parts = []
         for piece in text_slices(texts):
-            owner, element, weight = shingles(piece, words)
-            keys = band_keys(prob_minhash(owner, element, weight, len(piece), bands * rows), bands, rows)
+            owner, element, _ = shingles(piece, words)
+            # a link is decided on sets, so candidates must not depend on how often a shingle occurs
+            keys = band_keys(prob_minhash(owner, element, np.ones(len(owner)), len(piece), bands * rows), bands, rows)
             held = np.bincount(owner, minlength=len(piece)) > 0
             offsets = np.cumsum(np.r_[0, np.where(held, bands, 0)])
             parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[held].ravel())))
