@@ -1,5 +1,6 @@
 import heapq
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,7 @@ import pytest
 from llm_plain import awkward
 from tokenizers import Tokenizer
 
-from tokenloom.llm import token_files as files
+from tokenloom.llm import queries, token_files as files
 from tokenloom.llm.common import materialise
 from tokenloom.session import shared_path
 
@@ -83,3 +84,16 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     files.write_token_files(materialise(files.encode_documents(docs, FILE), "ids"), path)
     assert files.read_token_files(spark, path).count() == 0
+
+
+def test_added_tokens_in_texts_as_the_library_has_them(spark, tmp_path):
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "w " * 40000 + "<|endoftext|>  z", "<|endoftext |>"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    codec, at = Tokenizer.from_file(FILE), 0
+    rows = sorted(queries.op6_token_files(spark, str(tmp_path)).collect())
+    assert [r.doc_id for r in rows] == list(range(len(texts)))
+    for r in rows:
+        want = codec.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+        at += len(want)
+    assert codec.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]

@@ -111,7 +111,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = token_files.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    encoded = token_files.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end=2, plain_added=False)
     path = shared_path(spark, "token-files")
     token_files.write_token_files(materialise(encoded, "ids"), path)
     read = token_files.read_token_files(spark, path)

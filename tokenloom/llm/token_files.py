@@ -2,7 +2,9 @@
 
 Encoding uses the ``tokenizers`` library. A text without white space before a space is cut before each space: no token
 of such a byte-level tokenizer crosses that point, so every distinct piece is encoded once and remembered (a bounded memory);
-any other text is encoded whole, in long pieces that start at safe boundaries. Ids are counted over all documents, and package-merge
+any other text is encoded whole, in long pieces that start at safe boundaries. With ``plain_added`` the
+string of a special added token, such as an end mark, is ordinary text; without, as is the library's default and what the
+registered query does, it is that token, and a text that holds one is encoded in a single call. Ids are counted over all documents, and package-merge
 gives the shortest codes of at most ``LIMIT`` bits. Documents are coded where they are, ordered by id through a range
 partitioning of the coded bytes, and written as blocks of whole documents with at least ``BLOCK`` ids.
 
@@ -46,12 +48,12 @@ SLICE = 4 << 20
 _SPACE = r"[\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000} ] "
 
 
-@lru_cache(maxsize=1)
-def tokenizer(document: str) -> Tokenizer:
+@lru_cache(maxsize=2)
+def tokenizer(document: str, plain_added: bool) -> Tokenizer:
     # a task has one core; threads of the library would only add work and memory
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     made = Tokenizer.from_str(document)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
+    made.encode_special_tokens = plain_added
     made.no_truncation()
     made.no_padding()
     return made
@@ -101,10 +103,21 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def holds_added(codec: Tokenizer, texts: pa.Array) -> np.ndarray:
+    """Texts that hold the string of an added token, unless such strings are ordinary text."""
+    found = np.zeros(len(texts), dtype=bool)
+    for token in codec.get_added_tokens_decoder().values():
+        if token.special and codec.encode_special_tokens:
+            continue
+        found |= pc.match_substring(texts, token.content).to_numpy(zero_copy_only=False)
+    return found
+
+
 def encode_slice(codec: Tokenizer, texts: pa.Array, end: int | None) -> list[np.ndarray]:
     """Ids of each text, with the end id."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    odd = pc.match_substring_regex(texts, _SPACE).to_numpy(zero_copy_only=False)
+    marked = holds_added(codec, texts)
+    odd = marked | pc.match_substring_regex(texts, _SPACE).to_numpy(zero_copy_only=False)
     lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
     counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype("int64")
     coded = lists.flatten().dictionary_encode()
@@ -129,13 +142,19 @@ def encode_slice(codec: Tokenizer, texts: pa.Array, end: int | None) -> list[np.
     tail = np.zeros(0, dtype="uint32") if end is None else np.array([end], dtype="uint32")
     rows = [np.r_[flat[b - n : b], tail] for b, n in zip(stops, sizes)]
     for i in np.flatnonzero(odd):
-        parts = codec.encode_batch_fast(list(pieces(texts[int(i)].as_py())), add_special_tokens=False)
+        text = texts[int(i)].as_py()
+        parts = codec.encode_batch_fast([text] if marked[i] else list(pieces(text)), add_special_tokens=False)
         rows[i] = np.r_[np.concatenate([np.array(p.ids, dtype="uint32") for p in parts]), tail].astype("uint32")
     return rows
 
 
-def encode_documents(docs: DataFrame, tokenizer_file: str, id: str = "doc_id", text: str = "text", end: int | None = 2) -> DataFrame:
-    """``id, ids``: token ids as little-endian unsigned 32-bit integers."""
+def encode_documents(
+    docs: DataFrame, tokenizer_file: str, id: str = "doc_id", text: str = "text", end: int | None = 2, plain_added: bool = True
+) -> DataFrame:
+    """``id, ids``: token ids as little-endian unsigned 32-bit integers.
+
+    ``plain_added`` takes the strings of special added tokens in a text as ordinary text, which is not the library's default.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     with open(tokenizer_file, encoding="utf-8") as file:
@@ -143,7 +162,7 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, id: str = "doc_id", t
 
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
-        codec = tokenizer(document.value)
+        codec = tokenizer(document.value, plain_added)
         return pa.array([row.astype("<u4").tobytes() for part in text_slices(texts, SLICE) for row in encode_slice(codec, part, end)], pa.binary())
 
     return docs.select(F.col(f"`{id}`").alias("id"), encoded(text_or_empty(text)).alias("ids"))
