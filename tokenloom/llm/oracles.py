@@ -62,4 +62,71 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 """
 
-SQL = {"op1_chat_windows": OP1, "op3_mixing": OP3, "op4_exact_dedup": OP4}
+OP11 = """
+WITH rows AS (
+  SELECT vec_id, row_number() OVER () AS rn, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.rn, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM rows q JOIN rows c ON q.rn <> c.rn WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed WHERE len(w) > 0
+), grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS p, count(*)::BIGINT AS f
+  FROM placed, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang
+), candidates AS (SELECT * FROM grams WHERE k > 1 AND f >= 10
+), longer AS (
+  SELECT lang, p, max(f) AS f FROM (
+    SELECT lang, list_slice(p, 1, 2) AS p, f FROM candidates WHERE k = 3 UNION ALL SELECT lang, list_slice(p, 2, 3), f FROM candidates WHERE k = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer o ON c.k = 2 AND c.lang = o.lang AND c.p = o.p WHERE o.f IS NULL OR 100 * o.f < 50 * c.f
+), cuts AS (
+  SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, cut, (c.f::HUGEINT * c.f * 1000000 // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) c
+  JOIN grams x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, cut)
+  JOIN grams y ON y.lang = c.lang AND y.p = list_slice(c.p, cut + 1, c.k)
+), lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS nth FROM cuts
+), ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+  FROM lowest WHERE nth = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH terms AS (
+  SELECT doc_id, row_number() OVER () AS rn, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), totals AS (SELECT count(*) FILTER (len(t) > 0)::BIGINT AS big_n, sum(len(t))::BIGINT AS big_l FROM terms
+), lengths AS (SELECT doc_id, rn, t, 10 + (90 * len(t) * big_n) // big_l AS m FROM terms, totals WHERE len(t) > 0
+), counts AS (SELECT doc_id, rn, m, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, rn, m, unnest(t) AS term FROM lengths) GROUP BY ALL
+), held AS (SELECT term, count(*)::BIGINT AS df FROM counts GROUP BY term
+), weights AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM held, totals
+), items AS (
+  SELECT DISTINCT item_id, ri, unnest(t) AS term FROM (
+    SELECT item_id, row_number() OVER () AS ri, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM benchmark)
+), scored AS (
+  SELECT item_id, ri, doc_id, rn, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN counts USING (term) GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY ri ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+SQL = {"op1_chat_windows": OP1, "op3_mixing": OP3, "op4_exact_dedup": OP4, "op11_topk": OP11, "op12_collocations": OP12, "op13_lexical": OP13}

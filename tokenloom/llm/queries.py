@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tokenloom.llm import byte_bpe, chat_windows, exact_dedup, fingerprints, language, minhash, mixing, suffixes, token_files, toxicity
+from tokenloom.llm import (
+    byte_bpe, chat_windows, collocations, exact_dedup, fingerprints, language, lexical, minhash, mixing, suffixes, token_files, topk, toxicity,
+)
 from tokenloom.llm.common import materialise
 from tokenloom.session import shared_path
 
@@ -134,6 +136,20 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(_table(spark, sf_dir, "benchmark"), _table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_fingerprints": op2_fingerprints,
@@ -145,4 +161,7 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_suffixes": op9_suffixes,
     "op10_toxicity": op10_toxicity,
+    "op11_topk": op11_topk,
+    "op12_collocations": op12_collocations,
+    "op13_lexical": op13_lexical,
 }
