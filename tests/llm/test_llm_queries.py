@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     numbers = {name.split("_")[0] for name in queries.QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(contract.queries()) >= {*queries.QUERIES, "pipeline"}
 
 

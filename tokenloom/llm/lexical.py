@@ -3,7 +3,8 @@
 A document is a sparse vector of term impacts, a query item one of term weights, all whole numbers; the score is their
 inner product. Documents go into blocks next to documents with the same strongest term, and each block becomes a ball tree:
 a node holds a centroid and the radius around it that covers its documents, and is halved along the line between two far
-documents until it is small. No document of a ball scores above ``q . centroid + |q| * radius``. For each item the nodes of a
+documents until it is small. No document of a ball scores above ``q . centroid + |q| * radius``, nor above the same taken term by
+term, where the radius of a term is the most that a document lies above the centroid in it. For each item the nodes of a
 block are opened best first, until the best bound left is below the item's k-th best score so far; only then its subtree is pruned.
 Bounds are computed in doubles and widened by more than their rounding error, scores of documents in 64-bit integers.
 
@@ -98,15 +99,23 @@ class Sparse:
         """Inner products of the rows from ``first`` to ``last`` with a vector."""
         bounds = self.offsets[first : len(self) + 1 if last is None else last + 1]
         products = self.values[bounds[0] : bounds[-1]] * dense[self.columns[bounds[0] : bounds[-1]]]
-        upto = np.zeros(len(products) + 1, products.dtype)
-        np.cumsum(products, out=upto[1:])
-        return np.diff(upto[bounds - bounds[0]])
+        filled = np.flatnonzero(bounds[1:] > bounds[:-1])
+        sums = np.zeros(len(bounds) - 1, products.dtype)
+        # each row is summed by itself, so its rounding error does not grow with the rows before it
+        if len(filled):
+            sums[filled] = np.add.reduceat(products, bounds[filled] - bounds[0])
+        return sums
 
     def take(self, rows: np.ndarray) -> Sparse:
-        sizes = np.diff(self.offsets)[rows]
-        offsets = np.r_[0, np.cumsum(sizes)]
-        at = np.arange(offsets[-1]) + np.repeat(self.offsets[rows] - offsets[:-1], sizes)
-        return Sparse(offsets, self.columns[at], self.values[at])
+        at = _spans(self.offsets, rows)
+        return Sparse(np.r_[0, np.cumsum(np.diff(self.offsets)[rows])], self.columns[at], self.values[at])
+
+
+def _spans(offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Places of all entries of some rows."""
+    sizes = np.diff(offsets)[rows]
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(offsets[rows] - (ends - sizes), sizes)
 
 
 class BallTree:
@@ -133,8 +142,10 @@ class BallTree:
             radius = math.sqrt(max(float(away.max()), 0.0) + 1e-8 * (float(norm[rows].max()) + own))
             at = len(nodes)
             nodes.append([low, high, radius, -1, -1])
-            centres.append(np.flatnonzero(centre))
-            centres[-1] = (centres[-1], centre[centres[-1]])
+            held = np.flatnonzero(centre)
+            top = np.zeros(len(self.used), np.int64)
+            np.maximum.at(top, part.columns, docs.values[_spans(docs.offsets, rows)])
+            centres.append((held, centre[held], top[held]))
             if parent >= 0:
                 nodes[parent][3 if nodes[parent][3] < 0 else 4] = at
             if high - low <= leaf or away.max() <= 1e-8 * (float(norm[rows].max()) + own):
@@ -153,8 +164,9 @@ class BallTree:
         self.order, self.docs = order, docs.take(order)
         self.nodes = nodes
         self.radius = np.array([n[2] for n in nodes])
-        sizes = [len(c) for c, _ in centres]
-        self.centres = Sparse(np.r_[0, np.cumsum(sizes)], np.concatenate([c for c, _ in centres]), np.concatenate([v for _, v in centres]))
+        offsets = np.r_[0, np.cumsum([len(c) for c, _, _ in centres])]
+        columns, means, tops = (np.concatenate(part) for part in zip(*centres))
+        self.centres, self.tops = Sparse(offsets, columns, means), Sparse(offsets, columns, tops)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
         """Places in the block and exact scores, above 0 and not below ``floor``, that hold the block's ``k`` best."""
@@ -168,6 +180,8 @@ class BallTree:
         bounds = self.centres.times(real) + math.sqrt(float(real @ real)) * self.radius
         # more than all rounding of the sums above, downwards never
         bounds = bounds + 1e-9 * np.abs(bounds).max() + 1.0
+        # centroid and radius of a term make its largest impact, in whole numbers
+        bounds = np.minimum(bounds, self.tops.times(dense))
         queue = [(-bounds[0], 0)]
         best: list[int] = []
         places, scores = [], []

@@ -13,8 +13,8 @@ each group is sent to all blocks, so vectors never move but once, into their blo
 
 Defined results: a vector that is null or holds a null or a number that is not finite takes no part; shorter vectors count as
 if filled up with zeros; an empty vector scores 0 with all. Equal scores go to the smaller id, null ids last. Rows that repeat an id are rows
-of their own: each is a query, and a candidate of the other. Scores are exact; one beyond 64 bits is the nearest
-64-bit number. An empty table gives an empty result; other columns may have any name.
+of their own: each is a query, and a candidate of the other. Scores are exact and ranked as such, those beyond
+124 bits as equal; one beyond 64 bits is given as the nearest 64-bit number. An empty table gives an empty result; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -39,6 +39,9 @@ QUERY_ROWS, MOST_QUERIES = 1024, 4096
 # The first part read of the lists, as a share of a block; later parts grow by half.
 FIRST_PART = 24
 _LONG = (-(2**63), 2**63 - 1)
+# A score in two parts, since products of large numbers pass 64 bits.
+_LOW, _MOST = 2**62 - 1, 2**124
+_FOUND = "row long, id long, high long, low long"
 
 
 def whole_numbers(values: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -189,21 +192,19 @@ def _search(shared, k: int, scale: int):
                     arrays = values, places, table, query
                     # sums of products stay exact in a double below 2**53
                     if largest * max((abs(int(x)) for x in (query.max(initial=0), query.min(initial=0)))) * max(len(query), 1) * 4 >= 2**53:
-                        arrays = values.astype(object), places, _integers(table), _integers(query)
-                        arrays = _integers(values), *arrays[1:]
+                        arrays = _integers(values), places, _integers(table), _integers(query)
                     floor = best[q][0] if len(best[q]) == k else None
                     left, scores = search_block(*arrays, k, floor, at.get(numbers[q], -1))
                     found = [(int(s), j) for s, j in zip(scores.tolist(), left.tolist()) if floor is None or s >= floor]
                     if not found:
                         continue
                     # equal scores: smaller ids first, null last
-                    found.sort(key=lambda f: (-f[0], ids[f[1]] is None, ids[f[1]]))
+                    found.sort(key=lambda f: (-min(max(f[0], -_MOST), _MOST), ids[f[1]] is None, ids[f[1]]))
                     found = found[:k]
                     best[q] = sorted([*best[q], *[s for s, _ in found if floor is None or s > floor]])[-k:]
-                    scored = pa.array([min(max(s, _LONG[0]), _LONG[1]) for s, _ in found], pa.int64())
-                    yield pa.record_batch(
-                        [pa.array([numbers[q]] * len(found), pa.int64()), pa.array([ids[j] for _, j in found], pa.int64()), scored], ["row", "id", "score"]
-                    )
+                    shown = [min(max(s, -_MOST), _MOST) for s, _ in found]
+                    columns = [[numbers[q]] * len(found), [ids[j] for _, j in found], [s >> 62 for s in shown], [s & _LOW for s in shown]]
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["row", "id", "high", "low"])
 
     return search
 
@@ -247,10 +248,12 @@ def top_k(
             raise ValueError("queries are dealt unevenly")
         vectors = [whole_numbers(np.array(r["vec"], np.float64), scale) for r in held]
         shared = spark.sparkContext.broadcast(([r["row"] for r in held], vectors, [_first_bound(known, v, k) for v in vectors]))
-        blocks.mapInArrow(_search(shared, k, scale), "row long, id long, score long").write.mode("append").parquet(path)
-    found = spark.read.schema("row long, id long, score long").parquet(path)
-    order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("id"))
+        blocks.mapInArrow(_search(shared, k, scale), _FOUND).write.mode("append").parquet(path)
+    found = spark.read.schema(_FOUND).parquet(path)
+    order = Window.partitionBy("row").orderBy(F.desc("high"), F.desc("low"), F.asc_nulls_last("id"))
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    beyond = F.when(F.col("high") > 1, _LONG[1]).when(F.col("high") < -2, _LONG[0])
+    best = best.withColumn("score", F.coalesce(beyond, F.shiftleft("high", 62) + F.col("low")))
     # a table of the queries; Spark broadcasts it where it is small
     names = asked.select(F.col("row").alias("_row"), F.col("id").alias("query_id"))
     return best.join(names, F.col("row") == F.col("_row")).select("query_id", "rank", "id", "score")
