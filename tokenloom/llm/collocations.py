@@ -41,12 +41,14 @@ LEAST = 10
 TOP = 2000
 INSIDE_PERCENT = 50
 # Suffixes that a task sums before it sends them, and that a task sorts.
-BUFFERED = 1_500_000
-SUFFIXES = 1_000_000
+BUFFERED = 1_000_000
+SUFFIXES = 700_000
 # Parts up to this size are sorted at once.
 SMALL = 4096
 HOT = 256
 SALTS = 32
+# A language's best phrases are first found in so many parts.
+RANKED_PARTS = 8
 # 1,024 bitmaps of 32,768 bits each.
 BITMAPS, BITS = 1024, 32_768
 SLICE = 4 << 20
@@ -358,8 +360,8 @@ def collocations(
     )
     scored = pairs.unionByName(triples)
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    # no task orders all phrases of a language: the best of each salt first
-    salted = scored.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    # no task orders all phrases of a language: the best of each part first
+    salted = scored.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)))
     salted = salted.withColumn("_at", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*best))).filter(F.col("_at") <= top)
     ranked = salted.drop("_at", "_salt").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("rank") <= top)
     sizes = words.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("n"))
