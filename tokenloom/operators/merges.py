@@ -20,20 +20,22 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Callable, Sequence
-from typing import NamedTuple
+from collections.abc import Iterator, Mapping, Sequence
+from typing import TYPE_CHECKING, NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tokenloom.constants import MIN_FREQUENCY, SPECIAL_TOKENS, STAND_INS, BYTE_IDS, VOCAB_SIZE
 from tokenloom.functions import bytelevel
 from tokenloom.functions.bytelevel import symbol, symbol_id
-from tokenloom.functions.codec import merge_word
-from tokenloom.operators.wordstats import pair_strings
 from tokenloom.session import shared_path, ship_package
 
+if TYPE_CHECKING:
+    from tokenloom.operators.recovery import Base
+
 MERGES_SCHEMA = "rank int, left int, right int, new_id int, count long"
 
 FIRST_PAIRS = 64
@@ -43,6 +45,8 @@ MOST_RUNS = 100_000
 MOST_SYMBOLS = 4_000_000
 CHECKPOINT_EVERY = 8
 WORDS_PER_TASK = 100_000
+# Words that array kernels work on at a time.
+BATCH_WORDS = 20_000
 # Each task of a top-k sends k rows to the driver, so their number is limited.
 TOP_TASKS = 32
 
@@ -57,22 +61,24 @@ class Merge(NamedTuple):
 class Tokens:
     """Token texts and ids while merges are learned."""
 
-    def __init__(self, vocab_size: int):
+    def __init__(self, vocab_size: int, texts: Mapping[int, str] | None = None):
         if vocab_size > bytelevel.MAX_SYMBOLS:
             raise ValueError(f"vocab_size must not exceed {bytelevel.MAX_SYMBOLS}")
         self.vocab_size = vocab_size
-        self.text = dict(enumerate(SPECIAL_TOKENS)) | dict(zip(BYTE_IDS, STAND_INS))
+        self.text = dict(texts) if texts else dict(enumerate(SPECIAL_TOKENS)) | dict(zip(BYTE_IDS, STAND_INS))
         self.ids = {t: i for i, t in self.text.items()}
+        self.next = max(self.text) + 1
 
     def full(self) -> bool:
-        return len(self.ids) >= self.vocab_size
+        return self.next >= self.vocab_size
 
     def product(self, left: int, right: int) -> tuple[int, bool]:
         """Id of a merged token and whether it existed before."""
         text = self.text[left] + self.text[right]
         if text in self.ids:
             return self.ids[text], True
-        new = len(self.ids)
+        new = self.next
+        self.next += 1
         self.ids[text], self.text[new] = new, text
         return new, False
 
@@ -137,41 +143,100 @@ def _follow(
     return learned
 
 
-def _cut_runs(pairs: Sequence[str]) -> Callable[[str], Column]:
-    """Maximal runs of a word whose junctions all lie in ``pairs``.
+def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all symbols of a batch of symbol strings, and where each word begins, the end included.
+
+    Every symbol lies beyond the basic plane, so it takes four bytes.
+    """
+    words = words.cast(pa.large_string())
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    if bounds[-1] == bounds[0]:
+        return np.zeros(0, np.int64), np.zeros(len(words) + 1, np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[bounds[0] : bounds[-1]].reshape(-1, 4).astype(np.int64) & [7, 63, 63, 63]
+    return (data << [18, 12, 6, 0]).sum(axis=1) - bytelevel.SYMBOL_BASE, (bounds - bounds[0]) // 4
+
+
+def _strings(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Symbol strings of so many ids each."""
+    points = ids[:, None] + bytelevel.SYMBOL_BASE
+    data = (points >> [18, 12, 6, 0] & [7, 63, 63, 63] | [0xF0, 0x80, 0x80, 0x80]).astype(np.uint8)
+    offsets = np.r_[0, np.cumsum(sizes * 4)].astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data.ravel())]).cast(pa.string())
+
+
+def _junctions(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Both ids at each place between two symbols as one number, -1 between words."""
+    keys = ids[:-1] << 21 | ids[1:]
+    ends = starts[1:-1]
+    keys[ends[(ends > 0) & (ends < len(ids))] - 1] = -1
+    return keys
+
+
+def _keys(pairs: Sequence[str]) -> np.ndarray:
+    return np.sort(np.array([symbol_id(p[0]) << 21 | symbol_id(p[1]) for p in pairs], np.int64))
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which keys are among ``wanted``, which is sorted."""
+    at = np.searchsorted(wanted, keys)
+    return wanted[np.minimum(at, len(wanted) - 1)] == keys if len(wanted) else np.zeros(len(keys), dtype=bool)
+
+
+def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(weights[order], at) if len(at) else weights[:0]
 
-    An Arrow step, because the look-up of a junction must not cost more when more pairs are looked at.
+
+def count_pairs(words: DataFrame) -> DataFrame:
+    """Frequency of each adjacent pair of symbols, as :func:`tokenloom.operators.wordstats.pair_strings` gives it.
+
+    Batches are counted with array kernels, so what leaves a batch is a row per distinct pair and not one per junction.
     """
-    linked = frozenset(pairs)
 
-    def runs_of(word: str) -> list[str]:
-        runs, start = [], 0
-        for i in range(len(word) - 1):
-            if word[i : i + 2] not in linked:
-                if i > start:
-                    runs.append(word[start : i + 1])
-                start = i + 1
-        if len(word) - 1 > start:
-            runs.append(word[start:])
-        return runs
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _rebatched(batches, BATCH_WORDS):
+            ids, starts = _flat(batch.column(0))
+            if len(ids) < 2:
+                continue
+            keys = _junctions(ids, starts)
+            weight = np.repeat(batch.column(1).to_numpy(), np.diff(starts))[:-1]
+            pairs, n = _summed(keys[keys >= 0], weight[keys >= 0])
+            both = np.stack([pairs >> 21, pairs & (1 << 21) - 1], axis=1).ravel()
+            yield pa.record_batch([_strings(both, np.full(len(pairs), 2)), pa.array(n, pa.int64())], ["pair", "n"])
+
+    return words.select("s", "n").mapInArrow(count, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
-    @F.arrow_udf("array<string>")
-    def cut(words: pa.Array) -> pa.Array:
-        return pa.array([runs_of(s) for s in words.to_pylist()], pa.list_(pa.string()))
 
-    return cut
+def _runs(words: DataFrame, pairs: Sequence[str]) -> DataFrame:
+    """Maximal runs of the words whose junctions all lie in ``pairs``, with their frequency, summed per batch."""
+    linked = _keys(pairs)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _rebatched(batches, BATCH_WORDS):
+            ids, starts = _flat(batch.column(0))
+            if len(ids) < 2:
+                continue
+            held = _among(_junctions(ids, starts), linked)
+            edges = np.diff(np.r_[False, held, False].astype(np.int8))
+            first, size = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - np.flatnonzero(edges == 1) + 1
+            at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+            runs = _strings(ids[at], size).dictionary_encode()
+            weight = batch.column(1).to_numpy()[np.searchsorted(starts, first, "right") - 1]
+            codes, n = _summed(np.asarray(runs.indices.to_numpy(zero_copy_only=False), np.int64), weight)
+            yield pa.record_batch([runs.dictionary.take(pa.array(codes)), pa.array(n, pa.int64())], ["run", "n"])
+
+    return words.select("s", "n").mapInArrow(cut, "run string, n long").groupBy("run").agg(F.sum("n").alias("n"))
 
 
 def _collect_runs(
     words: DataFrame, pairs: Sequence[str], most_runs: int, most_symbols: int
 ) -> list[tuple[tuple[int, ...], int]] | None:
     """The run table, or None if it is beyond the bounds; it is measured where it lies before any of it is fetched."""
-    runs = (
-        words.select(F.explode(_cut_runs(pairs)("s")).alias("run"), "n")
-        .groupBy("run")
-        .agg(F.sum("n").alias("n"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    runs = _runs(words, pairs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         size = runs.agg(F.count(F.lit(1)).alias("runs"), F.sum(F.length("run")).alias("symbols")).first()
         if size.runs > most_runs or (size.symbols or 0) > most_symbols:
@@ -183,28 +248,80 @@ def _collect_runs(
 
 def _top_pairs(words: DataFrame, count: int) -> list[Row]:
     """The best pairs in merge order."""
-    pairs = pair_strings(words)
+    pairs = count_pairs(words)
     if int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")) > TOP_TASKS:
         pairs = pairs.repartition(TOP_TASKS, "pair")
     return pairs.orderBy(F.desc("n"), "pair").limit(count).collect()
 
 
+def merge_flat(ids: np.ndarray, starts: np.ndarray, keys: np.ndarray, ranks: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words after their merges, lowest rank first and leftmost first, as ids and word bounds.
+
+    ``keys`` are the merged pairs, sorted, with the rank and the product of each. All words make their next merge at the same time,
+    and a word without one is done, so the work falls with the number of words that are still changing.
+    """
+    words = len(starts) - 1
+    owner = np.repeat(np.arange(words), np.diff(starts))
+    done = []
+    while len(ids) > 1 and len(keys):
+        pairs = np.where(owner[:-1] == owner[1:], ids[:-1] << 21 | ids[1:], -1)
+        at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+        places = np.flatnonzero(keys[at] == pairs)
+        if not len(places):
+            break
+        rank = ranks[at[places]]
+        lowest = np.full(words, len(ranks), np.int64)
+        np.minimum.at(lowest, owner[places], rank)
+        first = rank == lowest[owner[places]]
+        places, product = places[first], products[at[places[first]]]
+        # of overlapping places, as in a run of one symbol, every second one counts
+        run = np.flatnonzero(np.r_[True, np.diff(places) > 1])
+        offset = np.arange(len(places)) - np.repeat(run, np.diff(np.r_[run, len(places)]))
+        places, product = places[offset % 2 == 0], product[offset % 2 == 0]
+        ids = ids.copy()
+        ids[places] = product
+        kept = np.ones(len(ids), dtype=bool)
+        kept[places + 1] = False
+        ids, owner = ids[kept], owner[kept]
+        changing = (lowest < len(ranks))[owner]
+        done.append((ids[~changing], owner[~changing]))
+        ids, owner = ids[changing], owner[changing]
+    ids, owner = (np.concatenate(c) for c in zip(*done, (ids, owner)))
+    # the symbols of a word come from one part and keep their order
+    order = np.argsort(owner, kind="stable")
+    return ids[order], np.r_[0, np.cumsum(np.bincount(owner, minlength=words))]
+
+
+def _rebatched(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` rows and more; array kernels cost as much for few words as for many."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def apply_merges(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
     """Words after the merges of a round; those left with one symbol have no pairs and go.
 
     An Arrow step: a word costs its own length, while a chain of native replacements would cost every word the number
     of merges. No product of a round is an older token, so lowest rank first equals one merge after the other.
     """
-    codes = {
-        ord(symbol(m.left)) << 32 | ord(symbol(m.right)): (rank, ord(symbol(m.new_id)))
-        for rank, m in enumerate(merges)
-    }
+    keys = np.array([m.left << 21 | m.right for m in merges], np.int64)
+    ranks = np.argsort(keys)
+    keys, products = keys[ranks], np.array([m.new_id for m in merges], np.int64)[ranks]
 
-    @F.arrow_udf("string")
-    def merged(words: pa.Array) -> pa.Array:
-        return pa.array(["".join(map(chr, merge_word(list(map(ord, s)), codes))) for s in words.to_pylist()], pa.string())
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _rebatched(batches, BATCH_WORDS):
+            ids, starts = merge_flat(*_flat(batch.column(0)), keys, ranks, products)
+            sizes = np.diff(starts)
+            left = sizes > 1
+            yield pa.record_batch([_strings(ids[np.repeat(left, sizes)], sizes[left]), batch.column(1).filter(pa.array(left))], ["s", "n"])
 
-    return words.select(merged("s").alias("s"), "n").filter(F.length("s") > 1)
+    return words.select("s", "n").mapInArrow(merged, "s string, n long")
 
 
 def learn_merges(
@@ -215,9 +332,12 @@ def learn_merges(
     most_runs: int = MOST_RUNS,
     most_symbols: int = MOST_SYMBOLS,
     rounds: list[int] | None = None,
+    base: Base | None = None,
 ) -> list[Merge]:
     """Merges in the order learned, at most ``vocab_size`` of them.
 
+    With a ``base`` the words are merged by it first, what is learned comes after its merges, and ids go on from its highest one.
+
     ``words`` holds symbol strings ``s`` with frequency ``n``. The word table is written to the shared folder at the
     start and every few rounds, so a lost executor costs a few narrow steps at most; each copy is removed when the next
     is complete. ``rounds`` collects the number of merges of each round.
@@ -226,8 +346,11 @@ def learn_merges(
     ship_package(spark)
     rounds = [] if rounds is None else rounds
     kept: list[str] = []
-    tokens = Tokens(vocab_size)
+    tokens = Tokens(vocab_size, base.texts if base else None)
     learned: list[Merge] = []
+    if base:
+        renamed = F.translate("s", "".join(map(symbol, BYTE_IDS)), "".join(map(symbol, base.byte_ids)))
+        words = apply_merges(words.withColumn("s", renamed), base.merges)
     words = _saved(words.filter(F.length("s") > 1), kept)
     # tasks of even and limited work in every round, whatever the shuffle settings made of the word counts
     tasks = max(spark.sparkContext.defaultParallelism, words.count() // WORDS_PER_TASK)
