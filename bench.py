@@ -51,7 +51,7 @@ def main() -> None:
         timed(name, lambda: run(catalog.QUERIES[name](spark, SF_DIR)))
     timed("shuffle_rows", lambda: run(ranking.shuffle_rows(docs, "doc_id")))
     timed("write_chunks", lambda: sinks.write_chunks(plans.tokenizer_corpus(docs, "doc_id"), f"{out}/corpus", 6))
-    words = wordstats.word_counts(sources.read_lines(spark, f"{out}/corpus"))
+    words = wordstats.word_counts(sources.read_chunks(spark, f"{out}/corpus"))
     symbols = wordstats.symbol_words(words)
     rounds: dict[str, list[int]] = {"learn_merges": [], "learn_merges_small_bounds": []}
     learned = timed("learn_merges", lambda: merges.learn_merges(symbols, VOCAB_SIZE, 5, rounds=rounds["learn_merges"]))

@@ -7,7 +7,7 @@ marker (U+E000, absent from the tables) ahead of that whitespace.
 from __future__ import annotations
 
 from catalog.queries import (
-    ARABIC, BASE_LEARNED, CHUNKS, CYRILLIC, HAN, LANGUAGES, LEARNED, MAX_STEPS, SAMPLE_ROWS, SEGMENT_TURNS,
+    ARABIC, BASE_LEARNED, CHUNKS, CYRILLIC, EPOCHS, HAN, HUNDREDS, LANGUAGES, LEARNED, MAX_STEPS, SAMPLE_ROWS, SEGMENT_TURNS,
 )
 from tokenloom.constants import CHAT_TEMPLATE, FIRST_MERGE_ID, MAX_SEQ_LEN, SEED, SPECIAL_TOKENS
 from tokenloom.functions.bytelevel import SYMBOL_BASE
@@ -111,6 +111,33 @@ def _merge_ctes(table: str, count: int) -> str:
     return ",".join(parts)
 
 
+def _recursive_ctes(table: str, count: int, first_id: int = FIRST_MERGE_ID, start: str | None = None) -> str:
+    """The same in a recursion: ``{table}_merges``, and ``{table}_final`` with every word of the lines and of the whole texts after all merges.
+
+    ``start`` gives the symbols of ``word`` before the first merge.
+    """
+    return f"""{_line_words(table)},
+    all_{table} AS MATERIALIZED (
+        SELECT word, sum(n)::BIGINT AS n FROM (
+            SELECT word, n FROM words_{table} UNION ALL SELECT DISTINCT unnest({_pieces('text')}), 0 FROM {table})
+        GROUP BY word),
+    begun_{table} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY word) AS k, word, {start or _symbols('word')} AS s, n FROM all_{table}),
+    state_{table}(k, step, s, n) USING KEY (k) AS (
+        SELECT k, 0, s, n FROM begun_{table}
+        UNION
+        (WITH best AS (
+            SELECT pair, sum(n)::BIGINT AS n FROM (SELECT unnest({_PAIR_LIST}) AS pair, n FROM state_{table} WHERE k > 0)
+            GROUP BY pair ORDER BY n DESC, pair LIMIT 1)
+        SELECT k, step + 1, replace(s, pair, chr(({SYMBOL_BASE + first_id} + step)::INT)), w.n
+        FROM state_{table} w, best WHERE k > 0 AND step < {count}
+        UNION ALL
+        SELECT -1 - done, done, pair, n FROM best, (SELECT max(step) AS done FROM state_{table} WHERE k > 0) WHERE done < {count})),
+    {table}_merges AS MATERIALIZED (
+        SELECT step AS rank, unicode(s) - {SYMBOL_BASE} AS l, unicode(substring(s, 2, 1)) - {SYMBOL_BASE} AS r, {first_id} + step AS new_id, n AS cnt
+        FROM state_{table} WHERE k < 0),
+    {table}_final AS MATERIALIZED (SELECT b.word, f.s FROM state_{table} f JOIN begun_{table} b USING (k))"""
+
+
 _SPECIAL_ROWS = ", ".join(f"({i}, '{t}')" for i, t in enumerate(SPECIAL_TOKENS))
 _BYTE_ROWS = ", ".join(f"({b}, chr({ord(STAND_INS[b])}), {BYTE_IDS[b]})" for b in range(256))
 
@@ -132,11 +159,19 @@ def _vocab_ctes(table: str, count: int) -> str:
     return ",".join(parts)
 
 
-def _encoded_ctes(name: str, source: str, keys: str) -> str:
-    """``{name}``: rows of ``source`` (keys, text t) with ``ids``, the learned merges applied to each distinct word."""
-    s = "s"
-    for i in range(1, LEARNED + 1):
-        s = f"replace({s}, (SELECT pair FROM documents_p{i}), chr({SYMBOL_BASE + FIRST_MERGE_ID + i - 1}))"
+def _replaced(s: str, table: str, count: int) -> str:
+    for i in range(1, count + 1):
+        s = f"replace({s}, (SELECT pair FROM {table}_p{i}), chr({SYMBOL_BASE + FIRST_MERGE_ID + i - 1}))"
+    return s
+
+
+def _encoded_ctes(name: str, source: str, keys: str, words: str | None = None) -> str:
+    """``{name}``: rows of ``source`` (keys, text t) with ``ids``, the learned merges applied to each distinct word.
+
+    ``words`` is a query for ``word`` and its merged symbols ``s``, else the merges learned from ``documents`` are applied.
+    """
+    if words is None:
+        words = f"SELECT word, {_replaced('s', 'documents', LEARNED)} AS s FROM (SELECT word, {_symbols('word')} AS s FROM (SELECT DISTINCT word FROM {name}_tok))"
     on = " AND ".join(f"x.{k.strip()} = y.{k.strip()}" for k in keys.split(","))
     return f"""
     {name}_src AS MATERIALIZED ({source}),
@@ -145,8 +180,8 @@ def _encoded_ctes(name: str, source: str, keys: str) -> str:
         FROM (SELECT {keys}, {_pieces('t')} AS words FROM {name}_src)),
     {name}_dist AS MATERIALIZED (
         SELECT word, CASE word {' '.join(f"WHEN '{t}' THEN [{i}]" for i, t in enumerate(SPECIAL_TOKENS))}
-            ELSE {_symbol_ids(s)} END AS part
-        FROM (SELECT word, {_symbols('word')} AS s FROM (SELECT DISTINCT word FROM {name}_tok))),
+            ELSE {_symbol_ids('s')} END AS part
+        FROM ({words})),
     {name}_cat AS (
         SELECT {keys}, flatten(list(part ORDER BY pos)) AS ids
         FROM {name}_tok JOIN {name}_dist USING (word) GROUP BY {keys}),
@@ -187,20 +222,23 @@ def _trained(*ctes: str, select: str) -> str:
     return "WITH " + ",".join([_merge_ctes("documents", LEARNED), *ctes]) + " " + select
 
 
-def _pretrain_sql(compat: bool) -> str:
+def _pretrain_select(compat: bool = False) -> str:
+    """From encoded documents ``enc`` to padded and shifted rows; follows a list of tables."""
     ids = "list_concat([0], ids, [1])"
     if compat:
         ids = f"list_concat([0], {ids}, [1])"
     label = "output_ids" if compat else "labels"
-    return _trained(
-        _encoded_ctes("enc", "SELECT doc_id, lang, text AS t FROM documents", "doc_id"),
-        f"seq AS (SELECT doc_id, {_padded('i', _L, -100 if compat else 2)} AS a, {_padded('i', _L, -100)} AS b "
-        f"FROM (SELECT doc_id, {ids} AS i FROM enc))",
-        select=f"SELECT doc_id, {_joined(f'list_slice(a, 1, {_L - 1})')} AS input_ids, "
-        f"{_joined(f'list_slice(b, 2, {_L})')} AS {label} FROM seq",
+    return (
+        f", seq AS (SELECT doc_id, {_padded('i', _L, -100 if compat else 2)} AS a, {_padded('i', _L, -100)} AS b "
+        f"FROM (SELECT doc_id, {ids} AS i FROM enc)) SELECT doc_id, {_joined(f'list_slice(a, 1, {_L - 1})')} AS input_ids, "
+        f"{_joined(f'list_slice(b, 2, {_L})')} AS {label} FROM seq"
     )
 
 
+def _pretrain_sql(compat: bool) -> str:
+    return _trained(_encoded_ctes("enc", "SELECT doc_id, lang, text AS t FROM documents", "doc_id"), select="") + _pretrain_select(compat)
+
+
 def _chat_sides() -> list[str]:
     return [
         _INSTRUCT,
@@ -226,6 +264,26 @@ def _chunk_sql(select: str) -> str:
         FROM sized) {select}"""
 
 
+def _permuted_ctes(epochs: int) -> str:
+    """``permuted``: rank of every document and epoch. Positions follow descending ids; a walk goes on until it is below n."""
+    # six rounds add a hash of one digit to the other, in turn
+    turns = ""
+    for turn in range(6):
+        other, own, base = ("r", "l", "a") if turn % 2 else ("l", "r", "b")
+        added = f"({own} + ('0x' || substring(md5('{SEED}:' || epoch || ':{turn}:' || {other}), 1, 12))::BIGINT % {base}) % {base}"
+        source = "SELECT doc_id, epoch, steps, n, a, b, p // b AS l, p % b AS r FROM walks WHERE steps = 0 OR p >= n" if turn == 0 else f"SELECT * FROM ({turns})"
+        kept = f"{added} AS l, r" if turn % 2 else f"l, {added} AS r"
+        turns = f"SELECT doc_id, epoch, steps, n, a, b, {kept} FROM ({source})"
+    return f"""positions AS (
+        SELECT doc_id, row_number() OVER (ORDER BY doc_id DESC) - 1 AS p, count(*) OVER () AS n FROM documents),
+    sides AS (SELECT *, floor(sqrt(greatest(n - 1, 0)))::BIGINT + 1 AS a FROM positions),
+    walks AS (
+        SELECT doc_id, epoch, 0 AS steps, n, a, greatest((n + a - 1) // a, 1) AS b, p FROM sides, range({epochs}) e(epoch)
+        UNION ALL
+        SELECT doc_id, epoch, steps + 1, n, a, b, l * b + r FROM ({turns})),
+    permuted AS (SELECT doc_id, epoch * n + p AS rank FROM walks WHERE steps > 0 AND p < n)"""
+
+
 def all_sql() -> dict[str, str]:
     sample = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {{0}} ORDER BY {_hash('doc_id')}, doc_id) AS r
         FROM documents) WHERE r <= {SAMPLE_ROWS}"""
@@ -382,6 +440,58 @@ def all_sql() -> dict[str, str]:
     sql["chunk_rewrite"] = f"SELECT *, chunk IN (1, 4) AS written FROM ({sql['chunk_roundtrip']})"
     sql["training_batches_max_steps"] = f"SELECT * FROM ({sql['assign_batches']}) WHERE rank < {MAX_STEPS * 256}"
     sql["bpe_merges_small_bounds"] = sql["bpe_merges"]
+    sql["bpe_merges_500"] = f"WITH RECURSIVE {_recursive_ctes('documents', HUNDREDS)} SELECT {merge_columns} FROM documents_merges"
+    sql["encode_500"] = (
+        f"WITH RECURSIVE {_recursive_ctes('documents', HUNDREDS)}, "
+        + _encoded_ctes("enc", "SELECT doc_id, text AS t FROM documents", "doc_id", "SELECT word, s FROM documents_final")
+        + f" SELECT doc_id, {_joined('list_concat([0], ids, [1])')} AS ids FROM enc"
+    )
+    sql["pretrain_rows_500"] = (
+        f"WITH RECURSIVE {_recursive_ctes('documents', HUNDREDS)}, "
+        + _encoded_ctes("enc", "SELECT doc_id, lang, text AS t FROM documents", "doc_id", "SELECT word, s FROM documents_final")
+        + _pretrain_select()
+    )
+    based = _merge_ctes("benchmark", BASE_LEARNED)
+    sql["vocab_recovered"] = (
+        f"WITH {based}, {_vocab_ctes('benchmark', BASE_LEARNED)} SELECT v.id, v.token, m.l::INT AS \"left\", m.r::INT AS \"right\" "
+        "FROM benchmark_vocab v JOIN benchmark_merges m ON m.new_id = v.id"
+    )
+    merged = _replaced("s", "benchmark", BASE_LEARNED)
+    sql["encode_base"] = (
+        f"WITH {based}, "
+        + _encoded_ctes(
+            "enc", "SELECT doc_id, text AS t FROM documents", "doc_id",
+            f"SELECT word, {merged} AS s FROM (SELECT word, {_symbols('word')} AS s FROM (SELECT DISTINCT word FROM enc_tok))",
+        )
+        + f" SELECT doc_id, {_joined('list_concat([0], ids, [1])')} AS ids FROM enc"
+    )
+    after = f"WITH RECURSIVE {based}, " + _recursive_ctes(
+        "documents", LEARNED, FIRST_MERGE_ID + BASE_LEARNED, _replaced(_symbols("word"), "benchmark", BASE_LEARNED)
+    )
+    sql["bpe_merges_after_base"] = f"{after} SELECT {merge_columns} FROM documents_merges"
+    # ids of the documents' merges go on where those of the base end, so one list of merges spells all tokens
+    sql["vocab_after_base"] = (
+        f"{after}, both_merges AS MATERIALIZED (SELECT * FROM benchmark_merges UNION ALL SELECT rank + {BASE_LEARNED}, l, r, new_id, cnt FROM documents_merges), "
+        f"{_vocab_ctes('both', BASE_LEARNED + LEARNED)} SELECT id, token, kind FROM both_vocab"
+    )
+    sql["encode_after_base"] = (
+        f"{after}, "
+        + _encoded_ctes("enc", "SELECT doc_id, text AS t FROM documents", "doc_id", "SELECT word, s FROM documents_final")
+        + f" SELECT doc_id, {_joined('list_concat([0], ids, [1])')} AS ids FROM enc"
+    )
+    sql["file_positions"] = "SELECT doc_id, row_number() OVER (ORDER BY doc_id DESC) - 1 AS position FROM documents"
+    sql["file_head"] = sql["head_fraction"].replace("ORDER BY doc_id)", "ORDER BY doc_id DESC)")
+    sql["file_chunks"] = sql["corpus_chunks"].replace("ORDER BY doc_id)", "ORDER BY doc_id DESC)")
+    sql["file_chunks_compat"] = sql["corpus_chunks_compat"].replace("ORDER BY doc_id)", "ORDER BY doc_id DESC)").replace(
+        "count(*) OVER () AS total", "round_even(count(*) OVER () * 0.5, 0)::BIGINT AS total"
+    )
+    sql["permuted_batches"] = (
+        f"WITH RECURSIVE {_permuted_ctes(EPOCHS)} SELECT doc_id, rank, rank // 32 AS micro_batch, rank // 256 AS step FROM permuted"
+    )
+    sql["step_rows"] = (
+        f"WITH RECURSIVE {_permuted_ctes(1)} SELECT doc_id, rank, rank // 32 AS micro_batch, rank // 256 AS step, "
+        f"(rank // 32 % 8 % 2)::INT AS process, input_ids, labels FROM ({_pretrain_sql(compat=False)}) JOIN permuted USING (doc_id) WHERE rank >= 256"
+    )
     size = FIRST_MERGE_ID + BASE_LEARNED + 3
     sql["vocab_merge_sized"] = f"SELECT * FROM ({sql['vocab_merge']}) WHERE id < {size}"
     letters = "abcdefghijklmnopqrstuvwxyz"

@@ -12,17 +12,21 @@ from tokenloom import plans, sinks, sources, streaming
 from tokenloom.constants import FIRST_MERGE_ID, MAX_SEQ_LEN, MIN_FREQUENCY, SPECIAL_TOKENS, VOCAB_SIZE
 from tokenloom.functions import bytelevel, chat, pretokens, sequences
 from tokenloom.functions.codec import Encoder, decode_ids
-from tokenloom.operators import batches, chat as chat_ops, columns, merges, ranking, training_rows, vocabulary, wordstats
+from tokenloom.operators import batches, chat as chat_ops, columns, merges, places, ranking, recovery, training_rows, vocabulary, wordstats
 from tokenloom.session import shared_path
+from tokenloom.sinks import steps
 
 # Merges learned where a query with SQL needs a trained tokenizer; the SQL has a table per merge.
 LEARNED = 24
 BASE_LEARNED = 12
+# Merges of the queries whose SQL learns in a recursion.
+HUNDREDS = 500
 LANGUAGES = ["de", "en", "es", "fr"]
 SAMPLE_ROWS = 100
 CHUNKS = 6
 SEGMENT_TURNS = 256
 MAX_STEPS = 2
+EPOCHS = 2
 # Bounds that make merge learning halve, grow and checkpoint on small tables.
 SMALL_PAIRS, SMALL_RUNS, SMALL_SYMBOLS = 16, 2000, 20_000
 
@@ -42,6 +46,7 @@ PUBLISHED = Sizes(
     VOCAB_SIZE - FIRST_MERGE_ID, VOCAB_SIZE - FIRST_MERGE_ID, MIN_FREQUENCY, VOCAB_SIZE,
     (SMALL_PAIRS, merges.MOST_RUNS // 10, merges.MOST_SYMBOLS // 10),
 )
+RECURSIVE = Sizes(HUNDREDS, BASE_LEARNED, 2, FIRST_MERGE_ID + BASE_LEARNED + 3, (SMALL_PAIRS, SMALL_RUNS, SMALL_SYMBOLS))
 # Letters that take the place of a to z.
 CYRILLIC = "абцдефгхийклмнопярстуввхыз"
 ARABIC = "ابتثجحخدذرزسشصضطظعغفقكلمنه"
@@ -69,6 +74,22 @@ def _encoder(spark: SparkSession, sf_dir: str, sizes: Sizes = CHECKED) -> Encode
     return Encoder(spark, _learned(spark, sf_dir, sizes))
 
 
+@lru_cache(maxsize=4)
+def _supplied(spark: SparkSession, sf_dir: str, sizes: Sizes = CHECKED) -> tuple[DataFrame, recovery.Base]:
+    """A vocabulary of which only tokens and ids are known, and what is recovered from them."""
+    made = vocabulary.vocab_table(spark, _learned(spark, sf_dir, sizes, base=True))
+    known = recovery.complete(vocabulary.vocab_from_map(made.select("token", "id")))
+    return known, recovery.base_of(known)
+
+
+@lru_cache(maxsize=4)
+def _learned_after(spark: SparkSession, sf_dir: str, sizes: Sizes = CHECKED) -> tuple[merges.Merge, ...]:
+    """Merges of the documents that come after those of the supplied vocabulary."""
+    base, words = _supplied(spark, sf_dir, sizes)[1], _words(documents(spark, sf_dir))
+    size = max(base.texts) + 1 + sizes.learned
+    return tuple(merges.learn_merges(words, size, sizes.min_frequency, base=base))
+
+
 # sources and sinks
 
 
@@ -94,8 +115,7 @@ def jsonl_roundtrip(spark, sf_dir):
 def chunk_roundtrip(spark, sf_dir):
     path = shared_path(spark, "chunks")
     sinks.write_chunks(_chunks(spark, sf_dir), path, CHUNKS)
-    lines = sources.read_lines(spark, path)
-    return lines.groupBy(F.col("chunk").cast("int").alias("chunk"), "line").agg(F.count(F.lit(1)).alias("n"))
+    return sources.read_chunks(spark, path).groupBy("chunk", "line").agg(F.count(F.lit(1)).alias("n"))
 
 
 def corpus_lines(spark, sf_dir):
@@ -103,16 +123,13 @@ def corpus_lines(spark, sf_dir):
 
 
 def chunk_rewrite(spark, sf_dir):
-    """One chunk lost after all were written, and a half-written one: both come back, the others stay."""
+    """Two chunks written anew, after a first writing with wrong texts there: the others stay, readers see the new set."""
     path = shared_path(spark, "chunks")
     chunks = _chunks(spark, sf_dir)
-    sinks.write_chunks(chunks.filter("chunk <> 1"), path, CHUNKS)
-    for chunk in (1, 4):
-        marker, files = sinks._file_system(spark, sinks._marker(path, chunk, CHUNKS, ""))
-        files.delete(marker, False)
-    written = sinks.write_chunks(chunks, path, CHUNKS)
-    lines = sources.read_lines(spark, path)
-    counted = lines.groupBy(F.col("chunk").cast("int").alias("chunk"), "line").agg(F.count(F.lit(1)).alias("n"))
+    wrong = F.when(F.col("chunk").isin(1, 4), F.lit("stale")).otherwise(F.col("text"))
+    sinks.write_chunks(chunks.withColumn("text", wrong), path, CHUNKS)
+    written = sinks.write_chunks(chunks, path, CHUNKS, rewrite=[1, 4])
+    counted = sources.read_chunks(spark, path).groupBy("chunk", "line").agg(F.count(F.lit(1)).alias("n"))
     return counted.withColumn("written", F.col("chunk").isin(written))
 
 
@@ -131,6 +148,48 @@ def settings(spark, sf_dir):
     return named.join(special_tokens(spark, sf_dir).select("content", "n"), "content")
 
 
+# order by place in the files
+
+
+def _lines_backwards(spark, sf_dir):
+    """All documents as JSON lines in several files whose order is that of descending ids."""
+    path = shared_path(spark, "lines")
+    ordered = documents(spark, sf_dir).repartitionByRange(CHUNKS, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    sinks.write_jsonl(ordered, path)
+    return sources.read_jsonl(spark, path, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def file_positions(spark, sf_dir):
+    return places.with_position(_lines_backwards(spark, sf_dir)).select("doc_id", "position")
+
+
+def file_head(spark, sf_dir):
+    return places.head_by_place(_lines_backwards(spark, sf_dir), 50).select("doc_id", "text")
+
+
+def file_chunks(spark, sf_dir):
+    return places.chunks_by_place(_lines_backwards(spark, sf_dir), CHUNKS).select("doc_id", "chunk")
+
+
+def file_chunks_compat(spark, sf_dir):
+    return places.chunks_by_place(_lines_backwards(spark, sf_dir), CHUNKS, compat=True, percent=50).select("doc_id", "chunk")
+
+
+def permuted_batches(spark, sf_dir):
+    """Two epochs of the documents, each in an order of its own that no sort makes."""
+    placed = batches.assign_batches_by_place(_lines_backwards(spark, sf_dir), epochs=EPOCHS)
+    return placed.select("doc_id", "rank", "micro_batch", "step")
+
+
+def step_rows(spark, sf_dir, sizes=CHECKED):
+    """Pretraining rows stored by step, and read back from the second step on by two processes."""
+    path = shared_path(spark, "steps")
+    encoder = _encoder(spark, sf_dir, sizes)
+    plans.build_step_rows(_lines_backwards(spark, sf_dir), "pretrain", encoder, path, keep=("doc_id",), steps_per_file=2)
+    read = [steps.read_steps(spark, f"{path}/rows", 1, process=p, processes=2).withColumn("process", F.lit(p)) for p in range(2)]
+    return _shown(read[0].unionByName(read[1]), "doc_id", "rank", "micro_batch", "step", "process")
+
+
 # projections
 
 
@@ -355,6 +414,33 @@ def vocab_merge_sized(spark, sf_dir, sizes=CHECKED):
     return vocabulary.extend_vocab(base, new, sizes.joint).drop("bytes")
 
 
+def vocab_recovered(spark, sf_dir, sizes=CHECKED):
+    """The pair that makes each token, from tokens and ids alone."""
+    return recovery.recover_merges(_supplied(spark, sf_dir, sizes)[0]).select("id", "token", "left", "right")
+
+
+def encode_base(spark, sf_dir, sizes=CHECKED):
+    """Ids of every document under the supplied vocabulary."""
+    ids = _supplied(spark, sf_dir, sizes)[1].encoder(spark).encode(F.col("text"))
+    return spread_documents(spark, sf_dir).select("doc_id", text_of(ids).alias("ids"))
+
+
+def bpe_merges_after_base(spark, sf_dir, sizes=CHECKED):
+    return merges.merges_table(spark, _learned_after(spark, sf_dir, sizes))
+
+
+def vocab_after_base(spark, sf_dir, sizes=CHECKED):
+    known, base = _supplied(spark, sf_dir, sizes)
+    return recovery.joint_vocab(known, base, _learned_after(spark, sf_dir, sizes)).drop("bytes")
+
+
+def encode_after_base(spark, sf_dir, sizes=CHECKED):
+    """Ids of every document under the supplied vocabulary and what was learned after it."""
+    base = _supplied(spark, sf_dir, sizes)[1]
+    ids = base.encoder(spark, _learned_after(spark, sf_dir, sizes)).encode(F.col("text"))
+    return spread_documents(spark, sf_dir).select("doc_id", text_of(ids).alias("ids"))
+
+
 def special_tokens(spark, sf_dir):
     """The reserved tokens and how often each occurs in the wrapped texts."""
     pieces = documents(spark, sf_dir).select(F.explode(pretokens.split_specials(columns.wrap_text(F.col("text")))).alias("content"))
@@ -557,8 +643,10 @@ QUERIES = {
         id_domain, training_batches, stream_pretrain, stream_instruct, chunk_rewrite, settings, sample_repeated_keys,
         sample_repeated_keys_unlisted, chunks_repeated_keys, split_repeated_keys, tokenizer_sample, training_batches_max_steps,
         bpe_merges_small_bounds, vocab_merge_sized, roundtrip_scripts, chat_turns, id_domain_small, stream_rejects,
+        vocab_recovered, encode_base, bpe_merges_after_base, vocab_after_base, encode_after_base, file_positions, file_head, file_chunks,
+        file_chunks_compat, permuted_batches, step_rows,
     )
-}
+} | {f"{f.__name__}_{HUNDREDS}": partial(f, sizes=RECURSIVE) for f in (bpe_merges, encode, pretrain_rows)}
 
 # The same at the published vocabulary size, as far as the table has pairs seen often enough. The SQL cannot follow so many
 # merges; tests compare these with a plain trainer.
@@ -568,5 +656,6 @@ PUBLISHED_QUERIES = {
         bpe_merges, bpe_merges_small_bounds, vocab, vocab_export, vocab_import, vocab_merge, vocab_merge_sized, encode, decode,
         roundtrip, roundtrip_scripts, chat_encode, pretrain_rows, pretrain_rows_compat, instruct_rows, instruct_rows_compat,
         supervised_tokens, id_domain, id_domain_small, training_batches, stream_pretrain, stream_instruct, stream_rejects,
+        vocab_recovered, encode_base, bpe_merges_after_base, vocab_after_base, encode_after_base, step_rows,
     )
 }

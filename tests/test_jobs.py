@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tests import plain
 from tests.test_ranking import seeded
 from tokenloom import plans, sinks, sources, streaming
 from tokenloom.constants import CHAT_TEMPLATE, SPECIAL_TOKENS
@@ -12,6 +13,7 @@ from tokenloom.functions.codec import Encoder
 from tokenloom.operators import merges as merges_module, ranking, training_rows, vocabulary, wordstats
 from tokenloom.operators.merges import Merge, learn_merges
 from tokenloom.session import shared_path
+from tokenloom.sinks import manifest
 
 MERGES = [Merge(70, 71, 261, 9), Merge(261, 72, 262, 8)]
 
@@ -47,19 +49,59 @@ def test_chunks_written_once(spark, tmp_path):
     df = spark.createDataFrame([(i, f"t{i}\nx\r") for i in range(10)], "id long, text string")
     chunked = ranking.corpus_chunks(df, 3, ranking.positional_order(df, "id"))
     path = f"{tmp_path}/c"
+    assert sources.read_chunks(spark, path).count() == 0
     assert sinks.write_chunks(chunked, path, 3) == [0, 1, 2]
-    assert sinks.write_chunks(chunked, path, 3) == []
-    rows = sources.read_lines(spark, path).collect()
+    assert sinks.write_chunks(chunked, path, 3) == [] and sinks.existing_chunks(spark, path, 3) == [0, 1, 2]
+    rows = sources.read_chunks(spark, path).collect()
     assert len(rows) == 20 and {r.line for r in rows} == {f"t{i}\n" for i in range(10)} | {"x\r\n"}
-    part = f"{tmp_path}/d"
-    sinks.write_chunks(chunked.filter("chunk = 1"), part, 3)
-    for i in (0, 2):
-        Path(part, "_complete", f"{i}-of-3-").unlink()
-    before = sorted(p.name for p in Path(part, "chunk=1").glob("part-*"))
-    assert sinks.existing_chunks(spark, part, 3) == [1]
-    assert sinks.write_chunks(chunked, part, 3) == [0, 2]
-    assert sorted(p.name for p in Path(part, "chunk=1").glob("part-*")) == before
-    assert sources.read_lines(spark, part).count() == 20
+    # two chunks anew, the third one stays where it is
+    assert sinks.write_chunks(chunked.withColumn("text", F.lit("new")), path, 3, rewrite=[0, 2]) == [0, 2]
+    lines = Counter((r.chunk, r.line) for r in sources.read_chunks(spark, path).collect())
+    assert lines == {(0, "new\n"): 4, (2, "new\n"): 3, (1, "t4\n"): 1, (1, "t5\n"): 1, (1, "t6\n"): 1, (1, "x\r\n"): 3}
+    sets = [p.name for p in Path(path).glob("set-*")]
+    assert len(sets) == 2 and manifest.remove_unused(spark, path) == []
+    sinks.write_chunks(chunked, path, 3, rewrite=[0, 1, 2])
+    assert manifest.remove_unused(spark, path) == sorted(sets) and sources.read_chunks(spark, path).count() == 20
+
+
+def test_a_killed_job_leaves_the_old_set_or_the_new_one(spark, tmp_path, monkeypatch):
+    """A failure before and after every step that touches files."""
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(12)], "id long, text string")
+    chunked = ranking.corpus_chunks(df, 3, ranking.positional_order(df, "id"))
+    new = chunked.withColumn("text", F.concat(F.lit("new "), "text"))
+    path = f"{tmp_path}/c"
+    sinks.write_chunks(chunked, path, 3)
+    old = {f"t{i}\n" for i in range(12)}
+
+    class Killed(BaseException):
+        pass
+
+    for name in ("new_folder", "commit", "_publish"):
+        for late in (False, True):
+            real = getattr(manifest, name)
+
+            def kill(*args, real=real, late=late):
+                if late:
+                    real(*args)
+                raise Killed
+
+            with monkeypatch.context() as patch:
+                patch.setattr(manifest, name, kill)
+                with pytest.raises(Killed):
+                    sinks.write_chunks(new, path, 3, rewrite=[0, 1, 2])
+            lines = {r.line for r in sources.read_chunks(spark, path).collect()}
+            published = late and name in ("commit", "_publish")
+            assert lines == ({f"new {x}" for x in old} if published else old)
+            sinks.write_chunks(chunked, path, 3, rewrite=[0, 1, 2])
+    # torn files of a dead job and a half-written version are not seen
+    Path(path, "set-dead", "chunk=0").mkdir(parents=True)
+    Path(path, "set-dead", "chunk=0", "part-half.txt").write_text("torn")
+    Path(path, "_versions", ".half").write_text("{")
+    assert {r.line for r in sources.read_chunks(spark, path).collect()} == old
+    version, content = manifest.current(spark, path)
+    with pytest.raises(manifest.Conflict):
+        manifest.commit(spark, path, version, content)
+    assert manifest.current(spark, path) == (version, content)
 
 
 def test_vocabulary_files(spark, tmp_path):
@@ -136,6 +178,53 @@ def test_stream_sets_rejects_apart(spark, tmp_path):
     assert {r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {i for i in range(20) if i % 4}
 
 
+@pytest.mark.parametrize("broken_at", [0, 1, 2, 3, 4])
+def test_two_outputs_of_one_read_survive_a_restart(spark, tmp_path, monkeypatch, broken_at):
+    """A failure before each write of either output: after a restart both are whole, and every line was read once per try."""
+    (tmp_path / "in").mkdir()
+    for n in range(3):
+        lines = [json.dumps({"id": i, "text": None if i % 4 == 0 else f"t{i}"}) for i in range(n * 10, n * 10 + 10)]
+        (tmp_path / "in" / f"part-{n}.json").write_text("\n".join([*lines, "{torn"]) + "\n")
+    encoder, real, calls = Encoder(spark, MERGES), streaming.write_batch, []
+
+    def failing(rows, out, number):
+        calls.append(number)
+        if len(calls) == broken_at:
+            real(rows.limit(1), out, number)  # half of a write that died
+            raise RuntimeError("lost")
+        real(rows, out, number)
+
+    def run():
+        return streaming.stream_pretrain(
+            spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/progress", encoder, 8, keep_schema="id long", keep=("id",),
+            files_per_trigger=1, rejects=f"{tmp_path}/bad",
+        )
+
+    monkeypatch.setattr(streaming, "write_batch", failing)
+    if broken_at:
+        with pytest.raises(Exception, match="lost"):
+            run()
+    query = run()
+    out = spark.read.parquet(f"{tmp_path}/out").collect()
+    bad = spark.read.parquet(f"{tmp_path}/bad").collect()
+    assert sorted(r.id for r in out) == [i for i in range(30) if i % 4] and {r.batch for r in out} == {0, 1, 2}
+    assert Counter(r.reject_reason for r in bad) == {"no_text": 8, "broken_line": 3}
+    if not broken_at:
+        assert sum(p.numInputRows for p in query.recentProgress) == 33
+    run()  # nothing is new
+    assert spark.read.parquet(f"{tmp_path}/out").count() == len(out) and len(calls) == 6 + (broken_at > 0) * (2 - broken_at % 2)
+
+
+def test_rows_are_counted_while_rejects_are_written(spark, tmp_path):
+    """The job reads its rows for the rejects, for the order and for the rows themselves, and not again to count them."""
+    rows = spark.range(40).selectExpr("id", "if(id % 10 = 0, null, concat('text ', id)) as text")
+    rows.write.parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+    good, usable = plans._write_rejects(stored, "pretrain", f"{tmp_path}/rejects")
+    assert usable == good.count() == 36 and spark.read.parquet(f"{tmp_path}/rejects").count() == 4
+    assert plans._write_rejects(stored.limit(0), "pretrain", f"{tmp_path}/none")[1] == 0
+
+
 def test_corpus_job(spark, docs, tmp_path):
     rows = docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("subset"))
     report = plans.build_corpus(rows, f"{tmp_path}/c", ["en", "fr", "es"], size=60)
@@ -185,22 +274,25 @@ def test_tokenizer_job(spark, docs, tmp_path, compat):
 
 
 def test_tokenizer_job_extends_a_vocabulary(spark, docs, tmp_path):
-    base = Merge(70, 71, 261, 9), Merge(261, 261, 262, 8), Merge(262, 262, 263, 7)
+    """The merges of the supplied vocabulary come first, what is learned goes on from them."""
+    base = Merge(77, 70, 261, 9), Merge(261, 261, 262, 8), Merge(262, 262, 263, 7), Merge(225, 88, 264, 6)
     sinks.write_vocab_json(vocabulary.vocab_table(spark, base), f"{tmp_path}/base")
-    out = f"{tmp_path}/tok"
-    learned = plans.train_tokenizer(
-        plans.tokenizer_corpus(docs, "doc_id"), out, vocab_size=280, base=sources.read_vocab_json(spark, f"{tmp_path}/base")
-    )
-    rows = {r.id: r.token for r in spark.read.parquet(f"{out}/vocab").collect()}
+    out, corpus = f"{tmp_path}/tok", plans.tokenizer_corpus(docs, "doc_id")
+    learned = plans.train_tokenizer(corpus, out, vocab_size=280, base=sources.read_vocab_json(spark, f"{tmp_path}/base"))
+    words = Counter()
+    for r in corpus.select("text").collect():
+        words.update(w for line in r.text.split("\n") for w in plain.pretokens(line + "\n"))
     tokens = vocabulary.token_texts(base)
-    new = [t for t in vocabulary.token_texts(learned) if t not in tokens]
-    assert [rows[i] for i in range(len(rows))] == (tokens + new)[:280]
-    encoder = plans.load_encoder(spark, out)
-    kept = [m for m in learned if vocabulary.token_texts(learned)[m.new_id] in rows.values()]
-    assert 0 < len(kept) < len(learned)
-    shown = docs.limit(30).select(encoder.encode(F.col("text")).alias("a"), Encoder(spark, kept).encode(F.col("text")).alias("b"))
-    for r in shown.collect():
-        assert [rows[i] for i in r.a] == [vocabulary.token_texts(learned)[i] for i in r.b]
+    assert learned == plain.train(words, 280, 5, dict(enumerate(tokens)), base) and len(learned) == 15
+    rows = {r.id: r.token for r in spark.read.parquet(f"{out}/vocab").collect()}
+    assert [rows[i] for i in range(265)] == tokens and max(rows) == 279 and len(rows) == 280
+    merged = [*base, *learned]
+    texts = [r.text for r in docs.limit(20).select("text").collect()]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for r in frame.select("i", plans.load_encoder(spark, out).encode(F.col("t"), template=False).alias("ids")).collect():
+        assert r.ids == [i for w in plain.pretokens(texts[r.i]) for i in plain.encode_word(w, merged)]
+    used = {i for r in frame.select(plans.load_encoder(spark, out).encode(F.col("t")).alias("ids")).collect() for i in r.ids}
+    assert 264 in used and used & set(range(265, 280))
 
 
 def test_hash_split_on_a_stream(spark, tmp_path):
@@ -272,25 +364,25 @@ def test_broken_configuration_is_an_error(spark, tmp_path):
         sources.read_config(spark, str(tmp_path), sources.ALPACA_SCHEMA, "chat").collect()
 
 
-def test_half_written_and_stale_chunks(spark, tmp_path):
+def test_sets_with_another_number_of_chunks(spark, tmp_path):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(16)], "id long, text string")
     path = f"{tmp_path}/c"
-    Path(path, "chunk=0").mkdir(parents=True)
-    Path(path, "chunk=1").mkdir()
-    Path(path, "chunk=1", "part-half.txt").write_text("torn")
     eight = ranking.corpus_chunks(df, 8, ranking.positional_order(df, "id"))
     assert sinks.write_chunks(eight, path, 8) == list(range(8))
-    assert sorted(r.line for r in sources.read_lines(spark, path).collect()) == sorted(f"t{i}\n" for i in range(16))
+    assert sorted(r.line for r in sources.read_chunks(spark, path).collect()) == sorted(f"t{i}\n" for i in range(16))
     other = df.withColumn("text", F.concat(F.lit("new "), "text"))
     two = ranking.corpus_chunks(other, 2, ranking.positional_order(other, "id"))
     assert sinks.write_chunks(two, path, 2) == [0, 1]
-    lines = [r.line for r in sources.read_lines(spark, path).filter("chunk < 2").collect()]
-    assert sorted(lines) == sorted(f"new t{i}\n" for i in range(16))
+    assert sorted(r.line for r in sources.read_chunks(spark, path).collect()) == sorted(f"new t{i}\n" for i in range(16))
     assert sinks.existing_chunks(spark, path, 8) == [] and sinks.existing_chunks(spark, path, 2, "seed5") == []
+    # more chunks than rows: some have no files
+    few = ranking.corpus_chunks(df.limit(2), 5, ranking.positional_order(df.limit(2), "id"))
+    assert sinks.write_chunks(few, path, 5, tag="few") == list(range(5)) and sources.read_chunks(spark, path).count() == 2
 
 
 def test_joint_vocabulary_ends_at_its_size(spark, docs, tmp_path):
+    """Reserved tokens and bytes are added to a base that lacks them, then what is learned, up to the size."""
     base = spark.createDataFrame([(f"own{i}", 300 + i) for i in range(5)], "token string, id int")
-    plans.train_tokenizer(plans.tokenizer_corpus(docs, "doc_id"), f"{tmp_path}/t", vocab_size=320, min_frequency=5, base=base)
+    learned = plans.train_tokenizer(plans.tokenizer_corpus(docs, "doc_id"), f"{tmp_path}/t", vocab_size=580, min_frequency=5, base=base)
     ids = [r.id for r in spark.read.parquet(f"{tmp_path}/t/vocab").collect()]
-    assert max(ids) == 319 and len(ids) == 20
+    assert sorted(ids) == list(range(300, 580)) and [m.new_id for m in learned] == list(range(566, 580))

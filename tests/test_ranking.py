@@ -118,35 +118,37 @@ def test_salted_join_is_used_beyond_the_bound(spark, monkeypatch):
     assert "_salt" in frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def payload_scans(frame, column="text"):
+    """Scans of the payload in the plan as it is first made, before anything is adapted to what runs."""
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and column in line]
+    return sum(column in line for line in plan.splitlines() if "ReadSchema" in line)
+
+
 def test_payload_is_not_shuffled(spark):
-    """Only key columns cross an exchange: the text is read by the last scan alone."""
-    path = "/root/testdata/sf0.01/documents.parquet"
-    frame = ranking.sample_per_subset(spark.read.parquet(path), 5, "lang", "doc_id", subsets=["en", "fr"])
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert sum("text" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
-
-
-def job_ids(spark, action):
-    group = f"planning-{id(action)}"
-    spark.sparkContext.setJobGroup(group, group)
-    try:
-        action()
-        return list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
-    finally:
-        spark.sparkContext.setJobGroup("rest", "rest")
-
-
-def test_building_a_frame_starts_no_job(spark):
-    df = spark.range(100).selectExpr("id as doc_id", "cast(id % 3 as string) as subset")
-    assert job_ids(spark, df.count)
-    for build in (
-        lambda: ranking.sample_per_subset(df, 5, "subset", "doc_id"),
-        lambda: ranking.head_fraction(df, 50, ranking.positional_order(df, "doc_id")),
-        lambda: ranking.corpus_chunks(df, 3, ranking.positional_order(df, "doc_id")),
-        lambda: ranking.split_exact(df, 0.1, "doc_id"),
-    ):
-        assert not job_ids(spark, build)
+    """Only key columns cross an exchange, and the text is read by one scan, whatever is adapted at run time."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    place = ranking.positional_order(docs, "doc_id")
+    frames = [
+        ranking.sample_per_subset(docs, 5, "lang", "doc_id", subsets=["en", "fr"]), ranking.sample_per_subset(docs, 5, "source", "doc_id"),
+        ranking.split_exact(docs, 0.05, "doc_id"), ranking.split_exact(docs, 0.05, "doc_id", by="lang"), ranking.head_fraction(docs, 50, place),
+        ranking.corpus_chunks(docs, 6, place), ranking.corpus_chunks(docs, 6, ranking.seeded_order("doc_id"), compat=True, percent=50),
+    ]
+    for frame in frames:
+        assert payload_scans(frame) == 1
+        frame.collect()
+        assert payload_scans(frame) == 1
+
+
+def test_cuts_are_found_once(spark, monkeypatch):
+    """Building a frame finds its cuts; running it twice looks for none again."""
+    calls = []
+    real = ranking.cut_keys
+    monkeypatch.setattr(ranking, "cut_keys", lambda *args, **more: calls.append(1) or real(*args, **more))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    frame = ranking.split_exact(docs, 0.1, "doc_id", by="lang", subsets=["en", "de"])
+    assert frame.count() == frame.count() and len(calls) == 1
+    assert "percentile" not in ranking.corpus_chunks(docs, 3, ranking.positional_order(docs, "doc_id"))._jdf.queryExecution().toString()
 
 
 def test_six_subsets_that_share_ids(spark):

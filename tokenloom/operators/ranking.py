@@ -9,8 +9,10 @@ A seeded order uses ``md5(seed ':' key)``, so buckets are even whatever the data
 md5 gives the same order. A positional order uses a numeric column and quantile buckets.
 
 Keys may repeat. The keys of a bucket are counted, so a cut is a key and the number of its copies that come before the
-position. If that number is not 0, the copies of that one key are numbered by a hash of the whole row; those rows are found
-by a join with the cut keys, which reads nothing when no cut falls inside copies.
+position. Only if that number is not 0 for some cut, the copies of that key are found by a join with the cut keys and numbered by
+a hash of the whole row.
+
+Cuts are found when a frame is built, by jobs over the key columns, and kept: whatever is done with the frame then reads the payload once.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tokenloom.constants import SEED
+from tokenloom.session import shared_path
 
-# A list of subsets may have this many entries for its cuts to be broadcast; other cuts are joined by subset and salt.
+# Cuts of so many subsets may be broadcast; more are joined by subset and salt.
 BROADCAST_ROWS = 10_000
 
 # Rows of a subset are spread over so many salts; its cuts are copied for those salts that occur.
@@ -85,7 +88,7 @@ def seeded_order(
 def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
     """Order of a numeric column over quantile buckets.
 
-    The quantiles are a scalar subquery: an estimate only affects how even the buckets are, the counts taken over them are
+    The quantiles are an estimate, found here by a job, and only affect how even the buckets are; the counts taken over them are
     exact. They are taken in two levels, so that no single task merges the summaries of all input splits.
     """
     kind = df.schema[key].dataType
@@ -94,8 +97,9 @@ def positional_order(df: DataFrame, key: str, buckets: int = 1024) -> Order:
     steps = [i / buckets for i in range(1, buckets)]
     groups = df.groupBy((F.spark_partition_id() % 256).alias("g")).agg(F.percentile_approx(key, steps, 1000).alias("q"))
     values = groups.select(F.explode("q").alias("v"))
-    found = F.array_sort(F.array_distinct(F.percentile_approx("v", steps)))
-    bounds = F.coalesce(values.agg(found.alias("q")).scalar(), F.array().cast(T.ArrayType(kind)))
+    # at most one number per bucket
+    found = values.agg(F.array_sort(F.array_distinct(F.percentile_approx("v", steps))).alias("q")).first().q
+    bounds = F.array(*[F.lit(v) for v in found or []]).cast(T.ArrayType(kind))
     # two short searches instead of one long one
     whole = F.size(F.filter(F.filter(BOUNDS, lambda b, i: (i % 32) == 31), lambda b: b <= F.col(key))) * 32
     fine = F.size(F.filter(F.slice(BOUNDS, whole + 1, 32), lambda b: b <= F.col(key)))
@@ -179,32 +183,45 @@ def _numbered(tied: DataFrame, columns: Sequence[str], by: str | None) -> DataFr
 def _with_cuts(df: DataFrame, order: Order, positions: Positions, by: str | None = None, subsets: Sequence | None = None) -> DataFrame:
     """Rows with ``_total``, the cuts, ``_key`` and ``_number`` (of a copy whose key is a cut, else null).
 
-    Payload is not moved, unless the subsets are not listed and too many for Spark to broadcast their cuts.
+    Payload is read once and not moved, unless there are more subsets than cuts may be broadcast, or a cut lies inside copies.
     """
     columns = df.columns
     keyed = df.withColumn("_key", order.key)
     if by is None:
         cuts = cut_keys(df, order, positions).drop("_salts")
-        # one row, read once as a scalar
-        found = cuts.select(F.struct(*cuts.columns)).scalar()
-        marked = keyed.withColumn("_found", found)
+        cuts = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+        # one row, a constant of the plan
+        marked = keyed.withColumn("_found", cuts.select(F.struct("*")).scalar())
         rows = marked.select(*[F.col(f"`{c}`") for c in columns], "_key", *[F.col("_found")[c].alias(c) for c in cuts.columns])
-        tied = _tied_rows(keyed, cuts, None)
-    elif subsets is not None and len(subsets) <= BROADCAST_ROWS:
-        cuts = cut_keys(df, order, positions, by).drop("_salts").withColumnRenamed(by, "_group")
-        rows = keyed.join(F.broadcast(cuts), F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
-        tied = _tied_rows(keyed, cuts, by)
+        spread = False
     else:
-        # a hot subset is spread over salts; its cuts are there once for each salt that occurs
-        cuts = cut_keys(df, order, positions, by, bounded=False).withColumnRenamed(by, "_group")
-        asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(_salts, b) = 1)"))
-        salted = cuts.withColumn("_salt", asked).drop("_salts")
-        on = F.col(by).eqNullSafe(F.col("_group")) & (F.col("_spread") == F.col("_salt"))
-        rows = keyed.withColumn("_spread", _salt(order)).join(salted, on, "left").drop("_group", "_salt", "_spread")
-        cuts, tied = cuts.drop("_salts"), rows.filter(_inside_copies(cuts))
-    numbered = _numbered(tied, columns, by)
+        cuts = cut_keys(df, order, positions, by, bounded=subsets is not None and len(subsets) <= BROADCAST_ROWS)
+        cuts = _written(cuts.withColumnRenamed(by, "_group"))
+        spread = cuts.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS
+        if spread:
+            # a hot subset is spread over salts; its cuts are there once for each salt that occurs
+            asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(_salts, b) = 1)"))
+            salted = cuts.withColumn("_salt", asked).drop("_salts")
+            on = F.col(by).eqNullSafe(F.col("_group")) & (F.col("_spread") == F.col("_salt"))
+            rows = keyed.withColumn("_spread", _salt(order)).join(salted, on, "left").drop("_group", "_salt", "_spread")
+        else:
+            rows = keyed.join(F.broadcast(cuts.drop("_salts")), F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
+        cuts = cuts.drop("_salts")
+    inside = F.lit(False)
+    for c in cuts.columns:
+        inside = inside | (F.coalesce(F.col(c), F.lit(0)) > 0) if c.startswith("_copies") else inside
+    if cuts.filter(inside).isEmpty():
+        return rows.withColumn("_number", F.lit(None).cast("long"))
+    tied = rows.filter(_inside_copies(cuts)) if spread else _tied_rows(keyed, cuts, by)
     main = rows.filter(~_inside_copies(cuts)).withColumn("_number", F.lit(None).cast("long"))
-    return main.unionByName(numbered)
+    return main.unionByName(_numbered(tied, columns, by))
+
+
+def _written(cuts: DataFrame) -> DataFrame:
+    """The cut table, written once below the shared folder: a narrow row per subset."""
+    path = shared_path(cuts.sparkSession, "cuts")
+    cuts.write.parquet(path)
+    return cuts.sparkSession.read.schema(cuts.schema).parquet(path)
 
 
 def _tied_rows(keyed: DataFrame, cuts: DataFrame, by: str | None) -> DataFrame:
@@ -263,14 +280,20 @@ def split_hash(df: DataFrame, fraction: float, key: str | Sequence[str], seed: i
     return df.withColumn("part", F.when(head < limit, "test").otherwise("train"))
 
 
-def _head(total: Column, percent: float) -> Column:
+def head_rows(total: Column, percent: float) -> Column:
     """``percent`` of the total, rounded half to even."""
     return F.bround(F.lit(Decimal(str(percent)) / 100) * total).cast("long")
 
 
+def chunk_starts(total: Column, chunks: int, percent: float = 100) -> list[Column]:
+    """Position after the first ``percent``, then the first positions of all chunks but the first."""
+    n = head_rows(total, percent)
+    return [n] + [F.floor(n / chunks) * i + F.least(F.lit(i), n % chunks) for i in range(1, chunks)]
+
+
 def head_fraction(df: DataFrame, percent: float, order: Order) -> DataFrame:
     """First ``percent`` of the rows in an order, rounded half to even."""
-    cut = _with_cuts(df, order, lambda total: [_head(total, percent)])
+    cut = _with_cuts(df, order, lambda total: [head_rows(total, percent)])
     return cut.filter(_before(order, 0)).select(*df.columns)
 
 
@@ -282,19 +305,15 @@ def corpus_chunks(df: DataFrame, chunks: int, order: Order, compat: bool = False
     if compat:
         # rows before cut 0 are in every chunk, the row at cut 0 in the longer ones
         def ends(total: Column) -> list[Column]:
-            whole = F.floor(_head(total, percent) / chunks)
+            whole = F.floor(head_rows(total, percent) / chunks)
             return [whole, whole + 1]
 
-        rest = (_head(F.col("_total"), percent) % chunks).cast("int")
+        rest = (head_rows(F.col("_total"), percent) % chunks).cast("int")
         upto = F.when(_before(order, 0), chunks - 1).when(_before(order, 1), rest - 1).otherwise(-1)
         kept = _with_cuts(df, order, ends).withColumn("_upto", upto).filter("_upto >= 0")
         return kept.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_upto")))).select(*df.columns, "chunk")
 
-    def starts(total: Column) -> list[Column]:
-        n = _head(total, percent)
-        return [n] + [F.floor(n / chunks) * i + F.least(F.lit(i), n % chunks) for i in range(1, chunks)]
-
-    cut = _with_cuts(df, order, starts).filter(_before(order, 0))
+    cut = _with_cuts(df, order, lambda total: chunk_starts(total, chunks, percent)).filter(_before(order, 0))
     passed = [F.when(_before(order, i), 0).otherwise(1) for i in range(1, chunks)]
     return cut.withColumn("chunk", sum(passed, F.lit(0))).select(*df.columns, "chunk")
 

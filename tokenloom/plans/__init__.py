@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tokenloom import sinks, sources
 from tokenloom.constants import (
@@ -12,8 +12,9 @@ from tokenloom.constants import (
     TOKENIZER_FRACTION, VALIDATION_FRACTION, VOCAB_SIZE,
 )
 from tokenloom.functions.codec import Encoder
-from tokenloom.operators import columns, merges, ranking, training_rows, vocabulary, wordstats
-from tokenloom.operators.batches import assign_batches
+from tokenloom.operators import columns, merges, places, ranking, recovery, training_rows, vocabulary, wordstats
+from tokenloom.operators.batches import assign_batches, assign_batches_by_place
+from tokenloom.sinks import steps
 
 
 def build_corpus(
@@ -53,11 +54,16 @@ def build_instruct(
 
 
 def tokenizer_corpus(
-    rows: DataFrame, key: str | Sequence[str], seed: int = SEED, percent: float = HEAD_PERCENT,
+    rows: DataFrame, key: str | Sequence[str] | None, seed: int = SEED, percent: float = HEAD_PERCENT,
     chunks: int = CORPUS_CHUNKS, title: str | None = None, compat: bool = False,
 ) -> DataFrame:
-    """First ``percent`` of the shuffled rows, cut into chunks, with columns ``text`` and ``chunk``."""
+    """First ``percent`` of the shuffled rows, cut into chunks, with columns ``text`` and ``chunk``.
+
+    Without a ``key`` the rows come straight from files and are taken in the order they have there.
+    """
     text: Column = F.col("text") if title is None else columns.title_text(F.col(title), F.col("text"))
+    if key is None:
+        return places.chunks_by_place(rows, chunks, compat, percent).withColumn("text", text)
     order = ranking.seeded_order(key, seed)
     return ranking.corpus_chunks(rows, chunks, order, compat, percent).withColumn("text", text)
 
@@ -84,17 +90,22 @@ def train_tokenizer(
 ) -> list[merges.Merge]:
     """Write the chunk files, learn merges from them and save vocabulary, merges and settings below ``out``.
 
-    With a ``base`` vocabulary (rows ``token, id``) its ids are kept and the learned tokens that it lacks come after it,
-    up to ``vocab_size`` tokens in all. Only chunks of this call are read.
+    With a ``base`` vocabulary (rows ``token, id``) training goes on from it: its ids are kept, its merges are recovered
+    and come first, and the merges learned after them, which are returned, add tokens with ids below ``vocab_size``. Only
+    chunks of this call are read.
     """
     spark = corpus.sparkSession
     sinks.write_chunks(corpus, f"{out}/corpus", chunks)
-    words = wordstats.word_counts(sources.read_lines(spark, f"{out}/corpus").filter(F.col("chunk") < chunks))
-    learned = merges.learn_merges(wordstats.symbol_words(words), vocab_size, min_frequency)
-    vocab, merge_list = vocabulary.vocab_table(spark, learned), merges.merges_table(spark, learned)
-    if base is not None:
-        joint = vocabulary.extend_vocab(vocabulary.vocab_from_map(base), vocab, vocab_size)
-        vocab, merge_list = joint, vocabulary.relabel_merges(merge_list, vocab, joint)
+    words = wordstats.word_counts(sources.read_chunks(spark, f"{out}/corpus"))
+    symbols = wordstats.symbol_words(words)
+    if base is None:
+        learned = merges.learn_merges(symbols, vocab_size, min_frequency)
+        vocab, merge_list = vocabulary.vocab_table(spark, learned), merges.merges_table(spark, learned)
+    else:
+        known = recovery.complete(vocabulary.vocab_from_map(base))
+        start = recovery.base_of(known)
+        learned = merges.learn_merges(symbols, vocab_size, min_frequency, base=start)
+        vocab, merge_list = recovery.joint_vocab(known, start, learned), merges.merges_table(spark, [*start.merges, *learned])
     sinks.write_table(vocab, f"{out}/vocab", "overwrite")
     sinks.write_table(merge_list, f"{out}/merges", "overwrite")
     sinks.write_vocab_json(vocab, f"{out}/vocab-json", "overwrite")
@@ -108,6 +119,49 @@ def load_encoder(spark: SparkSession, path: str) -> Encoder:
     return Encoder.from_tables(spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/merges"))
 
 
+def _reject(kind: str) -> Column:
+    if kind == "pretrain":
+        return columns.pretrain_reject(F.col("text"))
+    if kind == "instruct":
+        return columns.instruct_reject(F.col("instruct"), F.col("input"), F.col("output"))
+    raise ValueError(f"unknown kind: {kind}")
+
+
+def _write_rejects(rows: DataFrame, kind: str, path: str) -> tuple[DataFrame, int]:
+    """Write the unusable rows; the usable ones, and their number, which the same pass over the rows counts."""
+    reason, seen = _reject(kind), Observation()
+    counted = rows.observe(seen, F.count(F.when(reason.isNull(), 1)).alias("usable"))
+    sinks.write_table(columns.split_rejects(counted, reason)[1], path)
+    return columns.split_rejects(rows, reason)[0], seen.get["usable"]
+
+
+def _training_rows(
+    kind: str, rows: DataFrame, encoder: Encoder, length: int, compat: bool, label_pad: int | None, keep: Sequence[str]
+) -> DataFrame:
+    if kind == "pretrain":
+        return training_rows.pretrain_rows(rows, encoder, length, compat=compat, keep=keep)
+    return training_rows.instruct_rows(rows, encoder, length, compat, label_pad, keep)
+
+
+def build_step_rows(
+    rows: DataFrame, kind: str, encoder: Encoder, out: str, length: int = MAX_SEQ_LEN, seed: int = SEED, batch_rows: int = BATCH_ROWS,
+    accumulation: int = ACCUMULATION, max_steps: int | None = None, epochs: int = 1, compat: bool = False, label_pad: int | None = None,
+    keep: Sequence[str] = (), steps_per_file: int = steps.STEPS_PER_FILE,
+) -> int:
+    """Usable rows of files as token rows addressed by step below ``out/rows``, unusable ones below ``out/rejects``; returns the number of steps.
+
+    ``rows`` come straight from files and need no key: a row's rank is a permutation of its place there, with an order of its own
+    for each of the ``epochs``. Only the encoded rows move, once, to the file of their step; ``steps.read_steps`` reads them.
+    """
+    good, usable = _write_rejects(rows, kind, f"{out}/rejects")
+    placed = assign_batches_by_place(good, seed, batch_rows, accumulation, max_steps, epochs, usable)
+    total = usable * epochs
+    if max_steps is not None:
+        total = min(total, max_steps * batch_rows * accumulation)
+    made = _training_rows(kind, placed, encoder, length, compat, label_pad, (*keep, "rank"))
+    return steps.write_steps(sinks.as_int64(made), f"{out}/rows", total, batch_rows, accumulation, steps_per_file)
+
+
 def build_training_rows(
     rows: DataFrame, kind: str, encoder: Encoder, out: str, key: str | Sequence[str], length: int = MAX_SEQ_LEN,
     seed: int = SEED, batch_rows: int = BATCH_ROWS, accumulation: int = ACCUMULATION, max_steps: int | None = None,
@@ -120,18 +174,8 @@ def build_training_rows(
     are never encoded and the exchange carries text instead of padded sequences.
     """
     keep = (*([key] if isinstance(key, str) else key), "rank", "micro_batch", "step")
-    if kind == "pretrain":
-        reason = columns.pretrain_reject(F.col("text"))
-    elif kind == "instruct":
-        reason = columns.instruct_reject(F.col("instruct"), F.col("input"), F.col("output"))
-    else:
-        raise ValueError(f"unknown kind: {kind}")
-    good, bad = columns.split_rejects(rows, reason)
-    sinks.write_table(bad, f"{out}/rejects")
+    good, usable = _write_rejects(rows, kind, f"{out}/rejects")
     placed = assign_batches(good, key, seed, batch_rows, accumulation, max_steps)
-    if kind == "pretrain":
-        made = training_rows.pretrain_rows(placed, encoder, length, compat=compat, keep=keep)
-    else:
-        made = training_rows.instruct_rows(placed, encoder, length, compat, label_pad, keep)
+    made = _training_rows(kind, placed, encoder, length, compat, label_pad, keep)
     sinks.write_table(sinks.as_int64(made), f"{out}/rows")
-    return 0 if max_steps is None else max(good.count() - max_steps * batch_rows * accumulation, 0)
+    return 0 if max_steps is None else max(usable - max_steps * batch_rows * accumulation, 0)

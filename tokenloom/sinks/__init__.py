@@ -3,63 +3,49 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.constants import BOS, CHAT_TEMPLATE, EOS, SPECIAL_TOKENS
+from tokenloom.sinks import manifest
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop path and its file system."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def _marker(path: str, chunk: int, chunks: int, tag: str) -> str:
-    # readers skip names that begin with an underscore
-    return f"{path.rstrip('/')}/_complete/{chunk}-of-{chunks}-{tag}"
+def _chunk_set(spark: SparkSession, path: str, chunks: int, tag: str) -> tuple[int, dict[str, str]]:
+    """Newest version, and the folder of each chunk in it that was written with this number of chunks and ``tag``."""
+    version, content = manifest.current(spark, path)
+    same = content.get("chunks") == chunks and content.get("tag") == tag
+    return version, content["folders"] if same else {}
 
 
 def existing_chunks(spark: SparkSession, path: str, chunks: int, tag: str = "") -> list[int]:
     """Chunk numbers that an earlier call with the same number of chunks and ``tag`` wrote completely."""
-    found = []
-    for i in range(chunks):
-        marker, files = _file_system(spark, _marker(path, i, chunks, tag))
-        if files.exists(marker):
-            found.append(i)
-    return found
+    return sorted(int(i) for i in _chunk_set(spark, path, chunks, tag)[1])
 
 
 def write_chunks(
-    df: DataFrame, path: str, chunks: int, text: str = "text", chunk: str = "chunk", tag: str = ""
+    df: DataFrame, path: str, chunks: int, text: str = "text", chunk: str = "chunk", tag: str = "", rewrite: Sequence[int] = ()
 ) -> list[int]:
-    """Text files per chunk, one document and a line break each; chunks completed earlier stay as they are.
+    """Text files per chunk, one document and a line break each; chunks completed earlier stay as they are, except ``rewrite``.
 
-    One pass writes all missing chunks. A marker per chunk is set once the job has committed; a folder without one, left by
-    a call that failed or that had another number of chunks or ``tag`` (such as the seed of the order), is replaced. Returns the
-    numbers written.
+    One pass writes all missing chunks into a folder of their own. The set of chunks then changes at once, by a new manifest that
+    readers follow: until it is there they read what was there before, also if this call fails or is killed. A set with another
+    number of chunks or ``tag`` (such as the seed of the order) is replaced whole. Returns the numbers written. Folders that
+    no set names any more stay until ``manifest.remove_unused`` is called.
     """
     spark = df.sparkSession
-    present = existing_chunks(spark, path, chunks, tag)
-    missing = [i for i in range(chunks) if i not in present]
-    if not present:
-        # markers of other runs do not hold for what follows
-        folder, files = _file_system(spark, f"{path.rstrip('/')}/_complete")
-        files.delete(folder, True)
-    for i in missing:
-        folder, files = _file_system(spark, f"{path.rstrip('/')}/chunk={i}")
-        files.delete(folder, True)
+    version, folders = _chunk_set(spark, path, chunks, tag)
+    missing = [i for i in range(chunks) if str(i) not in folders or i in rewrite]
     if missing:
+        folder = manifest.new_folder()
         rows = df.filter(F.col(chunk).isin(missing)).select(F.col(chunk).alias("chunk"), F.col(text).alias("value"))
-        rows.write.mode("append").partitionBy("chunk").option("lineSep", "\n").text(path)
-    for i in missing:
-        marker, files = _file_system(spark, _marker(path, i, chunks, tag))
-        files.create(marker, True).close()
+        rows.write.partitionBy("chunk").option("lineSep", "\n").text(f"{path.rstrip('/')}/{folder}")
+        manifest.commit(spark, path, version + 1, {"chunks": chunks, "tag": tag, "folders": {**folders, **{str(i): folder for i in missing}}})
     return missing
 
 

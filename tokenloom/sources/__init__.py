@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tokenloom.sinks import manifest
+
 WIKI_SCHEMA = "id string, url string, title string, text string"
 PRETRAIN_SCHEMA = "text string"
 INSTRUCT_SCHEMA = "instruct string, input string, output string"
@@ -72,6 +74,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return files.withColumn("line", F.concat("value", F.lit("\n"))).drop("value")
 
 
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``line, chunk`` of the newest complete set of chunks; nothing if there is none."""
+    _, content = manifest.current(spark, path)
+    found = spark.createDataFrame([], "line string, chunk int")
+    folders: dict[str, list[str]] = {}
+    for chunk, folder in content.get("folders", {}).items():
+        place, files = manifest.file_system(spark, f"{path.rstrip('/')}/{folder}/chunk={chunk}")
+        # a chunk without rows has no folder
+        if files.exists(place):
+            folders.setdefault(folder, []).append(str(place))
+    for folder, chunks in folders.items():
+        files = spark.read.option("lineSep", "\n").option("basePath", f"{path.rstrip('/')}/{folder}").schema("value string, chunk int").text(chunks)
+        found = found.unionByName(files.select(F.concat("value", F.lit("\n")).alias("line"), "chunk"))
+    return found
+
+
 def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON map from token to id as rows ``token, id``. The file is one value, bounded by the vocabulary size."""
     whole = spark.read.option("wholetext", True).text(path)
