@@ -116,7 +116,7 @@ def ngrams(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for order in range(1, ORDERS + 1):
             value = np.full(len(points), order, dtype="uint64")
             for back in range(order - 1, -1, -1):
-                shifted = points if back == 0 else np.r_[np.full(back, 32, dtype="uint64"), points[:-back]]
+                shifted = np.r_[np.full(back, 32, dtype="uint64"), points][: len(points)]
                 value = value * np.uint64(0x100000001B3) + shifted
             valid = reach > order - 1 if order > 1 else (reach > 0) & (points != 32)
             yield (mixed(value) >> np.uint64(64 - BITS)).astype("int64"), valid

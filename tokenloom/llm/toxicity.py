@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.llm.common import materialise, text_or_empty
+from tokenloom.llm.minhash import text_slices
 from tokenloom.session import ship_package
 
 TOXIC_ROWS, ORDINARY_ROWS = 4000, 12000
@@ -38,7 +39,8 @@ LEAST_EVIDENCE = 12.0
 LONG = 48
 CELL_PRIOR = 1.0
 REPEAT = 3
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+SLICE = 2 << 20
 _PARAMETERS = dict(
     window_log=20, chain_log=18, hash_log=18, search_log=8, min_match=4, target_length=64, strategy=zstandard.STRATEGY_BTULTRA,
     format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False,
@@ -55,6 +57,7 @@ class ToxicityModel:
     weights: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     share: float = 0.0
 
+    @cached_property
     def key(self) -> tuple:
         return self.toxic, self.ordinary, hash(frozenset(self.ratios.items()))
 
@@ -116,9 +119,9 @@ _remembered: dict[tuple, dict[str, tuple[float, float]]] = {}
 
 def word_evidence(model: ToxicityModel, words: list[str]) -> np.ndarray:
     """Highest log ratio of each word's windows."""
-    if model.key() not in _remembered:
+    if model.key not in _remembered:
         _remembered.clear()
-    known = _remembered.setdefault(model.key(), {})
+    known = _remembered.setdefault(model.key, {})
     if len(known) > REMEMBERED:
         known.clear()
     new = [w for w in words if w not in known]
@@ -213,16 +216,23 @@ def _dictionaries(counted: DataFrame, documents: list[int]) -> tuple[bytes, byte
     return trained_dictionary(toxic, TOXIC_BYTES), trained_dictionary(common, ORDINARY_BYTES)
 
 
+def _placed_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    at = 0
+    for piece in text_slices(texts, SLICE):
+        yield at, piece
+        at += len(piece)
+
+
 def _calibrated(spark: SparkSession, model: ToxicityModel, rows: DataFrame, counts: dict[int, int]) -> ToxicityModel:
     shared = spark.sparkContext.broadcast(model)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owner, codes, words = split_words(batch["text"])
+        for labels, texts in ((b["label"].slice(at, len(t)), t) for b in batches for at, t in _placed_slices(b["text"])):
+            owner, codes, words = split_words(texts)
             cut = [word_windows(w) for w in words]
             found = window_cells(shared.value, [w for part in cut for w in part])
             starts = np.cumsum([0, *map(len, cut)])
-            label = batch["label"].to_numpy(zero_copy_only=False)[owner]
+            label = labels.to_numpy(zero_copy_only=False)[owner]
             for value in (0, 1):
                 times = np.bincount(codes[label == value], minlength=len(words))
                 cell, at = np.unique(found, return_inverse=True)
@@ -254,7 +264,9 @@ def toxic_evidence(spark: SparkSession, model: ToxicityModel):
             n = len(texts)
             columns = [np.zeros(n), np.zeros(n), [""] * n, np.full(n, m.share)]
         else:
-            high, total, word = document_evidence(m, texts)
+            # some megabytes of text at a time, so that the arrays of words stay small
+            parts = [document_evidence(m, piece) for piece in text_slices(texts, SLICE)] or [(np.zeros(0), np.zeros(0), np.zeros(0, dtype=object))]
+            high, total, word = (np.concatenate(part) for part in zip(*parts))
             score = 1 / (1 + np.exp(-np.clip(features(high, total) @ np.array(m.weights), -30, 30)))
             columns = [high, total, word, score]
         types = [pa.float64(), pa.float64(), pa.string(), pa.float64()]
