@@ -64,3 +64,12 @@ def test_no_labels_and_empty_table(spark, model):
 def test_long_words_and_marks(model):
     rows = language.identify(model, pa.array(["x" * 200_000, "éé the the the"])).to_pylist()
     assert rows[0]["spans"][0]["end"] == 200_000 and rows[1]["lang"] != "und"
+
+
+def test_a_language_whose_sample_is_one_empty_text(spark):
+    """Texts shorter than an n-gram, alone in their batch."""
+    for texts in (["some english words here", ""], ["some english words here", "a"], ["some english words here", None], ["", ""]):
+        rows = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(zip(texts, ["en", "fr"]))], "doc_id long, text string, lang string")
+        model = language.fit_languages(rows.repartition(2, "lang"))
+        found = language.identify_documents(rows, model).select("language.lang").collect()
+        assert len(found) == 2 and all(r.lang in {"en", "fr", "und"} for r in found)

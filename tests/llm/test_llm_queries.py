@@ -49,6 +49,20 @@ def test_edited_texts(spark, texts):
         assert got[i].near_next == pytest.approx(jaccard(shingles(text), shingles(after)), abs=0.16)
 
 
+def test_edited_texts_of_repeated_and_null_ids(spark, tmp_path):
+    """One row per document; null ids come last, and equal ids follow each other in some order."""
+    rows = [(1, "a b c d e f g h"), (2, "one two three four"), (2, "five six seven eight"), (3, None), (None, "x y z w " * 4), (None, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_fingerprints(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id or 9 for r in got) == [1, 2, 2, 3, 9, 9] and len({(r.doc_id, r.fingerprint) for r in got}) == 6
+    # rows of one id keep the order of the table
+    for n, (i, text) in enumerate(rows):
+        text, after = text or "", rows[(n + 1) % len(rows)][1] or ""
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        assert (i, len(text), hashlib.sha256(edited.encode()).hexdigest()) in {(r.doc_id, r.n_chars, r.edited_sha256) for r in got}
+
+
 def test_byte_bpe(spark, texts):
     with open(public_tokenizers.path(queries.RANKS), "rb") as file:
         codec = byte_bpe.encoding(file.read(), public_tokenizers.PATTERN)

@@ -70,17 +70,21 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(sketch.cast("array<string>"), ",")
 
 
-def neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """``id, next_id, prev_id, prev_chars``: the circle of ids in ascending order, without moving texts.
 
-    Ids are range partitioned with their lengths; the ends of the partitions meet in a table of one row per partition.
+    Null ids come last. Where ids repeat or are null, ``row`` names a number that is a row's own; it orders such rows, and
+    ``row, next_row, prev_row`` come with the result. Keys are range partitioned with their lengths; the ends of the partitions
+    meet in a table of one row per partition.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    narrow = docs.select(F.col(f"`{id}`").alias("id"), F.length(text_or_empty(text)).alias("chars"))
-    placed = materialise(narrow.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()), "ids")
-    inside = Window.partitionBy("part").orderBy("id")
+    own = F.col(f"`{row}`") if row else F.lit(0)
+    key = F.struct(F.col(f"`{id}`").isNull().alias("none"), F.col(f"`{id}`").alias("id"), own.cast("long").alias("row"))
+    narrow = docs.select(key.alias("key"), F.length(text_or_empty(text)).alias("chars"))
+    placed = materialise(narrow.repartitionByRange(parts, "key").withColumn("part", F.spark_partition_id()), "ids")
+    inside = Window.partitionBy("part").orderBy("key")
     ends = placed.groupBy("part").agg(
-        F.min("id").alias("low"), F.max("id").alias("high"), F.max_by("chars", "id").alias("high_chars")
+        F.min("key").alias("low"), F.max("key").alias("high"), F.max_by("chars", "key").alias("high_chars")
     )
     # one row per partition
     line, circle = Window.orderBy("part"), Window.partitionBy()
@@ -91,10 +95,15 @@ def neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
         F.coalesce(F.lag("high_chars").over(line), F.max_by("high_chars", "part").over(circle)).alias("before_chars"),
     )
     rows = placed.withColumns({
-        "next_id": F.lead("id").over(inside), "prev_id": F.lag("id").over(inside), "prev_chars": F.lag("chars").over(inside),
+        "next": F.lead("key").over(inside), "prev": F.lag("key").over(inside), "prev_chars": F.lag("chars").over(inside),
     })
     joined = rows.join(F.broadcast(ends), F.col("part") == F.col("at"))
-    return joined.select(
-        "id", F.coalesce("next_id", "after").alias("next_id"), F.coalesce("prev_id", "before").alias("prev_id"),
+    found = joined.select(
+        "key", F.coalesce("next", "after").alias("next"), F.coalesce("prev", "before").alias("prev"),
         F.coalesce("prev_chars", "before_chars").alias("prev_chars"),
     )
+    sides = {"id": "key", "next_id": "next", "prev_id": "prev"}
+    columns = [F.col(f"{side}.id").alias(name) for name, side in sides.items()]
+    if row:
+        columns += [F.col(f"{side}.row").alias(name.replace("id", "row")) for name, side in sides.items()]
+    return found.select(*columns, "prev_chars")

@@ -215,7 +215,7 @@ def fit_languages(docs: DataFrame, id: str = "doc_id", text: str = "text", lang:
                 scripts = np.bincount(words.script, weights=words.stop - words.start, minlength=OTHER + 1).astype("int64")
                 every = np.r_[total, scripts]
                 at = np.flatnonzero(every)
-                yield pa.RecordBatch.from_arrays([pa.array([code] * len(at)), pa.array(at, pa.int32()), pa.array(every[at])], ["lang", "at", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([code] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(every[at], pa.int64())], ["lang", "at", "n"])
 
     tallies = sample.select("lang", "text").mapInArrow(counted, "lang string, at int, n long")
     found = tallies.groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()  # bounded by the model's size

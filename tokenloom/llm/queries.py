@@ -58,12 +58,16 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    placed = docs.join(fingerprints.neighbours(docs), F.col("doc_id") == F.col("id")).drop("id")
-    sketched = fingerprints.with_sketch(placed.select("text", "prev_id", "prev_chars"), "text", "next_sketch")
+    # ids may repeat or be null; a number per row of the table, the same in every scan of it, tells rows apart
+    docs = _table(spark, sf_dir, "documents").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    circle = fingerprints.neighbours(docs, row="row").select(F.col("row").alias("at"), "prev_row", "prev_chars")
+    placed = docs.join(circle, F.col("row") == F.col("at"))
+    sketched = fingerprints.with_sketch(placed.select("text", "prev_row", "prev_chars"), "text", "next_sketch")
     head = F.expr("substring(text, 1, cast(floor(prev_chars / 4) as int))")
-    ahead = sketched.select(F.col("prev_id").alias("of"), head.alias("head"), "next_sketch")
-    pairs = docs.join(ahead, F.col("doc_id") == F.col("of")).drop("of")
+    ahead = sketched.select(F.col("prev_row").alias("of"), head.alias("head"), "next_sketch")
+    pairs = docs.join(ahead, F.col("row") == F.col("of")).drop("of", "row")
     pairs = pairs.withColumn("n_chars", F.length("text").cast("long"))
     stays = F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))")
     edited = pairs.withColumn("edited", F.concat(stays, "head"))
