@@ -179,6 +179,24 @@ def test_ten_copies_of_each_key(spark, identical):
     assert sorted(r.rank for r in ranks) == list(range(100))
 
 
+@pytest.mark.parametrize("before", [None, 150])
+def test_rank_of_a_key_in_many_rows(spark, before):
+    """The bucket of a hot key is cut: same ranks, and no task orders more than a small part of its rows."""
+    df = spark.range(600).selectExpr("if(id % 2 = 0, 7, id) as key", "concat('t', id) as text")
+    order = ranking.seeded_order("key", digits=1)
+    want = sorted(ranking.with_rank(df, order, before).collect())
+    cut = ranking.with_rank(df, order, before, most=60)
+    assert sorted(cut.collect()) == want and [r.rank for r in sorted(want, key=lambda r: r.rank)] == list(range(before or 600))
+    keys = [hashlib.md5(f"17:{r.key}".encode()).hexdigest() for r in sorted(want, key=lambda r: r.rank)]
+    assert keys == sorted(keys)
+    if before is None:
+        assert "shiftright" in cut._jdf.queryExecution().analyzed().toString()
+        # rows of a positional order with a repeated key, and identical rows
+        same = df.select((F.col("key") % 3).alias("key"))
+        ranks = ranking.with_rank(same, ranking.positional_order(same, "key"), most=50).collect()
+        assert sorted(r.rank for r in ranks) == list(range(600)) and [r.key for r in sorted(ranks, key=lambda r: r.rank)] == sorted(r.key for r in ranks)
+
+
 def test_one_key_in_all_rows(spark):
     df = spark.range(300).selectExpr("1 as key", "id")
     rows = ranking.corpus_chunks(df, 4, ranking.seeded_order("key")).collect()

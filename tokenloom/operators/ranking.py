@@ -35,6 +35,9 @@ SALTS = 64
 # Column with the bucket bounds of a positional order.
 BOUNDS = "_bounds"
 
+# Rows that one task orders for a full rank; a larger bucket is cut.
+MOST_BUCKET_ROWS = 2_000_000
+
 # Buckets of copies of one key, by a hash of the row.
 COPY_BUCKETS = 4096
 
@@ -217,11 +220,11 @@ def _with_cuts(df: DataFrame, order: Order, positions: Positions, by: str | None
     return main.unionByName(_numbered(tied, columns, by))
 
 
-def _written(cuts: DataFrame) -> DataFrame:
-    """The cut table, written once below the shared folder: a narrow row per subset."""
-    path = shared_path(cuts.sparkSession, "cuts")
-    cuts.write.parquet(path)
-    return cuts.sparkSession.read.schema(cuts.schema).parquet(path)
+def _written(table: DataFrame) -> DataFrame:
+    """A table of cuts or bucket starts, written once below the shared folder: a narrow row per subset or bucket."""
+    path = shared_path(table.sparkSession, "cuts")
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def _tied_rows(keyed: DataFrame, cuts: DataFrame, by: str | None) -> DataFrame:
@@ -318,22 +321,41 @@ def corpus_chunks(df: DataFrame, chunks: int, order: Order, compat: bool = False
     return cut.withColumn("chunk", sum(passed, F.lit(0))).select(*df.columns, "chunk")
 
 
-def with_rank(df: DataFrame, order: Order, before: int | None = None) -> DataFrame:
+def with_rank(df: DataFrame, order: Order, before: int | None = None, most: int = MOST_BUCKET_ROWS) -> DataFrame:
     """Column ``rank``: 0-based position in an order, optionally only the rows before a position.
 
     Buckets wholly beyond ``before`` are dropped ahead of the shuffle. The bucket table has at most ``16 ** digits`` rows
-    for a seeded order; Spark broadcasts it where it is small.
+    for a seeded order; it is counted once, and Spark broadcasts it where it is small. Equal keys follow each other by a hash of the
+    row. A bucket of over ``most`` rows, as a key in a large part of all rows makes it, is cut into buckets by key and
+    that hash, so that only identical rows must meet in one task.
     """
-    starts = _bucket_starts(df, order, None).select("_bucket", "_start")
+    starts = _written(_bucket_starts(df, order, None).select("_bucket", "_start", "_rows"))
     if before is not None:
         starts = starts.filter(F.col("_start") < before)
-    placed = order.on(df).withColumn("_b", order.bucket).join(starts, F.col("_b") == F.col("_bucket"))
-    # equal keys follow each other by a hash of the row
-    within = Window.partitionBy("_b").orderBy(order.key, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    ranked = placed.withColumn("rank", F.col("_start") + F.row_number().over(within) - 1)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    placed = order.on(df).withColumns({"_b": order.bucket, "_key": order.key, "_tie": tie})
+    placed = placed.join(starts, F.col("_b") == F.col("_bucket"))
+    if starts.filter(F.col("_rows") > most).isEmpty():
+        return _ranked(placed, F.col("_start"), ["_b"], df.columns, before)
+    small, large = placed.filter(F.col("_rows") <= most), placed.filter(F.col("_rows") > most)
+    large = large.withColumn("_part", F.shiftright("_tie", 58))
+    counts = large.groupBy(F.col("_b").alias("_in"), F.col("_key").alias("_of"), F.col("_part").alias("_at")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_start").alias("_from")
+    )
+    upto = Window.partitionBy("_in").orderBy("_of", "_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_first", F.col("_from") + F.sum("_n").over(upto) - F.col("_n")).drop("_n", "_from")
+    on = (F.col("_b") == F.col("_in")) & (F.col("_key") == F.col("_of")) & (F.col("_part") == F.col("_at"))
+    cut = large.join(counts, on)
+    ranked = _ranked(cut, F.col("_first"), ["_b", "_key", "_part"], df.columns, before)
+    return _ranked(small, F.col("_start"), ["_b"], df.columns, before).unionByName(ranked)
+
+
+def _ranked(placed: DataFrame, start: Column, bucket: Sequence[str], columns: Sequence[str], before: int | None) -> DataFrame:
+    within = Window.partitionBy(*bucket).orderBy("_key", "_tie")
+    ranked = placed.withColumn("rank", start + F.row_number().over(within) - 1)
     if before is not None:
         ranked = ranked.filter(F.col("rank") < before)
-    return ranked.select(*df.columns, "rank")
+    return ranked.select(*[F.col(f"`{c}`") for c in columns], "rank")
 
 
 def shuffle_rows(
