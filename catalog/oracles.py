@@ -488,6 +488,7 @@ def all_sql() -> dict[str, str]:
     sql["permuted_batches"] = (
         f"WITH RECURSIVE {_permuted_ctes(EPOCHS)} SELECT doc_id, rank, rank // 32 AS micro_batch, rank // 256 AS step FROM permuted"
     )
+    sql["stream_steps"] = f"SELECT *, (step // 2)::INT AS batch FROM ({sql['permuted_batches']})"
     sql["step_rows"] = (
         f"WITH RECURSIVE {_permuted_ctes(1)} SELECT doc_id, rank, rank // 32 AS micro_batch, rank // 256 AS step, "
         f"(rank // 32 % 8 % 2)::INT AS process, input_ids, labels FROM ({_pretrain_sql(compat=False)}) JOIN permuted USING (doc_id) WHERE rank >= 256"

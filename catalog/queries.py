@@ -15,6 +15,7 @@ from tokenloom.functions.codec import Encoder, decode_ids
 from tokenloom.operators import batches, chat as chat_ops, columns, merges, places, ranking, recovery, training_rows, vocabulary, wordstats
 from tokenloom.session import shared_path
 from tokenloom.sinks import steps
+from tokenloom.streaming import replay
 
 # Merges learned where a query with SQL needs a trained tokenizer; the SQL has a table per merge.
 LEARNED = 24
@@ -190,6 +191,15 @@ def step_rows(spark, sf_dir, sizes=CHECKED):
     return _shown(read[0].unionByName(read[1]), "doc_id", "rank", "micro_batch", "step", "process")
 
 
+def stream_steps(spark, sf_dir):
+    """Two epochs stored by step and replayed as a stream, two steps to a micro batch."""
+    path = shared_path(spark, "replay")
+    placed = batches.assign_batches_by_place(_lines_backwards(spark, sf_dir), epochs=EPOCHS).select("doc_id", "rank")
+    steps.write_steps(placed, f"{path}/rows", EPOCHS * documents(spark, sf_dir).count(), steps_per_file=2)
+    replay.store_steps(spark, f"{path}/rows", f"{path}/out", f"{path}/progress", steps_per_batch=2)
+    return spark.read.parquet(f"{path}/out").select("doc_id", "rank", "micro_batch", "step", "batch")
+
+
 # projections
 
 
@@ -644,7 +654,7 @@ QUERIES = {
         sample_repeated_keys_unlisted, chunks_repeated_keys, split_repeated_keys, tokenizer_sample, training_batches_max_steps,
         bpe_merges_small_bounds, vocab_merge_sized, roundtrip_scripts, chat_turns, id_domain_small, stream_rejects,
         vocab_recovered, encode_base, bpe_merges_after_base, vocab_after_base, encode_after_base, file_positions, file_head, file_chunks,
-        file_chunks_compat, permuted_batches, step_rows,
+        file_chunks_compat, permuted_batches, step_rows, stream_steps,
     )
 } | {f"{f.__name__}_{HUNDREDS}": partial(f, sizes=RECURSIVE) for f in (bpe_merges, encode, pretrain_rows)}
 
