@@ -15,8 +15,14 @@ from tokenloom.llm.queries import MIX_EPOCHS, MIX_WEIGHTS, RANKS, TOXIC_FROM, to
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below the threshold; the model learns from the labelled ones among them."""
-    scored = toxicity.score_documents(docs, toxicity_model(spark, docs, sf_dir), out="_toxicity")
+    """Documents with a score below the threshold; the model learns from the labelled ones among them.
+
+    Nothing goes where the labels teach no difference.
+    """
+    model = toxicity_model(spark, docs, sf_dir)
+    if not model.ratios:
+        return docs
+    scored = toxicity.score_documents(docs, model, out="_toxicity")
     return scored.filter(F.col("_toxicity.score") < TOXIC_FROM).drop("_toxicity")
 
 

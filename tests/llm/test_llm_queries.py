@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from llm_plain import jaccard, shingles
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -131,6 +132,21 @@ def test_pipeline(spark, texts):
     assert sorted(ids[5]) == sorted(ids[4]) and frames[5].filter("not decodes").isEmpty()
 
 
+def test_clean_documents_stay(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    kept = corpus_pipeline.drop_toxic(spark, docs, folder)
+    counts = {r.toxic: (r.n, r.of) for r in labels.join(kept.select("doc_id", F.lit(1).alias("kept")), "doc_id", "left").groupBy("toxic").agg(F.count("kept").alias("n"), F.count(F.lit(1)).alias("of")).collect()}
+    assert counts[0][0] >= 0.97 * counts[0][1] and counts[1][0] < 0.7 * counts[1][1]
+
+
+@pytest.mark.parametrize("label", [0, 1, None])
+def test_labels_that_teach_nothing_reject_nothing(spark, tmp_path, label):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.select("doc_id", F.lit(label).cast("int").alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_pipeline_on_an_empty_table(spark):
     frame = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
