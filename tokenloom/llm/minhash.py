@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tokenloom.llm.common import materialise, packed, text_or_empty
-from tokenloom.session import ship_package
+from tokenloom.session import shared_path, ship_package
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -260,6 +260,8 @@ def _links(
     rows = rows.withColumn("once", once).filter("once").select("node", "text")
     sets = materialise(rows.select("node", sets_of(F.col("text")).alias("shingles")), "shingle-sets")
     allowed = 1 - threshold + 1e-12
+    # one table of all comparisons, added to in each round, so that plans stay as small as in the first one
+    path = shared_path(docs.sparkSession, "compared")
     compared: DataFrame | None = None
     classes: DataFrame | None = None
     # the first pass looks at a few bands, the others then pass over what is in one class already
@@ -271,8 +273,9 @@ def _links(
         new = _of_two_classes(pairs.select("a", "b").distinct(), classes)
         if compared is not None:
             new = new.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        done = materialise(verified(new, sets), "compared")
-        compared = done if compared is None else compared.unionByName(done)
+        done = verified(new, sets)
+        done.write.mode("append").parquet(path)
+        compared = docs.sparkSession.read.schema(done.schema).parquet(path)
         classes = components(compared.filter(F.col("distance") <= allowed))
         if first:
             left, first = members.drop("band"), False
