@@ -58,10 +58,13 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ids may repeat or be null; a number per row of the table, the same in every scan of it, tells rows apart
-    docs = _table(spark, sf_dir, "documents").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
+    table = _table(spark, sf_dir, "documents")
+    # Where ids repeat or are null, a number per row of the table, the same in every scan of it, tells rows apart. Spark moves the
+    # texts once for both joins below only if that is the id itself.
+    ids = table.groupBy("doc_id").count()
+    own = ids.filter("doc_id is null or count > 1").isEmpty()
+    row = F.col("doc_id") if own else F.monotonically_increasing_id()
+    docs = table.select(row.alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     circle = fingerprints.neighbours(docs, row="row").select(F.col("row").alias("at"), "prev_row", "prev_chars")
     placed = docs.join(circle, F.col("row") == F.col("at"))
     sketched = fingerprints.with_sketch(placed.select("text", "prev_row", "prev_chars"), "text", "next_sketch")
