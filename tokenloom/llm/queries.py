@@ -64,13 +64,14 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table.groupBy("doc_id").count()
     own = ids.filter("doc_id is null or count > 1").isEmpty()
     row = F.col("doc_id") if own else F.monotonically_increasing_id()
-    docs = table.select(row.alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    circle = fingerprints.neighbours(docs, row="row").select(F.col("row").alias("at"), "prev_row", "prev_chars")
+    docs = table.select(row.alias("row"), *([] if own else ["doc_id"]), F.coalesce("text", F.lit("")).alias("text"))
+    named = "row" if own else "doc_id"
+    circle = fingerprints.neighbours(docs, named, row="row").select(F.col("row").alias("at"), "prev_row", "prev_chars")
     placed = docs.join(circle, F.col("row") == F.col("at"))
     sketched = fingerprints.with_sketch(placed.select("text", "prev_row", "prev_chars"), "text", "next_sketch")
     head = F.expr("substring(text, 1, cast(floor(prev_chars / 4) as int))")
     ahead = sketched.select(F.col("prev_row").alias("of"), head.alias("head"), "next_sketch")
-    pairs = docs.join(ahead, F.col("row") == F.col("of")).drop("of", "row")
+    pairs = docs.join(ahead, F.col("row") == F.col("of")).drop("of").withColumnRenamed(named, "doc_id")
     pairs = pairs.withColumn("n_chars", F.length("text").cast("long"))
     stays = F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))")
     edited = pairs.withColumn("edited", F.concat(stays, "head"))
