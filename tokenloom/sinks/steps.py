@@ -61,7 +61,8 @@ def read_steps(
 ) -> DataFrame:
     """Rows of the steps from ``first`` to before ``last``, or to the end, that one of several processes uses.
 
-    Only files of those steps are opened. A process takes every ``processes``-th micro batch of a step.
+    Only files of those steps are opened, and of a few steps only their folders are listed. A process takes every ``processes``-th micro
+    batch of a step.
     """
     _, table = manifest.current(spark, path)
     if not table:
@@ -69,7 +70,11 @@ def read_steps(
     if not 0 <= process < processes:
         raise ValueError("process must be from 0 to processes - 1")
     span = table["steps_per_file"]
-    stored = spark.read.schema(T.StructType.fromJson(table["schema"])).parquet(f"{path}/{table['folder']}")
+    folder, files = f"{path}/{table['folder']}", -(-table["rows"] // (table["batch_rows"] * table["accumulation"] * span))
+    wanted = range(first // span, files if last is None else min(-(-last // span), files))
+    # a whole table is listed by its root
+    folders = [f"{folder}/span={i}" for i in wanted] if 0 < len(wanted) < files else [folder]
+    stored = spark.read.schema(T.StructType.fromJson(table["schema"])).option("basePath", folder).parquet(*folders)
     rows = stored.filter((F.col("span") >= first // span) & (F.col("step") >= first))
     if last is not None:
         rows = rows.filter((F.col("span") <= max(last - 1, 0) // span) & (F.col("step") < last))
