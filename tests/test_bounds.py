@@ -1,13 +1,16 @@
 """What a batch, a task and the driver hold does not grow with the table."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import queries
+from tests import plain
 from tests.conftest import SF
-from tokenloom.constants import BYTE_IDS, STAND_INS
+from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, STAND_INS
 from tokenloom.functions import bytelevel, codec
 from tokenloom.operators import columns, merges
 
@@ -38,6 +41,40 @@ def test_ids_are_made_in_slices(monkeypatch, size):
     assert coder.encode(words.slice(0, 0)).to_pylist() == []
 
 
+def test_new_words_are_merged_side_by_side(monkeypatch):
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("aaeinrst \u00e9") for _ in range(rng.randrange(1, 40))) for _ in range(400)})
+    learned = plain.train({w: 1 + i % 3 for i, w in enumerate(words)}, FIRST_MERGE_ID + 60, 2)
+    words += ["a" * n for n in (41, 62, 64)] + ["\u00e9" * 64, "<s>"]
+    # a pair that is named twice counts as its last place
+    table = [tuple(m[:3]) for m in learned[:40]] + [tuple(m[:3]) for m in learned[20:]]
+    coder = codec._WordCodec(BYTE_IDS, table, {"<s>": 0})
+    want, alone = [codec._WordCodec(BYTE_IDS, table, {"<s>": 0}).word(w) for w in [*words, "a" * 65]], []
+    one = codec.merge_word
+    monkeypatch.setattr(codec, "merge_word", lambda ids, merges: alone.append(len(ids)) or one(ids, merges))
+    made = coder._assembled(pa.array([[*words, "a" * 65]])).to_pylist()[0]
+    assert made == [i for p in want for i in np.frombuffer(p, np.int32).tolist()]
+    assert alone == [65] and set(coder.cache) == set(words)
+
+
+def test_a_product_that_is_an_older_token_is_merged_in_turn():
+    a, b, c, d, e = (BYTE_IDS[ord(x)] for x in "abcde")
+    # cd spells the token that ab makes, and that token merges with c before c and d do
+    table = [(a, b, 300), (300, c, 301), (c, d, 300), (300, e, 302)]
+    coder = codec._WordCodec(BYTE_IDS, table, {})
+    assert coder.tables is None
+    made = coder._assembled(pa.array([["cdcd", "cde", "abab"]])).to_pylist()[0]
+    assert made == [301, d, 302, 300, 300]
+
+
+def test_a_task_remembers_a_bounded_number_of_words(monkeypatch):
+    monkeypatch.setattr(codec, "CACHED_WORDS", 5)
+    coder = codec._WordCodec(BYTE_IDS, [], {})
+    for words in (["a", "b", "c"], ["d", "e", "f"], list("ghijklm"), ["a", "d"]):
+        assert coder._assembled(pa.array([words])).to_pylist()[0] == [BYTE_IDS[ord(w)] for w in words]
+        assert len(coder.cache) <= 5
+
+
 def test_a_function_gets_a_bounded_batch(spark):
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
