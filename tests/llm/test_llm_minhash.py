@@ -117,3 +117,21 @@ def test_repeated_lines_do_not_part_near_copies(spark):
     assert want[:18] == [i // 3 * 3 for i in range(18)] and want[18:] == [18, 19, 20, 21]
     rows = {r.id: r.class_id for r in minhash.near_classes(awkward(spark, texts)).collect()}
     assert [rows[i] for i in range(len(texts))] == want
+
+
+def test_comparisons_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    compared, verified = [], minhash.verified
+
+    def counted(pairs, sets):
+        compared[-1] += pairs.distinct().count()
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(minhash, "verified", counted)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+    group = [" ".join(edited(rng, base, rng.randrange(1, 9))) for _ in range(240)]
+    for n in (60, 240):
+        compared.append(0)
+        rows = {r.id: r.class_id for r in minhash.near_classes(awkward(spark, group[:n])).collect()}
+        assert [rows[i] for i in range(n)] == classes_of(group[:n])
+    assert compared[1] <= 6 * compared[0]

@@ -9,13 +9,11 @@ of the sets, which is also what decides about a link.
 link if the Jaccard similarity of the distinct shingles is ``threshold`` or more.
 
 Equal texts are one node from the start. In a bucket (texts that share a band) nobody is paired with everybody: the
-first nodes in hash order are leaders, and the others are compared with them, unless links already put both in one class.
-A first pass over a few bands finds most classes. Nodes that share a band with another class, but have no link to its leader, go
-on in buckets by their rarest shingles (prefix filter: two texts as similar as that agree in one of them), with four times
-as many leaders in each round, until those left in a bucket are of one class. What all this passes over is a pair of one node that has a link to a
-leader and one that has none; Jaccard distance is a metric, so such a pair can only be a link if the second is within twice the
-allowed distance of that leader, and if the two are not in one class already the pair is compared in the end. So no
-candidate link between classes is lost, and no bucket has a cap.
+first node in hash order is its leader, and the others are compared with it, unless links already put both in one class.
+That finds most classes. Nodes that still share a band with another class go on in buckets by their rarest shingles, where a pair is
+only of use if it is of two classes and enough shingles are left for a link from the shared one on, in both texts (prefix filter with positions).
+While such pairs could be many, they are first made with a few leaders of each bucket, four times as many in each round, since every link
+found joins classes; then all that are left are compared. So no candidate link between classes is lost, and no bucket has a cap.
 
 Defined results: null texts are empty; a text without words is near nothing but its copies; ``class_id`` is the smallest id of a class,
 null if all are null; of rows that repeat a class's smallest id one is kept; an empty table gives an empty result; other
@@ -24,7 +22,7 @@ columns may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +38,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 FIRST_BANDS = 6
 SALTS = 64
+# comparisons a member of a bucket may cost before more links are looked for with leaders
+WORK = 1
 SLICE_BYTES = 4 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -158,15 +158,35 @@ def _members(buckets: DataFrame) -> DataFrame:
 
 
 def _led(members: DataFrame, leaders: int) -> DataFrame:
-    """``key, node, leader``: every member with the first ``leaders`` nodes of its bucket in hash order.
+    """Pairs ``a, b`` of use: every member with the first ``leaders`` nodes of its bucket, those that reach furthest and then in hash order.
 
-    The window keeps so many rows per bucket, and each task does so before anything moves.
+    A text with few shingles of its own reaches far and has the most links. The window keeps so many rows per bucket, and each task does so before anything moves.
     """
-    first = members.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("node"))).filter(F.col("place") <= leaders)
-    heads = first.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("heads"))
+    first = members.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("reach"), "node"))).filter(F.col("place") <= leaders)
+    heads = first.groupBy("key").agg(F.collect_list(F.struct("node", "class", "need", "reach")).alias("heads"))
     spread = members.select("key", "salt").distinct().join(heads, "key")
-    pairs = members.join(spread, ["key", "salt"])
-    return pairs.select("key", "salt", "node", F.explode("heads").alias("leader")).filter("node > leader")
+    before = F.struct(-F.col("reach"), F.col("node"))
+    fit = F.filter("heads", lambda h: (F.struct(-h["reach"], h["node"]) < before) & _of_use(F.col, lambda c: h[c]))
+    pairs = members.join(spread, ["key", "salt"]).withColumn("heads", fit)
+    pairs = pairs.select("node", F.explode("heads.node").alias("leader"))
+    return pairs.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+
+
+def _of_use(one: Callable[[str], Column], other: Callable[[str], Column]) -> Column:
+    """Members of two classes, each of which has as many shingles left as a link with a text of the other's size takes."""
+    return (one("class") != other("class")) & (one("reach") >= other("need")) & (other("reach") >= one("need"))
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of use in the buckets. One of each is outside its bucket's largest class, so that class meets the others alone."""
+    sides = ["node", "class", "need", "reach"]
+    one = members.filter("not main").select("key", "salt", F.struct(*sides).alias("x"))
+    other = members.select("key", F.struct(*sides).alias("y"), "main")
+    # a bucket's rows meet those of each salt in a task of its own
+    spread = one.select("key", "salt").distinct().join(other, "key")
+    once = F.col("main") | (F.col("x.node") > F.col("y.node"))
+    pairs = one.join(spread, ["key", "salt"]).filter(once & _of_use(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
+    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -262,46 +282,51 @@ def _links(
     allowed = 1 - threshold + 1e-12
     # one table of all comparisons, added to in each round, so that plans stay as small as in the first one
     path = shared_path(docs.sparkSession, "compared")
-    compared: DataFrame | None = None
-    classes: DataFrame | None = None
-    # the first pass looks at a few bands, the others then pass over what is in one class already
-    left, leaders, first = members.filter(F.col("band") < FIRST_BANDS).drop("band"), 1, True
+
+    def links() -> DataFrame:
+        return docs.sparkSession.read.schema("a binary, b binary, distance double").parquet(path).filter(F.col("distance") <= allowed)
+
+    def compare(pairs: DataFrame, again: bool = True) -> None:
+        if again:
+            done = docs.sparkSession.read.schema("a binary, b binary").parquet(path)
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        verified(pairs, sets).write.mode("append").parquet(path)
+
+    # the first pass looks at a few bands, the second then passes over what is in one class already
+    anything = {"need": F.lit(0.0), "reach": F.lit(0.0)}
+    few = members.filter(F.col("band") < FIRST_BANDS).withColumns({"class": F.col("node"), **anything})
+    compare(_led(few, 1), again=False)
+    classes = components(links())
+    banded = members.drop("band").withColumns(anything)
+    compare(_led(materialise(_mixed_buckets(banded, classes), "open"), 1))
+    classes = components(links())
+    nodes = materialise(_mixed_buckets(banded, classes).select("node").distinct(), "open")
+    rare = materialise(_rare_buckets(sets, nodes, threshold), "rare")
+    leaders, known = 4, links().count()
     while True:
-        pairs = materialise(_led(left, leaders).withColumnsRenamed({"node": "a", "leader": "b"}), "pairs")
-        if pairs.isEmpty() and not first:
+        left = materialise(_mixed_buckets(rare, classes), "open")
+        sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("main")).alias("others"))
+        cost = sizes.agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("others")).alias("pairs")).first()
+        if not cost.pairs:
+            break
+        if cost.pairs <= WORK * cost.members or known is None:
+            compare(_across(left))
             break
-        new = _of_two_classes(pairs.select("a", "b").distinct(), classes)
-        if compared is not None:
-            new = new.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        done = verified(new, sets)
-        done.write.mode("append").parquet(path)
-        compared = docs.sparkSession.read.schema(done.schema).parquet(path)
-        classes = components(compared.filter(F.col("distance") <= allowed))
-        if first:
-            left, first = members.drop("band"), False
-            continue
-        # leaders and members with a link to one are done; the others go on where they are of several classes
-        linked = pairs.join(compared.filter(F.col("distance") <= allowed), ["a", "b"]).select("key", F.col("a").alias("node"))
-        heads = pairs.select("key", F.col("b").alias("node"))
-        open_ = left.join(linked.union(heads).distinct(), ["key", "node"], "left_anti")
-        left = _mixed_buckets(open_, classes)
-        if leaders == 1:
-            # from here on buckets are texts that share one of their rarest shingles
-            left = _mixed_buckets(_rare_buckets(sets, materialise(left, "open").select("node").distinct(), threshold), classes)
-        left = materialise(left, "open")
-        leaders *= 4
-    links = compared.filter(F.col("distance") <= allowed)
-    missed = materialise(_passed_over(compared, classes, allowed), "passed-over")
-    if not missed.isEmpty():
-        links = links.unionByName(materialise(verified(missed, sets), "compared").filter(F.col("distance") <= allowed))
-    return links.select("a", "b")
+        compare(_led(left, leaders))
+        classes = components(links())
+        # without a new link further leaders would only find again what the pairs left over show
+        now = links().count()
+        leaders, known = leaders * 4, now if now > known else None
+    return links().select("a", "b")
 
 
 def _rare_buckets(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Members ``key, salt, node`` of buckets by rare shingles, for nodes that share a band with another class.
+    """Members ``key, salt, node, need, reach`` of buckets by rare shingles, for nodes that share a band with another class.
 
     With shingles in one order for all texts, here from the rarest on, two texts of n shingles and a similarity of ``threshold`` agree in one of
-    their first ``n - ceil(threshold * n) + 1``. So a passage that very many of them hold makes no bucket unless it is most of a text.
+    their first ``n - ceil(threshold * n) + 1``. So a passage that very many of them hold makes no bucket unless it is most of a text. From the
+    first shared one on both must hold all that they share, which is ``threshold / (1 + threshold)`` of the sum of their sizes or more: the
+    ``reach`` of one is the ``need`` of the other or more.
     """
     each = nodes.join(sets, "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
     each = materialise(each.withColumn("salt", _salt("node")), "shingles")
@@ -311,7 +336,9 @@ def _rare_buckets(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFr
     place = F.row_number().over(Window.partitionBy("node").orderBy("held", "key"))
     first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
     rare = counted.withColumn("place", place).filter((F.col("place") <= first) & (F.col("held") > 1))
-    return rare.select("key", "salt", "node")
+    need = F.lit(threshold) * F.col("n")
+    reach = F.lit(1 + threshold) * (F.col("n") - F.col("place") + 1) - need + 1e-6
+    return rare.select("key", "salt", "node", need.alias("need"), reach.alias("reach"))
 
 
 def _classed(rows: DataFrame, column: str, classes: DataFrame, out: str) -> DataFrame:
@@ -322,38 +349,23 @@ def _classed(rows: DataFrame, column: str, classes: DataFrame, out: str) -> Data
     return salted.join(found, [column, "at"]).drop("at").withColumn(out, F.coalesce(out, column))
 
 
-def _of_two_classes(pairs: DataFrame, classes: DataFrame | None) -> DataFrame:
-    if classes is None:
-        return pairs
-    both = _classed(_classed(pairs, "a", classes, "class_a"), "b", classes, "class_b")
-    return both.filter("class_a <> class_b").select("a", "b")
-
-
 def _mixed_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes."""
+    """Members of buckets that hold several classes, with their ``class`` and whether it is the ``main`` one, the largest of the bucket.
+
+    Members of the others stay if they are of use with any member.
+    """
     own = _classed(members, "node", classes, "class").withColumn("salt", _salt("node"))
-    kinds = own.groupBy("key").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts")
+    kinds = own.groupBy("key", "class").agg(
+        F.count(F.lit(1)).alias("n"), F.min("need").alias("least"), F.max("reach").alias("most"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts")
     )
-    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
-    mixed_keys = kinds.filter("low <> high").withColumn("salt", asked).select("key", "salt")
-    return own.join(mixed_keys, ["key", "salt"]).select("key", "salt", "node")
-
-
-def _passed_over(compared: DataFrame, classes: DataFrame, allowed: float) -> DataFrame:
-    """Pairs ``a, b`` of two classes that a common leader does not rule out."""
-    classed = compared.filter(F.col("distance") <= 2 * allowed)
-    for side in ("a", "b"):
-        named = classes.select(F.col("node").alias(side), F.col("class").alias(f"class_{side}"))
-        classed = classed.join(named, side, "left")
-    own = F.coalesce("class_b", "b")
-    far = classed.filter((F.col("distance") > allowed) & (F.coalesce("class_a", "a") != own))
-    far = far.select("b", F.col("a").alias("x"), F.col("distance").alias("dx"))
-    near = classed.filter(F.col("distance") <= allowed).select("b", F.col("a").alias("y"), F.col("distance").alias("dy"))
-    pairs = far.join(near, "b").filter((F.col("dx") - F.col("dy") <= allowed) & (F.col("x") != F.col("y")))
-    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(
-        compared.select("a", "b"), ["a", "b"], "left_anti"
+    whole = kinds.groupBy("key").agg(
+        F.max(F.struct("n", "class")).alias("largest"), F.count(F.lit(1)).alias("kinds"), F.min("least").alias("least"),
+        F.max("most").alias("most"), F.expr("bit_or(salts)").alias("salts"),
     )
+    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
+    spread = whole.filter("kinds > 1").select("key", "least", "most", F.col("largest.class").alias("largest"), asked.alias("salt"))
+    found = own.join(spread, ["key", "salt"]).withColumn("main", F.col("class") == F.col("largest"))
+    return found.filter("main or (reach >= least and need <= most)").select("key", "salt", "node", "class", "need", "reach", "main")
 
 
 def near_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
