@@ -130,3 +130,20 @@ def test_tokenizer_corpus_in_file_order(spark, tmp_path):
     rows = sources.read_jsonl(spark, f"{tmp_path}/in", "text string")
     got = plans.tokenizer_corpus(rows, None, chunks=6).collect()
     assert {r.text: r.chunk for r in got} == {f"t{i}": i // 5 if i < 5 else 1 + (i - 5) // 4 for i in range(25)}
+
+
+def test_text_moves_to_the_file_of_its_step_and_is_encoded_there(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-0.json").write_text("".join(json.dumps({"id": i, "text": f"abc {i}"}) + "\n" for i in range(40)))
+    moved, write = [], steps.write_steps
+
+    def seen(rows, *args):
+        moved.extend(f.name for f in rows.schema if f.dataType.typeName() == "array")
+        return write(rows, *args)
+
+    monkeypatch.setattr(steps, "write_steps", seen)
+    rows = sources.read_jsonl(spark, f"{tmp_path}/in", "id long, text string")
+    plans.build_step_rows(rows, "pretrain", Encoder(spark, MERGES), f"{tmp_path}/out", 16, 5, 4, 2, keep=("id",), steps_per_file=2)
+    got = steps.read_steps(spark, f"{tmp_path}/out/rows")
+    assert not moved and sorted(r.id for r in got.collect()) == list(range(40))
+    assert {"id", "rank", "input_ids", "step", "micro_batch"} <= set(got.columns)

@@ -151,15 +151,19 @@ def build_step_rows(
     """Usable rows of files as token rows addressed by step below ``out/rows``, unusable ones below ``out/rejects``; returns the number of steps.
 
     ``rows`` come straight from files and need no key: a row's rank is a permutation of its place there, with an order of its own
-    for each of the ``epochs``. Only the encoded rows move, once, to the file of their step; ``steps.read_steps`` reads them.
+    for each of the ``epochs``. Rows move once, to the file of their step, as text, and are encoded there; ``steps.read_steps`` reads them.
     """
     good, usable = _write_rejects(rows, kind, f"{out}/rejects")
     placed = assign_batches_by_place(good, seed, batch_rows, accumulation, max_steps, epochs, usable)
     total = usable * epochs
     if max_steps is not None:
         total = min(total, max_steps * batch_rows * accumulation)
-    made = _training_rows(kind, placed, encoder, length, compat, label_pad, (*keep, "rank"))
-    return steps.write_steps(sinks.as_int64(made), f"{out}/rows", total, batch_rows, accumulation, steps_per_file)
+    kept = tuple(dict.fromkeys((*keep, "rank", *steps.PLACES)))
+
+    def made(dealt: DataFrame) -> DataFrame:
+        return sinks.as_int64(_training_rows(kind, dealt, encoder, length, compat, label_pad, kept))
+
+    return steps.write_steps(placed, f"{out}/rows", total, batch_rows, accumulation, steps_per_file, made)
 
 
 def build_training_rows(

@@ -8,6 +8,8 @@ steps before the table is published, so a step is never short.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tokenloom.constants import ACCUMULATION, BATCH_ROWS
@@ -16,15 +18,17 @@ from tokenloom.sinks import manifest
 STEPS_PER_FILE = 64
 # One task per file; more files than this many are dealt over as many tasks.
 MOST_TASKS = 100_000
+PLACES = ("step", "micro_batch", "span")
 
 
 def write_steps(
     rows: DataFrame, path: str, total: int, batch_rows: int = BATCH_ROWS, accumulation: int = ACCUMULATION,
-    steps_per_file: int = STEPS_PER_FILE,
+    steps_per_file: int = STEPS_PER_FILE, make: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Store rows that have a ``rank`` from 0 to ``total - 1``, each once; returns the number of steps, the last one perhaps short.
 
-    Rows move once, straight to the task of their file, and are sorted there. A table stored before is replaced as a whole.
+    Rows move once, straight to the task of their file, and are sorted there. ``make`` turns them into what is stored in that task, so that
+    a task holds the made rows of its file alone; it keeps ``rank`` and the columns named ``PLACES``. A table stored before is replaced as a whole.
     """
     spark = rows.sparkSession
     version, _ = manifest.current(spark, path)
@@ -36,17 +40,20 @@ def write_steps(
         "step": F.expr(f"rank div {per_step}"), "micro_batch": F.expr(f"rank div {batch_rows}"), "span": F.expr(f"rank div {per_file}"),
     })
     # neighbouring files share a task only if there are more files than tasks
-    dealt = spanned.repartitionById(tasks, F.expr(f"cast(span div {-(-files // tasks)} as int)")).sortWithinPartitions("span", rank)
+    dealt = spanned.repartitionById(tasks, F.expr(f"cast(span div {-(-files // tasks)} as int)"))
+    if make:
+        dealt = make(dealt)
+        dealt = dealt.select(*[F.col(f"`{c}`") for c in dealt.columns if c not in PLACES], *PLACES)
     folder = manifest.new_folder()
-    dealt.write.partitionBy("span").parquet(f"{path}/{folder}")
-    stored = spark.read.schema(spanned.schema).parquet(f"{path}/{folder}")
+    dealt.sortWithinPartitions("span", rank).write.partitionBy("span").parquet(f"{path}/{folder}")
+    stored = spark.read.schema(dealt.schema).parquet(f"{path}/{folder}")
     spans = stored.groupBy("span").agg(F.count(rank).alias("n"), F.min("rank").alias("low"), F.max("rank").alias("high"))
     whole = F.least(F.lit(total), (F.col("span") + 1) * per_file) - F.col("span") * per_file
     short = (F.col("n") != whole) | (F.col("low") != F.col("span") * per_file) | (F.col("high") != F.col("low") + whole - 1)
     seen = spans.agg(F.count(F.lit(1)).alias("files"), F.count(F.when(short, 1)).alias("short")).first()
     if seen.short or seen.files != -(-total // per_file):
         raise ValueError(f"ranks are not 0 to {total - 1}, each once")
-    content = {"folder": folder, "schema": spanned.schema.jsonValue(), "rows": total, "batch_rows": batch_rows, "accumulation": accumulation, "steps_per_file": steps_per_file}
+    content = {"folder": folder, "schema": dealt.schema.jsonValue(), "rows": total, "batch_rows": batch_rows, "accumulation": accumulation, "steps_per_file": steps_per_file}
     manifest.commit(spark, path, version + 1, content)
     return -(-total // per_step)
 
