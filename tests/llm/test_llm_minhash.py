@@ -135,3 +135,19 @@ def test_comparisons_grow_with_a_group_and_not_with_its_square(spark, monkeypatc
         rows = {r.id: r.class_id for r in minhash.near_classes(awkward(spark, group[:n])).collect()}
         assert [rows[i] for i in range(n)] == classes_of(group[:n])
     assert compared[1] <= 6 * compared[0]
+
+
+def test_rounds_exchange_little_more_than_their_rows(spark, monkeypatch):
+    """Classes are joined from links between classes, so a round has few exchanges, and a chain takes few rounds whatever its names."""
+    written, write = [], minhash.materialise
+    monkeypatch.setattr(minhash, "materialise", lambda df, name: written.append(name) or write(df, name))
+    links = [(f"n{i:03}", f"n{i + 1:03}") for i in range(60)]
+    got = {r.node: r["class"] for r in minhash.contracted(spark.createDataFrame(links, "a string, b string")).collect()}
+    assert len(got) == 61 and len(set(got.values())) == 1 and written.count("steps") <= 12
+    written.clear()
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(200)]
+    group = [" ".join(edited(rng, base, rng.randrange(1, 9))) for _ in range(60)]
+    rows = {r.id: r.class_id for r in minhash.near_classes(awkward(spark, group)).collect()}
+    assert [rows[i] for i in range(60)] == classes_of(group)
+    assert len(written) <= 50

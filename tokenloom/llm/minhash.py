@@ -40,7 +40,7 @@ FIRST_BANDS = 6
 SALTS = 64
 # comparisons a member of a bucket may cost before more links are looked for with leaders
 WORK = 1
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,26 +150,41 @@ def _salt(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
 
 
-def _members(buckets: DataFrame) -> DataFrame:
-    """Members ``key, salt, node, band`` of buckets with two nodes or more. Sizes go to the members by (key, salt)."""
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"))
-    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
-    return buckets.join(sizes.filter("n > 1").withColumn("salt", asked).drop("salts", "n"), ["key", "salt"])
+def _salts() -> Column:
+    return F.expr("bit_or(shiftleft(1L, salt))").alias("salts")
+
+
+def _per_salt() -> Column:
+    """A row for each salt that occurs."""
+    return F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """Members ``key, salt, node, band, salts`` of buckets with two nodes or more. Sizes go to the members by (key, salt)."""
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key")).withColumn("salt", _salt("node"))
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), _salts())
+    return buckets.join(sizes.filter("n > 1").withColumn("salt", _per_salt()).drop("n"), ["key", "salt"])
+
+
+def _pair(one: Column, other: Column) -> list[Column]:
+    """Columns ``a, b`` of a pair of nodes and ``class_a, class_b``, the larger node first; the sides are structs of node and class."""
+    a, b = F.greatest(one, other), F.least(one, other)
+    return [a["node"].alias("a"), b["node"].alias("b"), a["class"].alias("class_a"), b["class"].alias("class_b")]
 
 
 def _led(members: DataFrame, leaders: int) -> DataFrame:
-    """Pairs ``a, b`` of use: every member with the first ``leaders`` nodes of its bucket, those that reach furthest and then in hash order.
+    """Pairs of use: every member with the first ``leaders`` nodes of its bucket, those that reach furthest and then in hash order.
 
     A text with few shingles of its own reaches far and has the most links. The window keeps so many rows per bucket, and each task does so before anything moves.
     """
     first = members.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("reach"), "node"))).filter(F.col("place") <= leaders)
-    heads = first.groupBy("key").agg(F.collect_list(F.struct("node", "class", "need", "reach")).alias("heads"))
-    spread = members.select("key", "salt").distinct().join(heads, "key")
+    heads = first.groupBy("key").agg(F.collect_list(F.struct("node", "class", "need", "reach")).alias("heads"), F.max("salts").alias("salts"))
+    spread = heads.withColumn("salt", _per_salt()).drop("salts")
     before = F.struct(-F.col("reach"), F.col("node"))
     fit = F.filter("heads", lambda h: (F.struct(-h["reach"], h["node"]) < before) & _of_use(F.col, lambda c: h[c]))
-    pairs = members.join(spread, ["key", "salt"]).withColumn("heads", fit)
-    pairs = pairs.select("node", F.explode("heads.node").alias("leader"))
-    return pairs.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+    pairs = members.join(spread, ["key", "salt"]).select(F.struct("node", "class").alias("x"), F.explode(fit).alias("h"))
+    pairs = pairs.select("x", F.struct(F.col("h.node").alias("node"), F.col("h.class").alias("class")).alias("y"))
+    return pairs.select(*_pair(F.col("x"), F.col("y"))).distinct()
 
 
 def _of_use(one: Callable[[str], Column], other: Callable[[str], Column]) -> Column:
@@ -178,7 +193,7 @@ def _of_use(one: Callable[[str], Column], other: Callable[[str], Column]) -> Col
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """All pairs ``a, b`` of use in the buckets. One of each is outside its bucket's largest class, so that class meets the others alone."""
+    """All pairs of use in the buckets. One of each is outside its bucket's largest class, so that class meets the others alone."""
     sides = ["node", "class", "need", "reach"]
     one = members.filter("not main").select("key", "salt", F.struct(*sides).alias("x"))
     other = members.select("key", F.struct(*sides).alias("y"), "main")
@@ -186,47 +201,55 @@ def _across(members: DataFrame) -> DataFrame:
     spread = one.select("key", "salt").distinct().join(other, "key")
     once = F.col("main") | (F.col("x.node") > F.col("y.node"))
     pairs = one.join(spread, ["key", "salt"]).filter(once & _of_use(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
-    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    bare = [F.struct(F.col(f"{side}.node").alias("node"), F.col(f"{side}.class").alias("class")) for side in "xy"]
+    return pairs.select(*_pair(*bare)).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, distance`` (Jaccard) of distinct pairs; a node in many pairs is copied once per salt that asks for it."""
-    pairs = pairs.select("a", "b").distinct().withColumn("salt", _salt("a"))
+    """The pairs, which are distinct, with their ``distance`` (Jaccard). Spark splits the rows of a node that is in many pairs."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
-    right = pairs.select("b", "salt").distinct().join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
-    both = left.join(right, ["b", "salt"])
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return both.select("a", "b", (1 - shared / (F.size("of_a") + F.size("of_b") - shared)).alias("distance"))
+    return both.select(*pairs.columns, (1 - shared / (F.size("of_a") + F.size("of_b") - shared)).alias("distance"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, class``: the smallest node that each node of the links is connected with.
+def _moved(rows: DataFrame, column: str, classes: DataFrame) -> DataFrame:
+    """The column's nodes replaced by their class, where they have one. Spark splits the rows of a node that is in many."""
+    found = classes.select(F.col("node").alias("of"), F.col("class").alias("to"))
+    moved = rows.join(found, F.col(column) == F.col("of"), "left").withColumn(column, F.coalesce("to", column))
+    return moved.select(*rows.columns)
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """``node, class``: for each node of the links one of the nodes it is connected with, the same for all of them.
 
-    Labels go along the links and then jump to their label's label, so their number of rounds grows with the logarithm of
-    the longest chain. Labels of a node with many links are copied once per salt that asks for them.
+    In each round every node goes to the first one of itself and its neighbours, in the order of a hash, and links become links between the
+    nodes that are left, until there are none. In that order a chain loses about half of its nodes in a round, whatever their names.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialise(both.distinct().withColumn("salt", _salt("b")), "links")
-    asked = materialise(both.select("a", "salt").distinct(), "asked")
-    labels = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("class")).withColumnRenamed("a", "node"), "labels")
-    while True:
-        sent = asked.join(labels, F.col("a") == F.col("node")).select("a", "salt", "class")
-        heard = both.join(sent, ["a", "salt"]).groupBy("b").agg(F.min("class").alias("heard"))
-        lower = labels.join(heard, F.col("node") == F.col("b")).select("node", F.col("class").alias("old"), F.least("class", "heard").alias("low"))
-        target = labels.select(F.col("node").alias("low_node"), F.col("class").alias("jump"))
-        moved = _by_label(lower, target)
-        moved = materialise(moved, "labels")
-        changed = not moved.filter("old != class").isEmpty()
-        labels = moved.select("node", "class")
-        if not changed:
-            return labels
 
+    def between(edges: DataFrame) -> DataFrame:
+        ends = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        return materialise(ends.distinct(), "edges")
 
-def _by_label(lower: DataFrame, target: DataFrame) -> DataFrame:
-    """One jump: a label that many nodes share is looked up once per salt."""
-    salted = lower.withColumn("salt", _salt("node"))
-    wanted = salted.select("low", "salt").distinct().join(target, F.col("low") == F.col("low_node")).select("low", "salt", "jump")
-    return salted.join(wanted, ["low", "salt"]).select("node", "old", F.least("low", "jump").alias("class"))
+    edges, steps = between(links), []
+    while not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        first = F.min(F.least(*[F.struct(F.xxhash64(c).alias("place"), F.col(c).alias("node")) for c in "ab"]))
+        steps.append(materialise(both.groupBy("a").agg(first.alias("first")).select(F.col("a").alias("node"), F.col("first.node").alias("class")), "steps"))
+        edges = between(_moved(_moved(edges, "a", steps[-1]), "b", steps[-1]))
+    if not steps:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("class"))
+    classes = steps[0]
+    for step in steps[1:]:
+        classes = _moved(classes, "class", step)
+    return materialise(classes, "classes") if len(steps) > 1 else classes
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``node, class``: the smallest node that each node of the links is connected with."""
+    classes = contracted(links).withColumn("salt", _salt("node"))
+    whole = classes.groupBy("class").agg(F.min("node").alias("least"), _salts()).withColumn("salt", _per_salt())
+    return classes.join(whole, ["class", "salt"]).select("node", F.col("least").alias("class"))
 
 
 def near_classes(
@@ -234,33 +257,27 @@ def near_classes(
     words: int = WORDS,
 ) -> DataFrame:
     """``id, node, class_id, class_size, kept``: one row per input row."""
-    signed = materialise(signatures(docs, id, text, bands, rows, words), "signatures")
-    buckets = signed.select("node", F.posexplode("bands").alias("band", "key")).distinct().withColumn("salt", _salt("node"))
-    members = materialise(_members(buckets), "buckets")
-    equal = materialise(signed.groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "texts")
-    classes = components(_links(docs, id, text, members, equal.select("node", "low"), threshold, words))
-    joined = equal.join(classes, "node", "left").select("node", "low", "n", F.coalesce("class", "node").alias("class"))
-    joined = materialise(joined, "nodes")
-    whole = joined.groupBy("class").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"))
-    answer = _per_node(joined, whole)
-    salted = signed.select("id", "node").withColumn("salt", _salt("id"))
-    asked = salted.select("node", "salt").distinct().join(answer, "node")
-    found = salted.join(asked, ["node", "salt"])
+    signed = materialise(signatures(docs, id, text, bands, rows, words), "signatures").withColumn("salt", _salt("id"))
+    equal = signed.groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), _salts())
+    equal = materialise(equal, "texts")
+    members = materialise(_members(equal), "buckets")
+    nodes = equal.select("node", "low", "n", "salts", F.col("node").alias("class"))
+    for classes in _joined(docs, id, text, members, equal.select("node", "low"), threshold, words):
+        nodes = _moved(nodes, "class", classes)
+    nodes = materialise(nodes.withColumn("asked", F.col("salts")).withColumn("salt", _salt("node")), "nodes")
+    whole = nodes.groupBy("class").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"), _salts())
+    answer = nodes.select("node", "class", "salt", "asked").join(whole.withColumn("salt", _per_salt()).drop("salts"), ["class", "salt"])
+    answer = answer.select("node", "class_id", "class_size", F.col("asked").alias("salts")).withColumn("salt", _per_salt()).drop("salts")
+    found = signed.select("id", "node", "salt").join(answer, ["node", "salt"])
     first = F.row_number().over(Window.partitionBy("class_id", "id").orderBy("node")) == 1
     kept = F.col("id").eqNullSafe(F.col("class_id"))
     return found.select("id", "node", "class_id", "class_size", (kept & first).alias("kept"))
 
 
-def _per_node(nodes: DataFrame, whole: DataFrame) -> DataFrame:
-    salted = nodes.withColumn("salt", _salt("node"))
-    asked = salted.select("class", "salt").distinct().join(whole, "class")
-    return salted.join(asked, ["class", "salt"]).select("node", "class_id", "class_size")
-
-
-def _links(
+def _joined(
     docs: DataFrame, id: str, text: str, members: DataFrame, lowest: DataFrame, threshold: float, words: int
-) -> DataFrame:
-    """Verified links ``a, b`` between nodes that share a band."""
+) -> list[DataFrame]:
+    """Steps ``node, class`` that lead each node to its class one after the other, by verified links between nodes that share a band."""
 
     @F.arrow_udf("array<bigint>")
     def sets_of(texts: pa.Array) -> pa.Array:
@@ -273,51 +290,51 @@ def _links(
 
     body = text_or_empty(text)
     # of each text the row with the smallest id, so that copies do not meet
-    asked = members.select("node").distinct().join(lowest, "node").select(F.col("node").alias("at"), "low")
+    asked = lowest.join(members.select("node"), "node", "left_semi").select(F.col("node").alias("at"), "low")
     rows = docs.select(F.col(f"`{id}`").alias("id"), node_of(body).alias("node"), body.alias("text"))
     rows = rows.join(asked, (F.col("node") == F.col("at")) & F.col("id").eqNullSafe(F.col("low")))
     once = F.row_number().over(Window.partitionBy("node", "id").orderBy(F.lit(0))) == 1
     rows = rows.withColumn("once", once).filter("once").select("node", "text")
     sets = materialise(rows.select("node", sets_of(F.col("text")).alias("shingles")), "shingle-sets")
     allowed = 1 - threshold + 1e-12
-    # one table of all comparisons, added to in each round, so that plans stay as small as in the first one
-    path = shared_path(docs.sparkSession, "compared")
-
-    def links() -> DataFrame:
-        return docs.sparkSession.read.schema("a binary, b binary, distance double").parquet(path).filter(F.col("distance") <= allowed)
-
-    def compare(pairs: DataFrame, again: bool = True) -> None:
-        if again:
-            done = docs.sparkSession.read.schema("a binary, b binary").parquet(path)
+    # one table of all comparisons, with a folder for each round, so that plans stay as small as in the first one
+    path, rounds, steps = shared_path(docs.sparkSession, "compared"), [], []
+    schema = "a binary, b binary, class_a binary, class_b binary, distance double"
+
+    def compare(pairs: DataFrame) -> bool:
+        """Look for links, and join the classes that they are between; whether there were any."""
+        if rounds:
+            done = docs.sparkSession.read.schema(schema).parquet(*rounds).select("a", "b")
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        verified(pairs, sets).write.mode("append").parquet(path)
+        rounds.append(f"{path}/{len(rounds)}")
+        verified(pairs, sets).write.parquet(rounds[-1])
+        found = docs.sparkSession.read.schema(schema).parquet(rounds[-1]).filter(F.col("distance") <= allowed)
+        steps.append(contracted(found.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))))
+        return not steps[-1].isEmpty()
 
     # the first pass looks at a few bands, the second then passes over what is in one class already
-    anything = {"need": F.lit(0.0), "reach": F.lit(0.0)}
-    few = members.filter(F.col("band") < FIRST_BANDS).withColumns({"class": F.col("node"), **anything})
-    compare(_led(few, 1), again=False)
-    classes = components(links())
-    banded = members.drop("band").withColumns(anything)
-    compare(_led(materialise(_mixed_buckets(banded, classes), "open"), 1))
-    classes = components(links())
-    nodes = materialise(_mixed_buckets(banded, classes).select("node").distinct(), "open")
-    rare = materialise(_rare_buckets(sets, nodes, threshold), "rare")
-    leaders, known = 4, links().count()
+    banded = members.withColumns({"class": F.col("node"), "need": F.lit(0.0), "reach": F.lit(0.0)})
+    compare(_led(banded.filter(F.col("band") < FIRST_BANDS), 1))
+    banded = _mixed_buckets(_moved(banded.drop("band"), "class", steps[-1]))
+    compare(_led(banded, 1))
+    banded = _mixed_buckets(_moved(banded, "class", steps[-1]))
+    left = _rare_buckets(sets, banded.select("node").distinct(), threshold).withColumn("class", F.col("node"))
+    for step in steps:
+        left = _moved(left, "class", step)
+    leaders, more = 4, True
     while True:
-        left = materialise(_mixed_buckets(rare, classes), "open")
+        left = _mixed_buckets(left)
         sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("main")).alias("others"))
         cost = sizes.agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("others")).alias("pairs")).first()
         if not cost.pairs:
             break
-        if cost.pairs <= WORK * cost.members or known is None:
+        if cost.pairs <= WORK * cost.members or not more:
             compare(_across(left))
             break
-        compare(_led(left, leaders))
-        classes = components(links())
         # without a new link further leaders would only find again what the pairs left over show
-        now = links().count()
-        leaders, known = leaders * 4, now if now > known else None
-    return links().select("a", "b")
+        more = compare(_led(left, leaders))
+        left, leaders = _moved(left, "class", steps[-1]), leaders * 4
+    return steps
 
 
 def _rare_buckets(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -330,9 +347,8 @@ def _rare_buckets(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFr
     """
     each = nodes.join(sets, "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
     each = materialise(each.withColumn("salt", _salt("node")), "shingles")
-    counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"))
-    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
-    counted = each.join(counts.withColumn("salt", asked).drop("salts"), ["key", "salt"])
+    counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("held"), _salts())
+    counted = each.join(counts.withColumn("salt", _per_salt()).drop("salts"), ["key", "salt"])
     place = F.row_number().over(Window.partitionBy("node").orderBy("held", "key"))
     first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
     rare = counted.withColumn("place", place).filter((F.col("place") <= first) & (F.col("held") > 1))
@@ -341,31 +357,22 @@ def _rare_buckets(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFr
     return rare.select("key", "salt", "node", need.alias("need"), reach.alias("reach"))
 
 
-def _classed(rows: DataFrame, column: str, classes: DataFrame, out: str) -> DataFrame:
-    """The class of a node, itself if it has no link. A node of many rows is looked up once per salt."""
-    salted = rows.withColumn("at", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
-    asked = salted.select(column, "at").distinct()
-    found = asked.join(classes.select(F.col("node").alias(column), F.col("class").alias(out)), column, "left")
-    return salted.join(found, [column, "at"]).drop("at").withColumn(out, F.coalesce(out, column))
-
-
-def _mixed_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes, with their ``class`` and whether it is the ``main`` one, the largest of the bucket.
+def _mixed_buckets(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes, whether theirs is the ``main`` one, the largest of the bucket, and the bucket's ``salts``.
 
     Members of the others stay if they are of use with any member.
     """
-    own = _classed(members, "node", classes, "class").withColumn("salt", _salt("node"))
-    kinds = own.groupBy("key", "class").agg(
-        F.count(F.lit(1)).alias("n"), F.min("need").alias("least"), F.max("reach").alias("most"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts")
-    )
+    # written first, since a class with many members would else be counted in one task after the join that gave it
+    own = materialise(members.select("key", "salt", "node", "class", "need", "reach"), "classed")
+    kinds = own.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("least"), F.max("reach").alias("most"), _salts())
     whole = kinds.groupBy("key").agg(
         F.max(F.struct("n", "class")).alias("largest"), F.count(F.lit(1)).alias("kinds"), F.min("least").alias("least"),
         F.max("most").alias("most"), F.expr("bit_or(salts)").alias("salts"),
     )
-    asked = F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), b -> getbit(salts, b) = 1)"))
-    spread = whole.filter("kinds > 1").select("key", "least", "most", F.col("largest.class").alias("largest"), asked.alias("salt"))
+    spread = whole.filter("kinds > 1").select("key", "least", "most", F.col("largest.class").alias("largest"), "salts", _per_salt().alias("salt"))
     found = own.join(spread, ["key", "salt"]).withColumn("main", F.col("class") == F.col("largest"))
-    return found.filter("main or (reach >= least and need <= most)").select("key", "salt", "node", "class", "need", "reach", "main")
+    found = found.filter("main or (reach >= least and need <= most)")
+    return materialise(found.select("key", "salt", "node", "class", "need", "reach", "main", "salts"), "open")
 
 
 def near_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
