@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_plain import awkward
 from tokenizers import Tokenizer
@@ -97,3 +98,25 @@ def test_added_tokens_in_texts_as_the_library_has_them(spark, tmp_path):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
         at += len(want)
     assert codec.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
+def test_many_pieces_go_to_the_library_in_one_call():
+    with open(FILE, encoding="utf-8") as file:
+        codec = files.tokenizer(file.read(), False)
+
+    class Counted:
+        normalizer, pre_tokenizer, get_vocab, rows = None, codec.pre_tokenizer, codec.get_vocab, 0
+
+        def encode_batch_fast(self, rows, **options):
+            self.rows += len(rows)
+            return codec.encode_batch_fast(rows, **options)
+
+    added = [t.content for t in codec.get_added_tokens_decoder().values()]
+    odd = ["", " ", " a\n", " \n\nb", "c", " é中\U0001f600", " d ", "  ", " 'll", " x\tY", " e\x1c", " e\x0b", " e\x85"]
+    pieces = [f" w{i}q{i * i}" for i in range(5000)]
+    for some in (pieces, [*odd, *pieces[:50], *added, *[f" {t}" for t in added], *odd[::-1]]):
+        counted, want = Counted(), [codec.encode(p, add_special_tokens=False).ids for p in some]
+        flat, lengths = files.encode_pieces(counted, pa.array(some, pa.large_string()), 64)
+        assert lengths.tolist() == [len(w) for w in want]
+        assert flat.tolist() == [i for w in want for i in w]
+        assert len(some) < 5000 or counted.rows == 79

@@ -44,6 +44,7 @@ BLOCK = 1 << 16
 STEP = 1024
 TOGETHER = 32
 REMEMBERED = 800_000
+PIECES = 4096
 SLICE = 4 << 20
 _SPACE = r"[\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000} ] "
 
@@ -59,6 +60,59 @@ def tokenizer(document: str, plain_added: bool) -> Tokenizer:
     return made
 
 
+@lru_cache(maxsize=2)
+def token_bytes(codec: Tokenizer) -> np.ndarray | None:
+    """Number of bytes that each token stands for, if every character of a token is one."""
+    if codec.normalizer is not None or getattr(codec.pre_tokenizer, "add_prefix_space", None) is not False:
+        return None
+    vocabulary = codec.get_vocab(with_added_tokens=True)
+    sizes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype="int64")
+    for token, i in vocabulary.items():
+        sizes[i] = len(token)
+    return sizes
+
+
+def encode_one_by_one(codec: Tokenizer, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    rows = [e.ids for e in codec.encode_batch_fast(wanted.to_pylist(), add_special_tokens=False)]
+    lengths = np.fromiter(map(len, rows), dtype="int64", count=len(rows))
+    return np.fromiter(chain.from_iterable(rows), dtype="uint32", count=int(lengths.sum())), lengths
+
+
+def encode_pieces(codec: Tokenizer, wanted: pa.Array, together: int = PIECES) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces and how many each has.
+
+    Pieces that start with a space and end in no white space are a text that may be cut before each of them, so ``together`` of them
+    go to the library in one call, and their bytes tell the ids apart. Where a token crosses a piece's end, they go one by one.
+    """
+    sizes = token_bytes(codec)
+    plain = pc.match_substring_regex(wanted, r"^ (?s:.*)[^\s\x0b\x{1c}-\x{1f}\x{85}\p{Z}]$")
+    if sizes is None or pc.sum(plain).as_py() in (0, None):
+        return encode_one_by_one(codec, wanted)
+    spaced, rest = wanted.filter(plain), wanted.filter(pc.invert(plain))
+    parts, counts = [], []
+    for a in range(0, len(spaced), together):
+        some = spaced.slice(a, together)
+        ids = np.array(codec.encode_batch_fast(["".join(some.to_pylist())], add_special_tokens=False)[0].ids, dtype="uint32")
+        ends = np.r_[0, np.cumsum(sizes[ids])]
+        stops = np.r_[0, np.cumsum(pc.binary_length(some).to_numpy(zero_copy_only=False))]
+        at = np.searchsorted(ends, stops)
+        if ends[-1] == stops[-1] and (ends[at] == stops).all():
+            parts.append(ids)
+            counts.append(np.diff(at))
+        else:
+            ids, lengths = encode_one_by_one(codec, some)
+            parts.append(ids)
+            counts.append(lengths)
+    ids, lengths = encode_one_by_one(codec, rest)
+    flat, counts = np.concatenate([*parts, ids]), np.concatenate([*counts, lengths])
+    # back in the order asked for
+    mask = plain.to_numpy(zero_copy_only=False)
+    order = np.empty(len(wanted), dtype="int64")
+    order[np.r_[np.flatnonzero(mask), np.flatnonzero(~mask)]] = np.arange(len(wanted))
+    starts = np.cumsum(counts) - counts
+    return gathered(flat, starts[order], counts[order]), counts[order]
+
+
 class PieceMemory:
     """Ids of pieces already met, as flat arrays; starts afresh when it is full."""
 
@@ -80,16 +134,14 @@ class PieceMemory:
         new = found.is_null()
         if found.null_count:
             unknown = wanted.filter(new)
-            rows = [e.ids for e in codec.encode_batch_fast(unknown.to_pylist(), add_special_tokens=False)]
-            lengths = np.fromiter(map(len, rows), dtype="int64", count=len(rows))
+            flat, lengths = encode_pieces(codec, unknown)
             ends = len(self.ids) + np.cumsum(lengths)
-            flat = np.fromiter(chain.from_iterable(rows), dtype="uint32", count=int(lengths.sum()))
             first = len(self.pieces)
             self.pieces = pa.concat_arrays([self.pieces, unknown])
             self.ids = np.concatenate([self.ids, flat])
             self.starts, self.lengths = np.r_[self.starts, ends - lengths], np.r_[self.lengths, lengths]
             place = found.fill_null(-1).to_numpy(zero_copy_only=False).astype("int64")
-            place[place < 0] = np.arange(first, first + len(rows))
+            place[place < 0] = np.arange(first, first + len(unknown))
             return place
         return found.to_numpy(zero_copy_only=False).astype("int64")
 
