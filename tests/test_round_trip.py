@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import queries
 from tests import plain
 from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, SPECIAL_TOKENS
 from tokenloom.functions import codec, pretokens
@@ -15,7 +16,7 @@ from tokenloom.operators.merges import Merge
 
 TEXTS = [
     "", " ", "x", " the theatre", "the\nthe  the ", "nul\0byte", "<s>the</s> a<mask>", "<s>", "你好，世界 + Привет + مرحبًا", "emoji 👩‍👩‍👧 🎉",
-    "the" * 50, "é" * 70 + " the", "123 ½ — it's", None,
+    "a\x01 the\x01\x01the", "\x01", "\x01<s>\x01the", " \x01 ", "\xff\xfe the", "the" * 50, "é" * 70 + " the", "123 ½ — it's", None,
 ]
 
 
@@ -92,3 +93,27 @@ def test_the_pool_holds_what_the_cache_holds(monkeypatch, made):
     coder.cache.clear()
     coder.encode(pa.array([["a"]]))
     assert len(coder.pool) <= 64 < largest
+
+
+def test_words_with_end_marks_are_the_same_words(spark):
+    rng = random.Random(8)
+    drawn = ["".join(rng.choice("the  \n\t'sA1²é你\u3000\u0085\x01<s>-") for _ in range(rng.randrange(25))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(TEXTS + drawn)), "i int, t string")
+    rows = df.select(pretokens.encode_words(F.col("t")).alias("words"), pretokens.ended_words(F.col("t")).alias("ended")).collect()
+    assert sum(r.ended is not None and bytes(r.ended[:1]) == b"\xff" for r in rows) > 20
+    ended = pa.array([None if r.ended is None else bytes(r.ended) for r in rows], pa.binary())
+    assert codec.split_words(ended).to_pylist() == [r.words for r in rows]
+    assert codec.split_words(ended.slice(7, 90)).to_pylist() == [r.words for r in rows[7:97]]
+    for none in (ended.slice(0, 0), pa.array([None, b""], pa.binary())):
+        assert codec.split_words(none).to_pylist() == [None, []][: len(none)]
+
+
+def test_letters_in_other_scripts(spark):
+    """As ``translate`` does it, null, empty and long texts included."""
+    texts = [*TEXTS, "AbZ z\u0130ẞ \u212a", "q" * 3_000_000, "<s>é a-z{`", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    low = F.lower("t")
+    want = F.concat(*[F.translate(low, "abcdefghijklmnopqrstuvwxyz", to) for to in (queries.CYRILLIC, queries.ARABIC, queries.HAN)])
+    for some in (df, df.coalesce(1), df.filter("t is null"), df.filter("t = ''")):
+        rows = some.select(want.alias("want"), queries.in_scripts(F.col("t")).alias("got")).collect()
+        assert rows and all(r.want == r.got for r in rows)
