@@ -6,10 +6,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import queries
 from tests import plain
 from tokenloom.constants import BYTE_IDS, FIRST_MERGE_ID, SPECIAL_TOKENS
-from tokenloom.functions import codec, pretokens
+from tokenloom.functions import bytelevel, codec, pretokens
 from tokenloom.functions.codec import Encoder, decode_ids
 from tokenloom.operators import training_rows, vocabulary
 from tokenloom.operators.merges import Merge
@@ -108,12 +107,16 @@ def test_words_with_end_marks_are_the_same_words(spark):
         assert codec.split_words(none).to_pylist() == [None, []][: len(none)]
 
 
-def test_letters_in_other_scripts(spark):
-    """As ``translate`` does it, null, empty and long texts included."""
-    texts = [*TEXTS, "AbZ z\u0130ẞ \u212a", "q" * 3_000_000, "<s>é a-z{`", None]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    low = F.lower("t")
-    want = F.concat(*[F.translate(low, "abcdefghijklmnopqrstuvwxyz", to) for to in (queries.CYRILLIC, queries.ARABIC, queries.HAN)])
-    for some in (df, df.coalesce(1), df.filter("t is null"), df.filter("t = ''")):
-        rows = some.select(want.alias("want"), queries.in_scripts(F.col("t")).alias("got")).collect()
-        assert rows and all(r.want == r.got for r in rows)
+@pytest.mark.parametrize("size", [1, 40, 8_000_000])
+def test_texts_go_back_some_at_a_time(monkeypatch, made, size):
+    learned, tokens = made
+    monkeypatch.setattr(codec, "SLICE_BYTES", size)
+    monkeypatch.setattr(codec, "SLICE_WORDS", 5)
+    coder = codec._WordCodec(BYTE_IDS, [m[:3] for m in learned], {"<s>": 0})
+    by_id = pa.array([bytelevel.byte_text(t).encode("latin-1") for t in tokens], pa.large_binary())
+    texts = [[" the", " q"] * 4, None, [], [" x\x01", "<s>"], ["\u4f60"] * 9, [" the"]]
+    ended = [w and (b"\xff" + b"\xff".join(x.encode() for x in w) + b"\xff" if "<s>" in w else b"".join(x.encode() + b"\x01" for x in w)) for w in texts]
+    parts = list(coder.round_trip(pa.array([w if w != [] else b"" for w in ended], pa.binary()), by_id))
+    assert len(parts) > 1
+    want = [w if w is None else {"n": sum(1 if x == "<s>" else len(plain.encode_word(x, learned)) for x in w), "bytes": "".join(w).encode()} for w in texts]
+    assert [r for p in parts for r in p.to_pylist()] == want
